@@ -9,19 +9,20 @@ names with each other.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skuweave.functions.text import ngrams, without_noise
+from skuweave.operators.cells import CELL_ROWS, MAX_SPLIT, PLACE, meet
 from skuweave.session import cut_lineage, spread
 
-# Names of one side a cell is meant to hold, and how many n-grams may be split
-# over several cells before cells grow instead. The second bounds the broadcast.
-CELL_NAMES = 4_096
-MAX_SPLIT = 100_000
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Room for floating point in the bounds, and decimals that count when ranking.
 SLACK = 1e-9
 SCORE_DECIMALS = 9
@@ -130,55 +131,23 @@ def _vectors(counts: DataFrame, vocabulary: DataFrame, least: float) -> DataFram
 
 
 def _cells(
-    queries: DataFrame, catalog: DataFrame, least: float, cell: int, max_split: int
+    queries: DataFrame, catalog: DataFrame, cell_rows: int, max_split: int
 ) -> tuple[DataFrame, DataFrame]:
-    """``(id, grams, weights, cell, q_slot, c_slot)`` of both sides.
+    """The vectors of both sides in the cells of the n-grams they require."""
 
-    Rare n-grams share a cell, a frequent one has its own, and beyond the size of
-    a cell its names are spread over slots: every query slot meets every catalogue
-    slot. Only split n-grams are broadcast, at most ``max_split`` per side.
-    """
-    required = [
-        side.select("id", F.explode(F.slice("grams", 1, F.col("required"))).alias("gram_id"))
-        for side in (queries, catalog)
-    ]
-    totals = [side.agg(F.coalesce(F.sum("required"), F.lit(0))).first()[0] for side in (queries, catalog)]
-    sizes = [max(cell, total // max_split) for total in totals]
-    bundles = max(1, *(-(-total // size) for total, size in zip(totals, sizes)))
-
-    def split(side: DataFrame, size: int, name: str) -> DataFrame:
-        return (
-            side.groupBy("gram_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > size)
-            .select("gram_id", F.ceil(F.col("n") / F.lit(size)).cast("int").alias(name))
-        )
+    def required(side: DataFrame) -> DataFrame:
+        return side.select("id", F.explode(F.slice("grams", 1, F.col("required"))).alias("gram_id"))
 
-    slots = (
-        split(required[0], sizes[0], "q_slots")
-        .unionByName(split(required[1], sizes[1], "c_slots"), allowMissingColumns=True)
-        .groupBy("gram_id")
-        .agg(
-            F.coalesce(F.max("q_slots"), F.lit(1)).alias("q_slots"),
-            F.coalesce(F.max("c_slots"), F.lit(1)).alias("c_slots"),
-        )
-    )
-    bundle = F.pmod(F.xxhash64("gram_id"), F.lit(bundles))
-    own_cell = -F.col("gram_id") - F.lit(1)
+    def total(side: DataFrame) -> int:
+        return side.agg(F.coalesce(F.sum("required"), F.lit(0))).first()[0]
 
-    def place(vectors: DataFrame, wanted: DataFrame, own: str, other: str) -> DataFrame:
-        def count(name: str) -> Column:
-            return F.coalesce(F.col(f"{name}s"), F.lit(1))
-
-        placed = wanted.join(F.broadcast(slots), "gram_id", "left").select(
-            "id",
-            F.when(F.col("q_slots").isNull(), bundle).otherwise(own_cell).alias("cell"),
-            F.pmod(F.xxhash64("id"), count(own)).cast("int").alias(own),
-            F.explode(F.sequence(F.lit(0), count(other) - F.lit(1))).alias(other),
-        )
-        return placed.join(vectors.select("id", "grams", "weights"), "id")
-
-    return (
-        place(queries, required[0], "q_slot", "c_slot"),
-        place(catalog, required[1], "c_slot", "q_slot"),
+    placed = meet(
+        required(queries), required(catalog), "gram_id",
+        (total(queries), total(catalog)), cell_rows, max_split,
+    )
+    return tuple(
+        keys.drop("gram_id").distinct().join(side.select("id", "grams", "weights"), "id")
+        for keys, side in zip(placed, (queries, catalog))
     )
 
 
@@ -191,7 +160,7 @@ def best_in_cell(top: int, least: float, block: int = 256, dense_terms: int = 64
     """
 
     def flat(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        frame = frame.drop_duplicates("id").sort_values("id")
+        frame = frame.sort_values("id")
         lengths = frame["grams"].map(len).to_numpy()
         rows = np.repeat(np.arange(len(frame)), lengths)
         return (
@@ -268,7 +237,7 @@ def tfidf_match(
     top: int = 1,
     lower_bound: float = 0.0,
     min_score: float = 0.5,
-    cell: int = CELL_NAMES,
+    cell_rows: int = CELL_ROWS,
     max_split: int = MAX_SPLIT,
 ) -> DataFrame:
     """``(name_input, name_all_skus, similarity)``: the ``top`` matches of each distinct name.
@@ -285,11 +254,10 @@ def tfidf_match(
     )
     catalog_rows = _vectors(counts, vocabulary, least)
     query_rows = _vectors(term_counts(query_names, n, "id"), vocabulary, least)
-    queries, known = _cells(query_rows, catalog_rows, least, cell, max_split)
-    place = ["cell", "q_slot", "c_slot"]
+    queries, known = _cells(query_rows, catalog_rows, cell_rows, max_split)
     matches = (
-        queries.groupBy(*place)
-        .cogroup(known.groupBy(*place))
+        queries.groupBy(*PLACE)
+        .cogroup(known.groupBy(*PLACE))
         .applyInPandas(best_in_cell(top, least), MATCH_SCHEMA)
         .distinct()
     )
