@@ -90,9 +90,7 @@ def product_table(
     distributor = max_per_key(sources.distributor, "sku").withColumnRenamed("sku", "sku_gfghdata")
     wide = wide.join(distributor, F.col("identifier") == F.col("sku_gfghdata"), "left")
     categories = keep_one(sources.categories, ["sku"])
-    wide = restrict_and_enrich(wide, categories, "identifier", "sku").withColumn(
-        "sku", F.col("identifier")
-    )
+    wide = restrict_and_enrich(wide, categories, "identifier", "sku")
     if with_manufacturer_mark:
         wide = wide.withColumn(
             "manufacturer_gfgh_data", F.concat(F.lit("|"), F.col("manufacturer"), F.lit("|"))
