@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 # Rows of one side a cell is meant to hold, and how many keys may be split over
 # several cells before cells grow instead. The second bounds what is broadcast.
-CELL_ROWS = 4_096
+CELL_ROWS = 2_048
 MAX_SPLIT = 100_000
 
 PLACE = ("cell", "q_slot", "c_slot")

@@ -38,5 +38,5 @@ def picture_uploads(listing: DataFrame, path: str = "path", stamp: str = "modifi
     return (
         listing.where(name.rlike(r"^[0-9]+\.png(.*\.png)?$"))
         .groupBy(F.regexp_extract(name, r"^([0-9]+)\.png", 1).alias("sku"))
-        .agg(F.max_by(F.col(stamp), F.col(path)).alias("uploaded_at"))
+        .agg(F.max_by(F.col(stamp), F.struct(path, stamp)).alias("uploaded_at"))
     )

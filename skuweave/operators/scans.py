@@ -36,9 +36,7 @@ def closed_window(df: DataFrame, column: str, as_of: AsOf, days_back: int = 2) -
 def _any_recent(df: DataFrame, columns: tuple[str, ...], as_of: AsOf, days: int):
     recent = F.lit(False)
     for column in columns:
-        recent = recent | F.coalesce(
-            F.col(column) >= bound(df, column, shifted(as_of, -days)), F.lit(False)
-        )
+        recent = recent | (F.col(column) >= bound(df, column, shifted(as_of, -days)))
     return recent
 
 

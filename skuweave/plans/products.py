@@ -23,11 +23,11 @@ from skuweave.operators.flags import (
 from skuweave.operators.scans import changed_rows
 from skuweave.operators.translate import (
     PRODUCT_PASSES,
-    fits_broadcast,
     option_values,
     translate_codes,
     unique_lookup,
 )
+from skuweave.session import cut_lineage
 
 # Fixed value: added to the number of enabled merchants.
 ENABLEMENT_OFFSET = -2
@@ -95,10 +95,8 @@ def product_table(
         wide = wide.withColumn(
             "manufacturer_gfgh_data", F.concat(F.lit("|"), F.col("manufacturer"), F.lit("|"))
         )
-    lookup = unique_lookup(option_values(sources.options, sources.option_values))
-    wide = translate_codes(
-        wide, lookup, PRODUCT_PASSES, row_key="identifier", broadcast=fits_broadcast(lookup)
-    )
+    lookup = cut_lineage(unique_lookup(option_values(sources.options, sources.option_values)))
+    wide = translate_codes(wide, lookup, PRODUCT_PASSES, row_key="identifier")
     columns = [c for c in wide.columns if c != "_values"]
     if keys:
         wide = wide.select(*columns, *merchant_columns("_values", keys))

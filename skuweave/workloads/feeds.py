@@ -88,7 +88,7 @@ def drop_repeated_headers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _LISTING = {
-    "path": "'bucket/' || p_brand || '/' || CASE WHEN p_size % 5 = 0 THEN 'a' ELSE '' END || p_retailprice_key "
+    "path": "'bucket/' || p_brand || '/' || p_partkey || '/' || CASE WHEN p_size % 5 = 0 THEN 'a' ELSE '' END || p_retailprice_key "
     "|| CASE WHEN p_size % 7 = 0 THEN '.jpg' WHEN p_size % 7 = 1 THEN '.png.png' ELSE '.png' END",
     "modificationTime": "TIMESTAMP '2024-01-01 00:00:00' + INTERVAL '1' DAY * p_size",
 }
