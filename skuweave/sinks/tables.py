@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from skuweave.functions.json_values import quoted
 from skuweave.operators.merge import upsert
@@ -85,7 +85,11 @@ def upsert_partitions(
     touched = column.isin([v for v in values if v is not None])
     if None in values:
         touched = touched | column.isNull()
-    merged = upsert(spark.read.parquet(path).where(touched), batch, keys)
+    # Folder names do not tell the type of the partition column, the batch does.
+    known = spark.read.parquet(path).schema
+    stored = T.StructType([f for f in known if f.name != partition_by]).add(batch.schema[partition_by])
+    target = spark.read.schema(stored).parquet(path).select(*known.names)
+    merged = upsert(target.where(touched), batch, keys)
     (
         merged.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -11,7 +11,7 @@ from skuweave.operators.cleaning import UNNAMED
 # File name pattern of the address results.
 ADDRESS_RESULT_FILES = "Kunden_result*.txt"
 
-BOARD_PAGE = T.StructType.fromDDL(
+BOARD_PAGE = (
     "data struct<boards: array<struct<items: array<struct<"
     "name: string, column_values: array<struct<title: string, text: string>>>>>>>"
 )
