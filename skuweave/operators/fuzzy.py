@@ -103,12 +103,12 @@ def _keyed(entries: DataFrame, keys: Callable[[Column], Column]) -> DataFrame:
     return entries.select("id", F.explode(F.array_distinct(F.flatten(key))).alias("key"))
 
 
-def similar_in_cell(min_ratio: int, block: int = 256) -> Callable:
+def similar_in_cell(min_ratio: int, block_pairs: int = 1 << 20) -> Callable:
     """The kernel of a cell: pairs of one key whose edit ratio reaches the minimum.
 
     The common subsequence is no longer than the characters two names have in common,
     counted in classes. Only pairs whose ratio could still reach the minimum on that
-    count are compared in full.
+    count are compared in full. Memory is bounded by ``block_pairs``.
     """
     lowest = (min_ratio - 0.5) / 200.0
 
@@ -163,6 +163,7 @@ def similar_in_cell(min_ratio: int, block: int = 256) -> Callable:
         a_counts, b_counts = class_counts(a_codes), class_counts(b_codes)
         used = np.flatnonzero(a_counts.any(axis=0) & b_counts.any(axis=0))
         found = []
+        block = max(1, block_pairs // len(b))
         for start in range(0, len(a), block):
             rows = slice(start, start + block)
             total = a_len[rows, None] + b_len[None, :]
@@ -259,6 +260,12 @@ def fuzzy_match(
     entries = {side: _entries(df, *fields) for side, df in (("q", inputs), ("c", catalog))}
     matches = matching_entries(entries["c"], entries["q"], min_ratio, cell_rows, max_split)
 
+    # Copies give the same pairs, so they are dropped before they can multiply.
+    catalog = catalog.select("identifier", *fields).distinct()
+    inputs = keep_one(
+        inputs.select("gfgh_id", *fields, "structure_packaging_unit"), ["gfgh_id", *fields]
+    )
+
     def rows(df: DataFrame, side: str, names: dict[str, str]) -> DataFrame:
         prepared = df.withColumns(
             {c: F.col(c).cast("string") for c in ("no_of_base_units", "base_unit_content")}

@@ -151,12 +151,14 @@ def _cells(
     )
 
 
-def best_in_cell(top: int, least: float, block: int = 256, dense_terms: int = 64) -> Callable:
+def best_in_cell(
+    top: int, least: float, block_pairs: int = 1 << 20, dense_terms: int = 64
+) -> Callable:
     """The kernel of a cell: exact scores of its names, the ``top`` best per query.
 
     The n-grams most names of the cell have are multiplied as dense matrices, the
-    others are accumulated where both names have them. Scores are held for a block
-    of queries at a time.
+    others are accumulated where both names have them. Scores are held for
+    ``block_pairs`` pairs at a time.
     """
 
     def flat(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -189,6 +191,7 @@ def best_in_cell(top: int, least: float, block: int = 256, dense_terms: int = 64
             first = np.searchsorted(s_term, np.arange(len(terms)), "left")
             width = np.searchsorted(s_term, np.arange(len(terms)), "right") - first
 
+            block = max(1, block_pairs // len(c_ids))
             for start in range(0, len(q_ids), block):
                 stop = min(start + block, len(q_ids))
                 here = slice(*np.searchsorted(q_row, [start, stop]))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -29,16 +30,18 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
     return builder.getOrCreate()
 
 
+@functools.cache
+def _private_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"skuweave-{application}-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the session names in ``spark.checkpoint.dir``.
 
     Where none is named, as in tests on one machine, a private one is made.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        folder = tempfile.mkdtemp(prefix="skuweave-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return named or _private_folder(spark.sparkContext.applicationId)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -46,6 +49,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
     What follows survives the loss of executors without recomputing ``df``, reads
     only the columns it needs, and Spark knows the real size when it plans joins.
+    The files stay until the folder is cleared, as with checkpoints.
     """
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/skuweave-{uuid.uuid4().hex}"
     df.write.parquet(path)
