@@ -258,7 +258,11 @@ def fuzzy_match(
     """
     fields = ("name", "no_of_base_units", "base_unit_content")
     entries = {side: _entries(df, *fields) for side, df in (("q", inputs), ("c", catalog))}
-    matches = matching_entries(entries["c"], entries["q"], min_ratio, cell_rows, max_split)
+    # Written before rows are attached: the comparisons are not repeated if executors
+    # are lost, and the joins below start from a shuffle, so AQE can split hot entries.
+    matches = cut_lineage(
+        matching_entries(entries["c"], entries["q"], min_ratio, cell_rows, max_split)
+    )
 
     # Copies give the same pairs, so they are dropped before they can multiply.
     catalog = catalog.select("identifier", *fields).distinct()

@@ -55,12 +55,10 @@ def changed_rows(
     Only the keys of the recently changed parents are joined, so the parent filter
     is pushed into its scan and the wide rows are not shuffled while that key list
     stays below Spark's broadcast limit. A row whose parent is missing qualifies
-    by its own stamps only.
+    by its own stamps only. ``parent_key`` is unique in ``parents``.
     """
-    changed = (
-        parents.where(_any_recent(parents, parent_stamps, as_of, days))
-        .select(F.col(parent_key).alias("_changed_parent"))
-        .distinct()
+    changed = parents.where(_any_recent(parents, parent_stamps, as_of, days)).select(
+        F.col(parent_key).alias("_changed_parent")
     )
     return (
         rows.join(changed, F.col(row_parent) == F.col("_changed_parent"), "left")

@@ -13,7 +13,8 @@ import sys
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -161,17 +162,18 @@ def best_in_cell(
     ``block_pairs`` pairs at a time.
     """
 
-    def flat(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        frame = frame.sort_values("id")
-        lengths = frame["grams"].map(len).to_numpy()
-        rows = np.repeat(np.arange(len(frame)), lengths)
+    def flat(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids in order, and one entry per n-gram: row, n-gram and weight."""
+        table = table.sort_by("id")
+        grams, weights = (table[c].combine_chunks() for c in ("grams", "weights"))
+        rows = np.repeat(np.arange(len(grams)), pc.list_value_length(grams).to_numpy())
         return (
-            frame["id"].to_numpy(), rows,
-            np.concatenate(frame["grams"].to_list()), np.concatenate(frame["weights"].to_list()),
+            table["id"].to_numpy(), rows,
+            grams.flatten().to_numpy(), weights.flatten().to_numpy(),
         )
 
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        found = []
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        found: dict[str, list] = {"q": [], "c": [], "score": []}
         if len(left) and len(right):
             q_ids, q_row, q_gram, q_w = flat(left)
             c_ids, c_row, c_gram, c_w = flat(right)
@@ -215,18 +217,13 @@ def best_in_cell(
                     best = np.argsort(-scores, axis=1, kind="stable")[:, :top]
                 score = np.take_along_axis(scores, best, axis=1)
                 keep_row, keep_n = np.nonzero(score > least)
-                found.append(
-                    pd.DataFrame(
-                        {
-                            "q": q_ids[start:stop][keep_row],
-                            "c": c_ids[best[keep_row, keep_n]],
-                            "score": score[keep_row, keep_n],
-                        }
-                    )
-                )
-        if not found:
-            return pd.DataFrame({"q": [], "c": [], "score": []}).astype({"q": "int64", "c": "int64"})
-        return pd.concat(found)
+                found["q"].append(q_ids[start:stop][keep_row])
+                found["c"].append(c_ids[best[keep_row, keep_n]])
+                found["score"].append(score[keep_row, keep_n])
+        types = {"q": "int64", "c": "int64", "score": "float64"}
+        return pa.table(
+            {c: np.concatenate([np.empty(0, t), *found[c]]).astype(t) for c, t in types.items()}
+        )
 
     return run
 
@@ -261,7 +258,7 @@ def tfidf_match(
     matches = (
         queries.groupBy(*PLACE)
         .cogroup(known.groupBy(*PLACE))
-        .applyInPandas(best_in_cell(top, least), MATCH_SCHEMA)
+        .applyInArrow(best_in_cell(top, least), MATCH_SCHEMA)
         .distinct()
     )
     best = Window.partitionBy("q").orderBy(F.desc("score"), "c")

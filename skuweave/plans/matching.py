@@ -55,47 +55,45 @@ def attach_matches(matches: DataFrame, catalog: DataFrame, inputs: DataFrame) ->
     """One row per input whose best name has a product with the same number of units.
 
     Of the products with one name and unit count only the smallest sku can be the
-    result, so they are reduced to it before the join; copies of a name on both
-    sides then do not multiply. Numbers that do not parse match nothing.
+    result, so they are reduced to it before the join. The answer is found once per
+    distinct input name and unit count and attached to the inputs last, so copies of
+    a name on either side do not multiply. Numbers that do not parse match nothing.
     """
     units = F.col("amount_single_unit").try_cast("int")
     products = (
         catalog.select(
             "sku",
-            "sku_title",
-            units.alias("no_of_base_units_all_skus"),
+            F.col("sku_title").alias("name_all_skus"),
+            units.alias("units"),
             F.replace("net_content", F.lit(","), F.lit(".")).try_cast("double")
             .alias("base_unit_content_all_skus"),
         )
-        .where(F.col("no_of_base_units_all_skus").isNotNull())
-        .groupBy("sku_title", "no_of_base_units_all_skus")
+        .where(F.col("units").isNotNull())
+        .groupBy("name_all_skus", "units")
         .agg(F.min(F.struct("sku", "base_unit_content_all_skus")).alias("_first"))
-        .select("sku_title", "no_of_base_units_all_skus", "_first.*")
+        .select("name_all_skus", "units", "_first.*")
     )
     asked = inputs.select(
         "gfgh_id",
-        "name",
-        F.col("no_of_base_units").try_cast("int").alias("no_of_base_units_input"),
+        F.col("name").alias("name_input"),
+        F.col("no_of_base_units").try_cast("int").alias("units"),
         F.col("base_unit_content").alias("base_unit_content_input"),
     )
-    found = (
-        asked.join(matches, F.col("name") == F.col("name_input"))
-        .join(
-            products,
-            (F.col("name_all_skus") == F.col("sku_title"))
-            & (F.col("no_of_base_units_input") == F.col("no_of_base_units_all_skus")),
-        )
-        .select(
-            "sku",
-            "gfgh_id",
-            "name_input",
-            "no_of_base_units_input",
-            "base_unit_content_input",
-            "name_all_skus",
-            "no_of_base_units_all_skus",
-            "base_unit_content_all_skus",
-            "similarity",
-        )
+    answers = (
+        asked.select("name_input", "units").distinct()
+        .join(matches, "name_input")
+        .join(products, ["name_all_skus", "units"])
+    )
+    found = asked.join(answers, ["name_input", "units"]).select(
+        "sku",
+        "gfgh_id",
+        "name_input",
+        F.col("units").alias("no_of_base_units_input"),
+        "base_unit_content_input",
+        "name_all_skus",
+        F.col("units").alias("no_of_base_units_all_skus"),
+        "base_unit_content_all_skus",
+        "similarity",
     )
     return keep_one(found, ["gfgh_id"], [F.desc("similarity"), "sku"])
 

@@ -259,7 +259,7 @@ def product_sources(spark: SparkSession, folder: str) -> ProductSources:
         distributor=derive(lines, given.DISTRIBUTOR),
         options=derive(part, given.OPTIONS).distinct(),
         option_values=derive(part, given.OPTION_VALUES).distinct(),
-        categories=derive(lines.where("l_quantity > 25"), given.CATEGORIES),
+        categories=derive(lines.where("l_quantity > 48"), given.CATEGORIES),
         merchants_new=derive(part, given.MERCHANTS_NEW),
         merchants_active=derive(part, given.MERCHANTS_ACTIVE),
     )
@@ -314,7 +314,7 @@ _SOURCE_CTES = (
     f"vals AS ({derive_sql('part', given.OPTION_VALUES, True)}), "
     "lookup AS (SELECT code, min(value) AS value FROM options LEFT JOIN vals ON option_id = id "
     "GROUP BY code HAVING min(value) IS NOT NULL), "
-    f"categories AS ({derive_sql('lineitem WHERE l_quantity > 25', given.CATEGORIES, True)})"
+    f"categories AS ({derive_sql('lineitem WHERE l_quantity > 48', given.CATEGORIES, True)})"
 )
 
 

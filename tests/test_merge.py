@@ -152,11 +152,13 @@ def test_sync_job(spark, tmp_path):
     spark.sql("DROP TABLE synced")
 
 
-def test_json_types(spark):
+def test_json_types(spark, tmp_path):
     df = spark.createDataFrame([(1, '{"a": 1}')], "id long, raw_values string")
     typed = with_json_types(df)
     assert typed.schema["raw_values"].dataType.simpleString() == "variant"
-    assert typed.select(F.variant_get("raw_values", "$.a", "int")).first()[0] == 1
+    typed.write.parquet(str(tmp_path / "typed"))
+    stored = spark.read.parquet(str(tmp_path / "typed"))
+    assert stored.select(F.variant_get("raw_values", "$.a", "int")).first()[0] == 1
 
 
 def test_row_count_comes_with_the_load(spark):
