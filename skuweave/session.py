@@ -44,6 +44,11 @@ def shared_folder(spark: SparkSession) -> str:
     return named or _private_folder(spark.sparkContext.applicationId)
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A path below the shared folder that nothing uses yet."""
+    return f"{shared_folder(spark).rstrip('/')}/skuweave-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and go on from its files.
 
@@ -51,7 +56,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     only the columns it needs, and Spark knows the real size when it plans joins.
     The files stay until the folder is cleared, as with checkpoints.
     """
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/skuweave-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

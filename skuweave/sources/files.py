@@ -62,7 +62,7 @@ def read_address_results(
 
 
 def read_board_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed board pages, one JSON document per file or line, with the file as page."""
+    """Landed board pages, one JSON document per file, with the file as page."""
     pages = spark.read.schema(BOARD_PAGE).option("multiLine", True).json(path)
     return pages.select(F.col("_metadata.file_path").alias("page"), "data")
 

@@ -12,7 +12,8 @@ from skuweave.operators.crm import (
     payload,
     recently_updated,
 )
-from skuweave.sinks.text import fixed_format_line
+from skuweave.session import new_folder
+from skuweave.sinks.text import fixed_format_line, write_fixed_format
 from skuweave.workloads.inputs import table
 
 QUERIES: dict = {}
@@ -129,13 +130,20 @@ _EXPORT = (
 )
 
 
-@query(
-    f"WITH {_TABLE} SELECT child_customer_uuid AS id, "
-    + " || '@' || ".join(
-        f"""'"' || replace(coalesce(CAST({c} AS VARCHAR), ''), '"', '""') || '"'""" for c in _EXPORT
-    )
-    + " AS line FROM crm"
+_LINE = " || '@' || ".join(
+    f"""'"' || replace(coalesce(CAST({c} AS VARCHAR), ''), '"', '""') || '"'""" for c in _EXPORT
 )
+
+
+@query(f"WITH {_TABLE} SELECT {_LINE} AS line FROM crm")
+def fixed_format_file(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines of the written files."""
+    path = new_folder(spark)
+    write_fixed_format(crm_table(customer_information(spark, folder), AS_OF).select(*_EXPORT), path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+@query(f"WITH {_TABLE} SELECT child_customer_uuid AS id, {_LINE} AS line FROM crm")
 def fixed_format_lines(spark: SparkSession, folder: str) -> DataFrame:
     export = crm_table(customer_information(spark, folder), AS_OF).select(*_EXPORT)
     return export.select(F.col("child_customer_uuid").alias("id"), fixed_format_line(export).alias("line"))

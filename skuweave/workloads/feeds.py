@@ -6,7 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skuweave.operators.cleaning import clean_sheet, drop_header_rows, picture_uploads
 from skuweave.operators.columns import columns_first, drop_columns, lower_case_columns, rename, rename_all
+from skuweave.operators.merge import stamped
 from skuweave.operators.pivot import pivot_items, pivot_rows, titles_of
+from skuweave.plans.feeds import sheet
+from skuweave.session import new_folder
+from skuweave.sources.files import address_result_columns, read_address_results
 from skuweave.workloads.inputs import derive, derive_sql, table
 
 QUERIES: dict = {}
@@ -72,6 +76,42 @@ def clean_worksheet(spark: SparkSession, folder: str) -> DataFrame:
     return clean_sheet(derive(table(spark, folder, "customer"), _SHEET))
 
 
+@query(
+    f"SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name FROM (SELECT {_SHEET['c_custkey']} AS c_custkey, "
+    f"{_SHEET['c_name']} AS c_name FROM customer) WHERE c_custkey IS NOT NULL OR c_name IS NOT NULL"
+)
+def worksheet_file(spark: SparkSession, folder: str) -> DataFrame:
+    """The sheet written as a file whose second and fourth columns have no header."""
+    path = new_folder(spark)
+    rows = derive(table(spark, folder, "customer"), _SHEET)
+    rows.toDF("c_custkey", " ", "c_name", "  ").write.csv(path, header=True)
+    return sheet(spark, path)
+
+
+_ADDRESS = (
+    "c_custkey", "c_custkey + 1", "o_orderkey", "c_name", "c_mktsegment", "o_orderpriority", "c_nationkey",
+    "o_orderstatus", "o_custkey", "'tel ' || o_orderkey", "c_name || '@example.org'", "CAST(o_orderdate AS DATE)",
+)
+_ADDRESS_COLUMNS = address_result_columns("sender", "vendor")
+
+
+@query(
+    "SELECT "
+    + ", ".join(f"CAST({e} AS VARCHAR) AS {n}" for e, n in zip(_ADDRESS, _ADDRESS_COLUMNS))
+    + ", '2024-01-01' AS _updated_at FROM customer JOIN orders ON o_custkey = c_custkey"
+)
+def address_result_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Tab-separated files that all repeat the header, read back as one frame."""
+    path = new_folder(spark)
+    joined = table(spark, folder, "customer").join(
+        table(spark, folder, "orders"), F.col("o_custkey") == F.col("c_custkey")
+    )
+    upper = [c.upper() for c in _ADDRESS_COLUMNS]
+    joined.selectExpr(*_ADDRESS).toDF(*upper).write.csv(path, sep="\t", header=True)
+    named = lower_case_columns(read_address_results(spark, path, upper, "part-*"))
+    return stamped(drop_header_rows(named, named.columns[0]), F.lit("2024-01-01"))
+
+
 _FEED = {
     "S_NAME": "CASE WHEN s_nationkey = 4 THEN 'S_NAME' WHEN s_nationkey <> 6 THEN s_name END",
     "S_KEY": "s_suppkey",

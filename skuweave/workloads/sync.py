@@ -14,7 +14,8 @@ from skuweave.plans.table_sync import (
     Sync,
     sync_table,
 )
-from skuweave.sinks.tables import with_json_text
+from skuweave.session import new_folder
+from skuweave.sinks.tables import upsert_partitions, with_json_text
 from skuweave.workloads.inputs import table
 
 QUERIES: dict = {}
@@ -146,3 +147,20 @@ def concat_frames(spark: SparkSession, folder: str) -> DataFrame:
 def append_batch(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events").select("event_id", "user_id", "event_type", "value")
     return append(events, events.where("event_type = 'purchase'"))
+
+
+_CHANGED_EVENTS = "SELECT event_id, ts, user_id, value + 1000 AS value, event_type FROM events WHERE value > 60"
+
+
+@query(
+    "SELECT event_id, ts, user_id, value, event_type FROM events WHERE event_id NOT IN "
+    f"(SELECT event_id FROM ({_CHANGED_EVENTS})) UNION ALL {_CHANGED_EVENTS}"
+)
+def upsert_partition_files(spark: SparkSession, folder: str) -> DataFrame:
+    """A partitioned folder after a batch has been merged into the partitions it touches."""
+    path = new_folder(spark)
+    events = table(spark, folder, "events").select("event_id", "ts", "user_id", "value", "event_type")
+    events.write.partitionBy("event_type").parquet(path)
+    batch = events.where("value > 60").withColumn("value", F.col("value") + 1000)
+    upsert_partitions(batch, path, "event_id", "event_type")
+    return spark.read.parquet(path)
