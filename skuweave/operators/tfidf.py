@@ -153,7 +153,7 @@ def _cells(
 
 
 def best_in_cell(
-    top: int, least: float, block_pairs: int = 1 << 20, dense_terms: int = 64
+    top: int, least: float, block_pairs: int = 1 << 20, dense_terms: int = 128
 ) -> Callable:
     """The kernel of a cell: exact scores of its names, the ``top`` best per query.
 

@@ -116,7 +116,8 @@ def delta_load(
     A changed product that lost its category is removed from the table, as its
     old row is deleted and no new one is built.
     """
-    changed = changed_products(sources, as_of, days)
+    # Used for the new rows and for removing the old ones; finding it scans all products.
+    changed = cut_lineage(changed_products(sources, as_of, days))
     settings.setdefault("with_manufacturer_mark", False)
     rows = product_table(sources, products=changed, **settings)
     kept = target.join(changed.select("identifier").distinct(), "identifier", "left_anti")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from skuweave.functions.dates import AsOf
 from skuweave.operators.merge import append, stamped, upsert
 from skuweave.operators.scans import date_window, look_back
+from skuweave.session import cut_lineage
 from skuweave.sinks.tables import append_table, replace_table, with_json_text
 
 FULL_RELOAD = "FULL_RELOAD"
@@ -66,6 +67,11 @@ def run_sync(
         source = with_json_text(source)
     target = spark.table(table) if spark.catalog.tableExists(table) else None
     if target is not None and sync.mode == INSERT_NEW_ROWS:
-        append_table(stamped(batch_of(source, sync, as_of)).select(*target.columns), table)
+        append_table(stamped(batch_of(source, sync, as_of)), table)
+    elif target is not None and sync.mode == UPSERT:
+        # A merge uses the batch twice. It is read once, so that rows changing in the
+        # source meanwhile cannot be deleted without being inserted.
+        batch = cut_lineage(stamped(batch_of(source, sync, as_of)))
+        replace_table(upsert(target, batch, sync.key), table, root)
     else:
         replace_table(sync_table(source, target, sync, as_of), table, root)

@@ -50,7 +50,9 @@ def replace_table(df: DataFrame, table: str, root: str, partition_by: Sequence[s
 
 
 def append_table(df: DataFrame, table: str) -> None:
-    df.write.mode("append").insertInto(table)
+    """Add rows to a table, matching columns by name."""
+    columns = df.sparkSession.table(table).columns
+    df.select(*[F.col(quoted(c)) for c in columns]).write.mode("append").insertInto(table)
 
 
 def upsert_table(batch: DataFrame, table: str, keys: Sequence[str] | str, root: str) -> str:
