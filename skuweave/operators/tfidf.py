@@ -59,19 +59,15 @@ def term_counts(names: DataFrame, n: int = 3, key: str = "name") -> DataFrame:
     )
 
 
-def smoothed_idf(df: Column, documents: Column) -> Column:
-    return F.log((F.lit(1) + documents) / (F.lit(1) + df)) + F.lit(1.0)
+def smoothed_idf(df: Column, documents: int) -> Column:
+    return F.log(F.lit(1.0 + documents) / (F.lit(1) + df)) + F.lit(1.0)
 
 
 def fit_vocabulary(names: DataFrame, counts: DataFrame) -> DataFrame:
     """``(gram, df, idf)``: in how many catalogue rows, copies included, and its weight."""
-    documents = names.agg(F.sum("copies").alias("documents"))
-    # One aggregated row is broadcast.
-    return (
-        counts.groupBy("gram").agg(F.sum("copies").alias("df"))
-        .join(F.broadcast(documents))
-        .select("gram", "df", smoothed_idf(F.col("df"), F.col("documents")).alias("idf"))
-    )
+    documents = names.agg(F.sum("copies")).first()[0] or 0
+    frequency = counts.groupBy("gram").agg(F.sum("copies").alias("df"))
+    return frequency.select("gram", "df", smoothed_idf(F.col("df"), documents).alias("idf"))
 
 
 def inverse_document_frequency(catalog: DataFrame, column: str, n: int = 3) -> DataFrame:

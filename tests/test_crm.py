@@ -6,7 +6,7 @@ import json
 from conftest import records
 from pyspark.sql import functions as F
 
-from skuweave.operators.crm import PROPERTIES, TABLE_COLUMNS, crm_table, payload, recently_updated
+from skuweave.operators.crm import PROPERTIES, TABLE_COLUMNS, crm_table, deliver, payload, recently_updated
 from skuweave.plans.crm import build_table, recent_payloads
 from skuweave.sinks.text import fixed_format_line, write_fixed_format
 
@@ -85,6 +85,19 @@ def test_job(spark):
     spark.sql("DROP TABLE crm_upload")
 
 
+def test_delivery_runs_per_row(spark, tmp_path):
+    df = customers(spark, *[{"parent_customer_owner_email": f"{i}@example.org"} for i in range(5)])
+    folder = str(tmp_path)
+
+    def send(email, document):
+        with open(f"{folder}/{email}", "w") as file:
+            file.write(document)
+
+    deliver(payload(df), send)
+    assert sorted(p.name for p in tmp_path.iterdir()) == [f"{i}@example.org" for i in range(5)]
+    assert json.loads((tmp_path / "3@example.org").read_text())["properties"][3]["value"] == "3@example.org"
+
+
 def test_fixed_format_bytes(spark, tmp_path):
     folder = tmp_path / "out"
     df = spark.createDataFrame(

@@ -92,6 +92,12 @@ def test_copies_weigh_in_the_frequencies(spark):
     assert idf["bcd"] == (3, pytest.approx(1.0))
 
 
+def test_names_are_not_crossed(spark):
+    c, i = frames(spark, names(1, 20), names(2, 20))
+    plan = tfidf_match(c, i)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
 def test_cap_on_matches(spark):
     df = spark.createDataFrame([(f"n{i}", "x", 0.9) for i in range(5)], "name_input string, name_all_skus string, similarity double")
     assert {r["name_input"] for r in first_matches(df, 2).collect()} == {"n0", "n1"}
