@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from skuweave.functions.text import lcs_length, one_contains_other, tokens
 from skuweave.operators.cells import CELL_ROWS, MAX_SPLIT, PLACE, meet
 from skuweave.operators.dedup import keep_one
-from skuweave.session import cut_lineage, spread
+from skuweave.session import cut_lineage, spread, together
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -257,7 +257,8 @@ def fuzzy_match(
     once, the smallest remaining columns first. A missing unit matches nothing.
     """
     fields = ("name", "no_of_base_units", "base_unit_content")
-    entries = {side: _entries(df, *fields) for side, df in (("q", inputs), ("c", catalog))}
+    prepared = together(lambda: _entries(inputs, *fields), lambda: _entries(catalog, *fields))
+    entries = dict(zip("qc", prepared))
     # Written before rows are attached: the comparisons are not repeated if executors
     # are lost, and the joins below start from a shuffle, so AQE can split hot entries.
     matches = cut_lineage(

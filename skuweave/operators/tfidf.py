@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skuweave.functions.text import ngrams, without_noise
 from skuweave.operators.cells import CELL_ROWS, MAX_SPLIT, PLACE, meet
-from skuweave.session import cut_lineage, spread
+from skuweave.session import cut_lineage, spread, together
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -242,14 +242,17 @@ def tfidf_match(
     catalogue name that sorts first.
     """
     least = max(lower_bound, min_score)
-    names = numbered_names(catalog, catalog_name)
-    query_names = numbered_names(inputs, input_name)
+    names, query_names = together(
+        lambda: numbered_names(catalog, catalog_name), lambda: numbered_names(inputs, input_name)
+    )
     counts = term_counts(names, n, "id")
     vocabulary = cut_lineage(
         fit_vocabulary(names, counts).withColumn("gram_id", F.monotonically_increasing_id())
     )
-    catalog_rows = _vectors(counts, vocabulary, least)
-    query_rows = _vectors(term_counts(query_names, n, "id"), vocabulary, least)
+    query_counts = term_counts(query_names, n, "id")
+    catalog_rows, query_rows = together(
+        lambda: _vectors(counts, vocabulary, least), lambda: _vectors(query_counts, vocabulary, least)
+    )
     queries, known = _cells(query_rows, catalog_rows, cell_rows, max_split)
     matches = (
         queries.groupBy(*PLACE)

@@ -5,6 +5,8 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,3 +72,9 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     spark = df.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(max(partitions, spark.sparkContext.defaultParallelism), key)
+
+
+def together(*steps: Callable[[], object]) -> list:
+    """Run steps that each start a Spark job side by side; the cluster shares them out."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [running.result() for running in [pool.submit(step) for step in steps]]
