@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from llm.bpe import op1_byte_bpe
+from llm.near_dedup import op2_near_dedup
 from llm.quality_model import op5_quality_classifier
 from llm.quality_rules import op9_quality_rules
 from llm.secrets import op7_secret_scans
@@ -11,6 +13,8 @@ from llm.secrets import op7_secret_scans
 QUERIES: dict[str, Callable] = {
     function.__name__: function
     for function in (
+        op1_byte_bpe,
+        op2_near_dedup,
         op5_quality_classifier,
         op7_secret_scans,
         op9_quality_rules,
