@@ -4,25 +4,52 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import quality_model, secrets
-from llm.common import table
+from llm import bpe, decontaminate, near_dedup, quality_model, secrets
+from llm.common import table, with_small
 from skuweave.session import cut_lineage
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier accepts; it learns from the labelled documents."""
+    """Documents that the classifier accepts; it learns from the labelled ones."""
     model = quality_model.fit(docs, table(spark, sf_dir, "labels"))
     return quality_model.accepted(docs, model)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group, the one with the smallest doc_id.
+
+    Rows without a doc_id cannot be told apart by it and stay. Rows that are equal in
+    every column become one.
+    """
+    groups = near_dedup.group_near(docs)
+    out = cut_lineage(groups.filter("not kept and doc_id is not null").select("doc_id").distinct())
+    rows = docs.join(with_small(out, out.count()), "doc_id", "left_anti").select(*docs.columns)
+    repeated = docs.groupBy("doc_id").count().filter("count > 1 and doc_id is not null")
+    return rows if repeated.isEmpty() else rows.distinct()
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with what the scan finds taken out of their texts."""
     return secrets.redact(docs)
 
 
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document and the digests of ids and decoded bytes."""
+    found = bpe.digests(bpe.encode(docs, written=True))
+    return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids")
+
+
 STAGES = [
     ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("benchmark", benchmark),
     ("secrets", secret_scan),
+    ("tokens", tokens),
 ]
 
 # Learned scores and similarity search have no SQL form.
@@ -30,6 +57,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each on the written result of the one before."""
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         docs = cut_lineage(stage(spark, docs, sf_dir))

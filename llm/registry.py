@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from llm.bpe import op1_byte_bpe
+from llm.decontaminate import op3_decontaminate
 from llm.near_dedup import op2_near_dedup
 from llm.quality_model import op5_quality_classifier
 from llm.quality_rules import op9_quality_rules
@@ -15,6 +16,7 @@ QUERIES: dict[str, Callable] = {
     for function in (
         op1_byte_bpe,
         op2_near_dedup,
+        op3_decontaminate,
         op5_quality_classifier,
         op7_secret_scans,
         op9_quality_rules,
