@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from llm.bpe import op1_byte_bpe
 from llm.decontaminate import op3_decontaminate
+from llm.language_model import op10_lm_score
 from llm.near_dedup import op2_near_dedup
 from llm.quality_model import op5_quality_classifier
 from llm.quality_rules import op9_quality_rules
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable] = {
         op5_quality_classifier,
         op7_secret_scans,
         op9_quality_rules,
+        op10_lm_score,
     )
 }
 
