@@ -11,6 +11,7 @@ from llm.near_dedup import op2_near_dedup
 from llm.quality_model import op5_quality_classifier
 from llm.quality_rules import op9_quality_rules
 from llm.secrets import op7_secret_scans
+from llm.token_counts import op6_token_counts
 
 QUERIES: dict[str, Callable] = {
     function.__name__: function
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable] = {
         op2_near_dedup,
         op3_decontaminate,
         op5_quality_classifier,
+        op6_token_counts,
         op7_secret_scans,
         op9_quality_rules,
         op10_lm_score,
