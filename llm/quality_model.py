@@ -19,7 +19,8 @@ from llm.common import as_bytes, fold, map_batches, slices, table
 
 WIDTH = 8  # bytes a filter sees
 STEP = 2  # bytes between two windows
-CHUNK = 256  # bytes a chunk adds; it also reads the WIDTH - STEP bytes behind it
+CHUNK = 256  # bytes a chunk adds; it also reads the OVERLAP bytes before it
+OVERLAP = WIDTH - STEP
 EMBED = 6
 FILTERS = 24
 CUT = 0.3  # scores from here on are predicted as label 1
@@ -64,10 +65,14 @@ class Network:
 
 
 def chunked(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """All texts' bytes in one array, each padded to whole chunks; chunks per text."""
-    chunks = np.array([-(-len(text) // CHUNK) for text in texts], np.int64)
+    """All texts' bytes in one array, each padded to whole chunks; chunks per text.
+
+    A chunk's windows begin OVERLAP bytes before it. So many zeros at least stand
+    behind each text, so that no window reads from two texts.
+    """
+    chunks = np.array([-(-(len(text) + OVERLAP) // CHUNK) for text in texts], np.int64)
     padded = b"".join(text.ljust(n * CHUNK, b"\0") for text, n in zip(texts, chunks))
-    return np.frombuffer(padded + bytes(WIDTH), np.uint8), chunks
+    return np.frombuffer(bytes(OVERLAP) + padded, np.uint8), chunks
 
 
 def windows_of(network: Network, data: np.ndarray, rows: int) -> np.ndarray:
@@ -86,7 +91,7 @@ def pooled(network: Network, data: np.ndarray, rows: int, most: int = 2_048) ->
     out = np.empty((rows, FILTERS), np.float32)
     for start in range(0, rows, most):
         stop = min(start + most, rows)
-        part = data[start * CHUNK : stop * CHUNK + WIDTH]
+        part = data[start * CHUNK : stop * CHUNK + OVERLAP]
         response = windows_of(network, part, stop - start) @ network.filters
         out[start:stop] = response.reshape(stop - start, CHUNK // STEP, FILTERS).max(1)
     return np.maximum(out + network.shift, 0)
@@ -125,7 +130,10 @@ def gradients(network: Network, texts: list[bytes], labels: np.ndarray, weight:
     owner = np.repeat(np.arange(len(texts)), chunks)
     back = error[:, None] * network.weights[None, :]
     mean_part = back[owner, :FILTERS] / chunks[owner, None]
-    top = peaks == inputs[owner, FILTERS:]
+    starts = np.cumsum(chunks) - chunks
+    top = np.zeros(peaks.shape, bool)
+    for start, count in zip(starts, chunks):  # the first of chunks that tie
+        top[start + peaks[start : start + count].argmax(0), np.arange(FILTERS)] = True
     slope = (mean_part + back[owner, FILTERS:] * top) * (raw > 0)
     # Only the window with the largest response of each chunk and filter gets a share.
     place = np.arange(rows)[:, None] * (CHUNK // STEP) + best

@@ -1,21 +1,20 @@
 from __future__ import annotations
 
-import random
+import sys
+from pathlib import Path
 
 import pytest
 
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+from prose_texts import prose  # noqa: E402
+
 ODD_COLUMNS = (
     "doc_id long, text string, id long, key string, block int, node int, ids string, sig int, "
     "label int, words int, n int, spans string, row int, blob string"
 )
 
 
-def prose(words: int, seed: int) -> str:
-    draw = random.Random(seed)
-    stems = ["the", "of", "and", "tion", "ing", "er", "ha", "re", "est", "ly", "on", "at"]
-    return " ".join("".join(draw.choice(stems) for _ in range(draw.randint(1, 4))) for _ in range(words))
-
-
 @pytest.fixture(scope="session")
 def odd_rows() -> list[tuple]:
     """Null ids and texts, blank, repeated, tied, long and non-ASCII texts."""
