@@ -2,10 +2,11 @@
 
 A page is read into blocks of text, each with its tag path from the root. Per path,
 text length and punctuation are summed over the path's nodes and divided by their
-number. The two ratios are smoothed over neighbouring nodes in page order and fused,
-links count against a path, and the weight of the paths is summed up the tree. The
+number. The two ratios are fused and smoothed over neighbouring nodes in page order,
+links count against a path, and what the paths weigh is summed up the tree. The
 content is what lies under the deepest container that holds most of that weight;
-paths beside it are kept if their own fused ratio passes the threshold.
+paths beside it are kept if their own fused ratio passes the threshold, paths in it
+are left out if they are mostly links.
 
 Menus, headers, footers, sidebars, notices, adverts, forms and comments that say by
 element, class, id or role what they are never take part.
@@ -66,11 +67,13 @@ class Ratios:
 
     ``share``: a container must hold this share of its parent's weight to be entered.
     ``threshold``: paths beside the container need this part of its fused ratio.
+    ``links``: paths in a container without a telling name may be so much of links.
     ``spread``: standard deviation, in nodes, of the smoothing.
     """
 
     share: float = 0.6
     threshold: float = 0.8
+    links: float = 0.5
     spread: float = 1.0
 
 
@@ -79,6 +82,7 @@ class Node:
     """A block of text and where it stands."""
 
     path: tuple[str, ...]
+    place: tuple[int, ...]  # the elements themselves, where the path has their kinds
     parts: list[str] = field(default_factory=list)
     linked: int = 0
 
@@ -108,7 +112,8 @@ def marks_of(attributes: str) -> tuple[str, bool]:
 def blocks_of(page: str) -> list[Node]:
     """The page's blocks in order, without those set apart; blank ones are left out."""
     nodes: list[Node] = []
-    stack: list[tuple[str, str, bool]] = []  # name, label, set apart
+    stack: list[tuple[str, str, bool, int]] = []  # name, label, set apart, number
+    number = 0
     current: Node | None = None
     depth = linked = 0
     raw: str | None = None
@@ -127,8 +132,9 @@ def blocks_of(page: str) -> list[Node]:
             if match["text"]:
                 text = html.unescape(text)
             if current is None:
-                path = tuple(name + ("." + label if label else "") for name, label, _ in stack if name not in _INLINE)
-                current = Node(path)
+                block = [element for element in stack if element[0] not in _INLINE]
+                path = tuple(name + ("." + label if label else "") for name, label, _, _ in block)
+                current = Node(path, tuple(element[3] for element in block))
                 nodes.append(current)
             current.parts.append(text)
             current.linked += linked * len(text.strip())
@@ -157,13 +163,14 @@ def blocks_of(page: str) -> list[Node]:
             inside = any(s[0] in ("article", "main") for s in stack)
             apart = apart or name in _APART or name == "header" and not inside
             # The page itself cannot be set apart.
-            stack.append((name, label, apart and name not in ("html", "body", "article", "main")))
+            number += 1
+            stack.append((name, label, apart and name not in ("html", "body", "article", "main"), number))
         depth = sum(s[2] for s in stack)
         linked = int(any(s[0] == "a" for s in stack))
     return [node for node in nodes if node.text]
 
 
-def _close_before(stack: list[tuple[str, str, bool]], name: str) -> None:
+def _close_before(stack: list[tuple[str, str, bool, int]], name: str) -> None:
     """Close what the start of ``name`` ends by itself: paragraphs, items, cells."""
     for at in range(len(stack) - 1, -1, -1):
         if stack[at][0] == "p":
@@ -200,27 +207,37 @@ def content(nodes: list[Node], ratios: Ratios = Ratios()) -> list[Node]:
     if not nodes:
         return []
     ratio = path_ratios(nodes, ratios)
-    # Weight of every container: the fused ratios and text lengths below it.
-    weight: dict[tuple[str, ...], float] = defaultdict(float)
+    # Weight of every element: its text outside links, times what its path is worth.
+    weight: dict[tuple[int, ...], float] = defaultdict(float)
+    kinds: dict[tuple[int, ...], str] = {(): ""}
+    linked: dict[tuple[str, ...], list[int]] = defaultdict(lambda: [0, 0])
     for node in nodes:
-        for end in range(len(node.path) + 1):
-            weight[node.path[:end]] += (len(node.text) - node.linked) * (1 + ratio[node.path]) + 1e-9
-    inner: tuple[str, ...] = ()
+        linked[node.path][0] += node.linked
+        linked[node.path][1] += len(node.text)
+        for end in range(len(node.place) + 1):
+            weight[node.place[:end]] += max(len(node.text) - node.linked, 0) * (1 + ratio[node.path])
+            if end:
+                kinds[node.place[:end]] = node.path[end - 1].split(".")[0]
+    inner: tuple[int, ...] = ()
     while True:
-        below = {p[: len(inner) + 1] for p in ratio if len(p) > len(inner) and p[: len(inner)] == inner}
-        heavy = max(sorted(below), key=lambda p: weight[p], default=None)
-        if heavy is None or heavy[-1].split(".")[0] in _LEAVES or weight[heavy] < ratios.share * weight[inner]:
+        below = [p for p in weight if len(p) == len(inner) + 1 and p[:-1] == inner]
+        heavy = max(below, key=lambda p: (weight[p], -p[-1]), default=None)
+        if heavy is None or kinds[heavy] in _LEAVES or weight[heavy] < ratios.share * weight[inner] or not weight[heavy]:
             break
         inner = heavy
-    inside = [n for n in nodes if n.path[: len(inner)] == inner]
+    inside = [n for n in nodes if n.place[: len(inner)] == inner]
     own = float(np.average([ratio[n.path] for n in inside], weights=[len(n.text) for n in inside]))
-    return [
-        n
-        for n in nodes
-        if n.path[: len(inner)] == inner
-        # Another container of the same kind as the article, such as its second part.
-        or (ratio[n.path] >= ratios.threshold * own and n.path[-1:] and n.path[-1].split(".")[0] in _LEAVES and not n.linked and len(n.text) >= own)
-    ]
+    named = any(kinds[inner[:end]] in ("article", "main") for end in range(1, len(inner) + 1))
+    kept = []
+    for node in nodes:
+        share = linked[node.path][0] / linked[node.path][1]
+        if node.place[: len(inner)] == inner:
+            if named or share <= ratios.links:
+                kept.append(node)
+        # Text as dense as the article's own, such as its part in another container.
+        elif kinds.get(node.place) in _LEAVES and not share and min(ratio[node.path], len(node.text)) >= ratios.threshold * own:
+            kept.append(node)
+    return kept
 
 
 def main_text(page: str, ratios: Ratios = Ratios()) -> str:
