@@ -64,6 +64,21 @@ def test_a_large_group_of_near_copies_is_one_component(spark):
     assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute(dict(rows))
 
 
+def test_buckets_larger_than_a_cell(spark):
+    draw = random.Random(9)
+    words = [f"w{at}" for at in range(2_000)]
+    base = [draw.choice(words) for _ in range(80)]
+    rows = []
+    for key in range(150):
+        own = list(base)
+        for _ in range(draw.randint(0, 6)):
+            own[draw.randrange(80)] = draw.choice(words)
+        rows.append((key, " ".join(own)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in group_near(df, Likeness(cell=10)).collect()}
+    assert got == brute(dict(rows)) == found(df)
+
+
 def test_odd_rows(odd, nothing):
     rows = group_near(odd).collect()
     assert len(rows) == odd.count()
@@ -91,7 +106,7 @@ def test_bounds_of_matches():
         every = draw.integers(0, 1 << 63, 70, np.uint64)
         sets += [np.sort(every[:60]), np.sort(every[10:])]
     for left, right in zip(sets[::2], sets[1::2]):
-        a, b = signatures([left, right], how)
+        a, b = signatures([left, right], how.hashes, how.seed)
         shares.append((a == b).mean())
     assert abs(np.mean(shares) - 50 / 70) < 0.01
 
