@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Rows of one side a cell is meant to hold, and how many keys may be split over
-# several cells before cells grow instead. The second bounds what is broadcast.
+from skuweave.session import cut_lineage
+
+# Rows of one side a cell is meant to hold, and up to how many split keys their list
+# is broadcast; beyond that it is joined by a shuffle. Cells never grow with the data.
 CELL_ROWS = 2_048
-MAX_SPLIT = 100_000
+BROADCAST_KEYS = 1_000_000
 
 PLACE = ("cell", "q_slot", "c_slot")
 
@@ -18,7 +20,7 @@ def meet(
     key: str,
     totals: tuple[int, int] | None = None,
     cell_rows: int = CELL_ROWS,
-    max_split: int = MAX_SPLIT,
+    broadcast_keys: int = BROADCAST_KEYS,
 ) -> tuple[DataFrame, DataFrame]:
     """Place ``(id, key)`` rows of both sides so that equal keys always meet.
 
@@ -28,19 +30,18 @@ def meet(
     ``q_slot`` and ``c_slot``. Different keys may meet as well.
     """
     totals = totals or (queries.count(), catalog.count())
-    sizes = [max(cell_rows, total // max_split) for total in totals]
-    bundles = max(1, *(-(-total // size) for total, size in zip(totals, sizes)))
+    bundles = max(1, *(-(-total // cell_rows) for total in totals))
 
-    def split(side: DataFrame, size: int, name: str) -> DataFrame:
+    def split(side: DataFrame, name: str) -> DataFrame:
         return (
-            side.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > size)
-            .select(key, F.ceil(F.col("_n") / F.lit(size)).cast("int").alias(name))
+            side.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > cell_rows)
+            .select(key, F.ceil(F.col("_n") / F.lit(cell_rows)).cast("int").alias(name))
         )
 
-    # At most total / size keys exceed the size, on either side.
+    # At most total / cell_rows keys exceed a cell, on either side.
     slots = (
-        split(queries, sizes[0], "_q_slots")
-        .unionByName(split(catalog, sizes[1], "_c_slots"), allowMissingColumns=True)
+        split(queries, "_q_slots")
+        .unionByName(split(catalog, "_c_slots"), allowMissingColumns=True)
         .groupBy(key)
         .agg(F.max("_q_slots").alias("_q_slots"), F.max("_c_slots").alias("_c_slots"))
         .select(
@@ -49,6 +50,9 @@ def meet(
             F.coalesce("_c_slots", F.lit(1)).alias("_c_slots"),
         )
     )
+    slots = cut_lineage(slots)
+    if slots.count() <= broadcast_keys:
+        slots = F.broadcast(slots)
     hashed = F.xxhash64(key)
     bundle = F.pmod(hashed, F.lit(bundles).cast("long"))
     own_cell = -F.pmod(hashed, F.lit(1 << 62)) - F.lit(1).cast("long")
@@ -57,7 +61,7 @@ def meet(
         def count(name: str) -> Column:
             return F.coalesce(F.col(f"_{name}s"), F.lit(1))
 
-        return side.join(F.broadcast(slots), key, "left").select(
+        return side.join(slots, key, "left").select(
             *side.columns,
             F.when(F.col("_q_slots").isNull(), bundle).otherwise(own_cell).alias("cell"),
             F.pmod(F.xxhash64("id"), count(own)).cast("int").alias(own),

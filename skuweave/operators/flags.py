@@ -12,8 +12,6 @@ from skuweave.functions.json_values import quoted
 EXCLUDED_FROM_COLUMNS = ("trinkkontor", "trinkkontor_trr", "merchant_key")
 EXCLUDED_FROM_COUNT = ("trinkkontor", "trinkkontor_trr")
 
-MAX_KEYS = 5_000
-
 
 def union_keys(first: DataFrame, second: DataFrame, key: str = "merchant_key") -> DataFrame:
     return first.select(key).union(second.select(key)).distinct()
@@ -26,14 +24,15 @@ def without_keys(df: DataFrame, key: str, excluded: Sequence[str]) -> DataFrame:
     return df
 
 
-def sorted_keys(keys: DataFrame, key: str = "merchant_key", limit: int = MAX_KEYS) -> list[str]:
+def sorted_keys(keys: DataFrame, key: str = "merchant_key", limit: int | None = None) -> list[str]:
     """The distinct non-null keys in ascending order, for building columns.
 
-    Each key becomes columns of the result, so there can only be as many as a
-    table may have columns; more raise an error instead of being dropped.
+    Each key becomes columns of the result, so they are as few as a table's columns.
+    More than a ``limit`` that the caller sets raise an error instead of being dropped.
     """
-    rows = keys.where(F.col(key).isNotNull()).select(key).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
+    found = keys.where(F.col(key).isNotNull()).select(key).distinct()
+    rows = (found if limit is None else found.limit(limit + 1)).collect()
+    if limit is not None and len(rows) > limit:
         raise ValueError(f"more than {limit} keys cannot become columns")
     return sorted(row[0] for row in rows)
 

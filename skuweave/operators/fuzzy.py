@@ -16,7 +16,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from skuweave.functions.text import lcs_length, one_contains_other, tokens
-from skuweave.operators.cells import CELL_ROWS, MAX_SPLIT, PLACE, meet
+from skuweave.operators.cells import CELL_ROWS, PLACE, meet
 from skuweave.operators.dedup import keep_one
 from skuweave.session import cut_lineage, spread, together
 
@@ -208,12 +208,11 @@ def matching_entries(
     inputs: DataFrame,
     min_ratio: int = 70,
     cell_rows: int = CELL_ROWS,
-    max_split: int = MAX_SPLIT,
 ) -> DataFrame:
     """``(q, c, name_similarity)`` of the matching entries of both sides."""
     queries, known = meet(
         _keyed(spread(inputs, "id"), _query_keys), _keyed(spread(catalog, "id"), _catalog_keys),
-        "key", None, cell_rows, max_split,
+        "key", None, cell_rows,
     )
     named = [
         keys.join(side.select("id", "name"), "id") for keys, side in ((queries, inputs), (known, catalog))
@@ -247,7 +246,6 @@ def fuzzy_match(
     inputs: DataFrame,
     min_ratio: int = 70,
     cell_rows: int = CELL_ROWS,
-    max_split: int = MAX_SPLIT,
 ) -> DataFrame:
     """Every matching pair of a catalogue row and an input row.
 
@@ -262,7 +260,7 @@ def fuzzy_match(
     # Written before rows are attached: the comparisons are not repeated if executors
     # are lost, and the joins below start from a shuffle, so AQE can split hot entries.
     matches = cut_lineage(
-        matching_entries(entries["c"], entries["q"], min_ratio, cell_rows, max_split)
+        matching_entries(entries["c"], entries["q"], min_ratio, cell_rows)
     )
 
     # Copies give the same pairs, so they are dropped before they can multiply.

@@ -6,8 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-MAX_TITLES = 5_000
-
 
 def explode_items(pages: DataFrame) -> DataFrame:
     """Items of landed board pages, with the page and position as item id.
@@ -22,13 +20,16 @@ def explode_items(pages: DataFrame) -> DataFrame:
     )
 
 
-def titles_of(items: DataFrame, column: str = "column_values", limit: int = MAX_TITLES) -> list[str]:
-    """The distinct titles over all items, sorted. Each becomes a column."""
-    rows = (
-        items.select(F.explode(column).alias("v")).select("v.title")
-        .where("title is not null").distinct().limit(limit + 1).collect()
+def titles_of(items: DataFrame, column: str = "column_values", limit: int | None = None) -> list[str]:
+    """The distinct titles over all items, sorted. Each becomes a column.
+
+    More than a ``limit`` that the caller sets raise an error.
+    """
+    found = (
+        items.select(F.explode(column).alias("v")).select("v.title").where("title is not null").distinct()
     )
-    if len(rows) > limit:
+    rows = (found if limit is None else found.limit(limit + 1)).collect()
+    if limit is not None and len(rows) > limit:
         raise ValueError(f"more than {limit} titles cannot become columns")
     return sorted(row[0] for row in rows)
 

@@ -52,16 +52,18 @@ def changed_rows(
 ) -> DataFrame:
     """Rows changed within ``days`` days themselves or through their parent.
 
-    Only the keys of the recently changed parents are joined, so the parent filter
-    is pushed into its scan and the wide rows are not shuffled while that key list
-    stays below Spark's broadcast limit. A row whose parent is missing qualifies
-    by its own stamps only. ``parent_key`` is unique in ``parents``.
+    Two branches that no row is in both of. Rows recent by their own stamps are found
+    by a filter that reaches their scan. Of the others only key columns are matched
+    with the keys of recently changed parents, whose filter reaches their scan, too.
+    A row whose parent is missing qualifies by its own stamps only; parents that
+    repeat do not repeat rows, and rows that repeat stay so.
     """
-    changed = parents.where(_any_recent(parents, parent_stamps, as_of, days)).select(
-        F.col(parent_key).alias("_changed_parent")
-    )
-    return (
-        rows.join(changed, F.col(row_parent) == F.col("_changed_parent"), "left")
-        .where(_any_recent(rows, row_stamps, as_of, days) | F.col("_changed_parent").isNotNull())
-        .drop("_changed_parent")
+    own = _any_recent(rows, row_stamps, as_of, days)
+    changed = (
+        parents.where(_any_recent(parents, parent_stamps, as_of, days))
+        .select(F.col(parent_key).alias(row_parent))
+        .where(F.col(row_parent).isNotNull())
+        .distinct()
     )
+    others = rows.where(~F.coalesce(own, F.lit(False)) & F.col(row_parent).isNotNull())
+    return rows.where(own).unionByName(others.join(changed, row_parent, "left_semi"))

@@ -19,7 +19,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skuweave.functions.text import ngrams, without_noise
-from skuweave.operators.cells import CELL_ROWS, MAX_SPLIT, PLACE, meet
+from skuweave.operators.cells import CELL_ROWS, PLACE, meet
 from skuweave.session import cut_lineage, spread, together
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -128,7 +128,7 @@ def _vectors(counts: DataFrame, vocabulary: DataFrame, least: float) -> DataFram
 
 
 def _cells(
-    queries: DataFrame, catalog: DataFrame, cell_rows: int, max_split: int
+    queries: DataFrame, catalog: DataFrame, cell_rows: int
 ) -> tuple[DataFrame, DataFrame]:
     """The vectors of both sides in the cells of the n-grams they require."""
 
@@ -140,7 +140,7 @@ def _cells(
 
     placed = meet(
         required(queries), required(catalog), "gram_id",
-        (total(queries), total(catalog)), cell_rows, max_split,
+        (total(queries), total(catalog)), cell_rows,
     )
     return tuple(
         keys.drop("gram_id").distinct().join(side.select("id", "grams", "weights"), "id")
@@ -234,7 +234,6 @@ def tfidf_match(
     lower_bound: float = 0.0,
     min_score: float = 0.5,
     cell_rows: int = CELL_ROWS,
-    max_split: int = MAX_SPLIT,
 ) -> DataFrame:
     """``(name_input, name_all_skus, similarity)``: the ``top`` matches of each distinct name.
 
@@ -253,7 +252,7 @@ def tfidf_match(
     catalog_rows, query_rows = together(
         lambda: _vectors(counts, vocabulary, least), lambda: _vectors(query_counts, vocabulary, least)
     )
-    queries, known = _cells(query_rows, catalog_rows, cell_rows, max_split)
+    queries, known = _cells(query_rows, catalog_rows, cell_rows)
     matches = (
         queries.groupBy(*PLACE)
         .cogroup(known.groupBy(*PLACE))
@@ -270,6 +269,6 @@ def tfidf_match(
     )
 
 
-def first_matches(matches: DataFrame, top: int = 100, order: str = "name_input") -> DataFrame:
+def first_matches(matches: DataFrame, top: int = 0, order: str = "name_input") -> DataFrame:
     """The first ``top`` matches in input order; 0 keeps all."""
     return matches.orderBy(order, F.desc("similarity"), "name_all_skus").limit(top) if top else matches

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, functions as F
 
 from skuweave.functions.json_values import quoted
+from skuweave.session import cut_lineage
 
 # The translated columns of the product table, and how many times
 # the lookup is applied. Two are translated twice because their values are codes.
@@ -70,23 +71,22 @@ def translate_codes(
     df: DataFrame,
     lookup: DataFrame,
     passes: Mapping[str, int],
-    row_key: str | None = None,
     broadcast: bool | None = None,
+    rows: int = BROADCAST_ROWS,
+    characters: int = BROADCAST_CHARACTERS,
 ) -> DataFrame:
     """Replace each listed column by its value in ``lookup``, else keep the code.
 
     ``lookup`` has one row per code (:func:`unique_lookup`). While its measured
     size allows it is broadcast and no row of ``df`` moves. Beyond that bound the
-    codes are translated in long form, which needs a unique ``row_key``: one
-    narrow join for all columns instead of one shuffle of the wide rows each.
-    ``broadcast`` skips the measurement.
+    codes are translated in long form, with the same result: one narrow join for all
+    columns instead of one shuffle of the wide rows each. ``broadcast`` skips the
+    measurement.
     """
     if broadcast is None:
-        broadcast = fits_broadcast(lookup)
+        broadcast = fits_broadcast(lookup, rows, characters)
     if not broadcast:
-        if row_key is None:
-            raise ValueError("a lookup too large to broadcast needs a row_key")
-        return _translate_long(df, lookup, passes, row_key)
+        return _translate_long(df, lookup, passes)
     kept = df.columns
     chains = {n: chained(lookup, n) for n in set(passes.values())}
     for position, (column, n) in enumerate(passes.items()):
@@ -102,16 +102,19 @@ def translate_codes(
     )
 
 
-def _translate_long(
-    df: DataFrame, lookup: DataFrame, passes: Mapping[str, int], row_key: str
-) -> DataFrame:
+def _translate_long(df: DataFrame, lookup: DataFrame, passes: Mapping[str, int]) -> DataFrame:
     """Codes as ``(row, column, code)`` rows, joined per number of passes.
 
+    Rows are numbered and written first, so that their numbers are unique and do not
+    change when a task is repeated, whatever keys the rows have or repeat.
+
     Absent codes are left out before the shuffle, so they form no hot key; a hot
     code is on the splittable side of the left join.
     """
+    kept = df.columns
+    df = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
     cells = df.select(
-        F.col(row_key).alias("_row"),
+        "_row",
         F.explode(
             F.array(
                 *[
@@ -132,9 +135,9 @@ def _translate_long(
         ]
     )
     value_of = {column: f"_value_{i}" for i, column in enumerate(passes)}
-    return df.join(wide, F.col(row_key) == F.col("_row"), "left").select(
+    return df.join(wide, "_row", "left").select(
         *[
             F.coalesce(F.col(value_of[c]), F.col(quoted(c))).alias(c) if c in value_of else F.col(quoted(c))
-            for c in df.columns
+            for c in kept
         ]
     )

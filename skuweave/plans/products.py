@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -96,7 +96,7 @@ def product_table(
             "manufacturer_gfgh_data", F.concat(F.lit("|"), F.col("manufacturer"), F.lit("|"))
         )
     lookup = cut_lineage(unique_lookup(option_values(sources.options, sources.option_values)))
-    wide = translate_codes(wide, lookup, PRODUCT_PASSES, row_key="identifier")
+    wide = translate_codes(wide, lookup, PRODUCT_PASSES)
     columns = [c for c in wide.columns if c != "_values"]
     if keys:
         wide = wide.select(*columns, *merchant_columns("_values", keys))
@@ -104,6 +104,24 @@ def product_table(
     return columns_first(drop_columns(wide, DROPPED), ["identifier"])
 
 
+def restricted(sources: ProductSources, products: DataFrame) -> ProductSources:
+    """The sources' rows that concern ``products``: their skus, models and parents.
+
+    Only keys are compared, before anything is aggregated, ranked or parsed.
+    """
+    skus = products.select(F.col("identifier").alias("sku")).distinct()
+    own = products.select(F.col("product_model_id").alias("id"))
+    models = sources.models
+    parents = models.join(own, "id", "left_semi").select(F.col("parent_id").alias("id"))
+    wanted = cut_lineage(own.union(parents).where("id is not null").distinct())
+    return replace(
+        sources,
+        distributor=sources.distributor.join(skus, "sku", "left_semi"),
+        categories=sources.categories.join(skus, "sku", "left_semi"),
+        models=models.join(wanted, "id", "left_semi"),
+    )
+
+
 def full_load(sources: ProductSources, **settings) -> DataFrame:
     return product_table(sources, **settings)
 
@@ -119,7 +137,7 @@ def delta_load(
     # Used for the new rows and for removing the old ones; finding it scans all products.
     changed = cut_lineage(changed_products(sources, as_of, days))
     settings.setdefault("with_manufacturer_mark", False)
-    rows = product_table(sources, products=changed, **settings)
+    rows = product_table(restricted(sources, changed), products=changed, **settings)
     kept = target.join(changed.select("identifier").distinct(), "identifier", "left_anti")
     return kept.unionByName(rows, allowMissingColumns=True)
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
+import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -34,16 +37,26 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
 
 @functools.cache
 def _private_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"skuweave-{application}-")
+    """A folder of this process, for sessions on one machine; it goes with the process."""
+    folder = os.path.join(tempfile.gettempdir(), f"skuweave-{application}-{os.getpid()}")
+    os.makedirs(folder, mode=0o700)
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the session names in ``spark.checkpoint.dir``.
+    """The folder that all machines share, from ``spark.checkpoint.dir`` or the context.
 
-    Where none is named, as in tests on one machine, a private one is made.
+    Where neither names one, a session on one machine gets a private folder; on
+    several machines that would lose rows, so it is an error there.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    return named or _private_folder(spark.sparkContext.applicationId)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
+    return _private_folder(spark.sparkContext.applicationId)
 
 
 def new_folder(spark: SparkSession) -> str:

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from skuweave.functions.json_values import quoted
 from skuweave.operators.merge import upsert
+from skuweave.session import cut_lineage
 
 # The columns that keep a JSON type when written.
 JSON_COLUMNS = ("raw_values", "data")
@@ -29,30 +30,101 @@ def with_json_text(df: DataFrame, columns: Sequence[str] = JSON_COLUMNS) -> Data
 def replace_table(df: DataFrame, table: str, root: str, partition_by: Sequence[str] = ()) -> str:
     """Write a new version below ``root`` and point the catalog table at it.
 
-    The old files are complete until the catalog change, so ``df`` may read the
+    The new files are complete before the catalog changes, so ``df`` may read the
     table it replaces, and a job that fails half-way leaves the table as it was.
-    Returns the folder of the new version.
+    Earlier versions stay until :func:`remove_versions`. Returns the new folder.
     """
     spark = df.sparkSession
-    folder = f"{root.rstrip('/')}/{table.replace('.', '/')}/{uuid.uuid4().hex}"
+    folder = f"{_versions(table, root)}/{uuid.uuid4().hex}"
     df.write.mode("errorifexists").partitionBy(*partition_by).parquet(folder)
     schema = spark.read.parquet(folder).schema
-    if spark.catalog.tableExists(table) and spark.table(table).schema == schema and not partition_by:
+    if spark.catalog.tableExists(table) and not partition_by and spark.table(table).schema == schema:
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
         spark.catalog.refreshTable(table)
     else:
         # The shape changed, or partitions must be registered anew.
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-        spark.catalog.createTable(table, path=folder, source="parquet")
-        if partition_by:
-            spark.catalog.recoverPartitions(table)
+        def register(name: str) -> None:
+            spark.catalog.createTable(name, path=folder, source="parquet")
+            if partition_by:
+                spark.catalog.recoverPartitions(name)
+
+        _swap_in(spark, table, register)
     return folder
 
 
+def _versions(table: str, root: str) -> str:
+    return f"{root.rstrip('/')}/{table.replace('.', '/')}"
+
+
+def _swap_in(spark: SparkSession, table: str, register: Callable[[str], None]) -> None:
+    """Make a table under another name, then exchange the names.
+
+    Whatever fails before the exchange leaves the old table; should the exchange
+    itself be cut short, the old table is there under its name with ``__old``.
+    """
+    new, old = f"{table}__{uuid.uuid4().hex[:8]}", f"{table}__old"
+    try:
+        register(new)
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
+        held = spark.catalog.tableExists(table)
+        if held:
+            spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+        try:
+            spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+        except Exception:
+            if held:
+                spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+            raise
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {new}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    spark.catalog.refreshTable(table)
+
+
+def remove_versions(spark: SparkSession, table: str, root: str, keep: int = 2) -> int:
+    """Delete all but the ``keep`` latest versions of a table below ``root``.
+
+    For callers that know that no reader uses an older version any more. The version
+    that the table points at stays in any case. Returns how many were deleted.
+    """
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(_versions(table, root))
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return 0
+    used = table_folder(spark, table).rstrip("/").rsplit("/", 1)[-1] if spark.catalog.tableExists(table) else None
+    versions = sorted(system.listStatus(folder), key=lambda s: s.getModificationTime(), reverse=True)
+    old = [v.getPath() for v in versions[max(keep, 0) :] if v.getPath().getName() != used]
+    for path in old:
+        system.delete(path, True)
+    return len(old)
+
+
+def table_folder(spark: SparkSession, table: str) -> str:
+    """Where the files of a catalog table are."""
+    rows = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"]
+
+
 def append_table(df: DataFrame, table: str) -> None:
-    """Add rows to a table, matching columns by name."""
-    columns = df.sparkSession.table(table).columns
-    df.select(*[F.col(quoted(c)) for c in columns]).write.mode("append").insertInto(table)
+    """Add rows to a table, matching columns by name.
+
+    Columns that the table lacks are added to it, as the other modes do; earlier rows
+    have null there, as have new rows where the batch lacks a column.
+    """
+    spark = df.sparkSession
+    known = spark.table(table).schema
+    added = [f for f in df.schema if f.name not in known.names]
+    if added:
+        columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in added)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+        spark.catalog.refreshTable(table)
+    columns = [
+        F.col(quoted(f.name)) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in spark.table(table).schema
+    ]
+    df.select(*columns).write.mode("append").insertInto(table)
 
 
 def upsert_table(batch: DataFrame, table: str, keys: Sequence[str] | str, root: str) -> str:
@@ -65,39 +137,38 @@ def upsert_partitions(
     path: str,
     keys: Sequence[str] | str,
     partition_by: str,
-    max_partitions: int = 10_000,
 ) -> None:
     """Merge a batch into a Parquet folder, rewriting only the partitions it touches.
 
-    The partition value of a key must not change over time, as with a creation
-    month or a tenant: then the old row of a key lies where its new row goes, the
-    other partitions are neither read nor written, and a day of changes does not
-    rewrite years. Spark writes the new partitions aside and swaps them in when the
-    job commits.
+    These are the partitions of the batch's rows and those in which a key of the batch
+    has a row now, so a key that moves leaves no old row behind. Only key and partition
+    columns are read to find them, and other partitions are neither read further nor
+    written. Spark writes the new partitions aside and swaps them in when the job
+    commits; partitions that lost all their rows are deleted after that.
     """
     spark = batch.sparkSession
-    values = [
-        row[0] for row in batch.select(partition_by).distinct().limit(max_partitions + 1).collect()
-    ]
-    if len(values) > max_partitions:
-        raise ValueError(f"the batch touches more than {max_partitions} partitions")
-    if not values:
-        return
-    column = F.col(quoted(partition_by))
-    touched = column.isin([v for v in values if v is not None])
-    if None in values:
-        touched = touched | column.isNull()
+    keys = [keys] if isinstance(keys, str) else list(keys)
     # Folder names do not tell the type of the partition column, the batch does.
     known = spark.read.parquet(path).schema
     stored = T.StructType([f for f in known if f.name != partition_by]).add(batch.schema[partition_by])
     target = spark.read.schema(stored).parquet(path).select(*known.names)
-    merged = upsert(target.where(touched), batch, keys)
+    part = F.col(quoted(partition_by)).alias("_part")
+    holding = target.join(batch.select(*keys), keys, "left_semi").select(part)
+    touched = cut_lineage(batch.select(part).union(holding).distinct())
+    same = F.col(quoted(partition_by)).eqNullSafe(F.col("_part"))
+    merged = cut_lineage(upsert(target.join(touched, same, "left_semi"), batch, keys))
     (
         merged.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_by)
         .parquet(path)
     )
+    emptied = touched.join(merged.select(quoted(partition_by)).distinct(), same, "left_anti")
+    jvm = spark.sparkContext._jvm
+    names = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for row in emptied.select(F.col("_part").cast("string")).toLocalIterator():
+        folder = jvm.org.apache.hadoop.fs.Path(path, names.getPartitionPathString(partition_by, row[0]))
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def write_database(
@@ -113,6 +184,9 @@ def write_database(
 
 
 def create_table_as(spark: SparkSession, table: str, df: DataFrame) -> None:
-    """Drop the table if it exists, then create it with the rows of ``df``."""
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    df.write.saveAsTable(table)
+    """Create a table with the rows of ``df``; one of that name is replaced.
+
+    The rows are written before the old table goes, so ``df`` may read it, and a
+    query that fails leaves it as it was.
+    """
+    _swap_in(spark, table, lambda name: df.write.saveAsTable(name))

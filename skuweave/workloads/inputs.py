@@ -143,7 +143,7 @@ DISTRIBUTOR = {
     "active": "CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END",
 }
 CATEGORIES = {
-    "sku": "'sku' || l_partkey",
+    "sku": "CASE WHEN l_quantity > 48 THEN 'sku' || l_partkey END",
     "title": "'collides'",
     "category_l1": "'category ' || l_partkey % 11",
 }

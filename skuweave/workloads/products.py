@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skuweave.functions.json_values import parse_attributes
+from skuweave.functions.json_values import json_attribute, parse_attributes
 from skuweave.operators.attributes import PRODUCT_ATTRIBUTES, resolve_attributes
 from skuweave.operators.columns import restrict_and_enrich
 from skuweave.operators.dedup import attach_max_per_key, keep_one
@@ -26,7 +26,7 @@ from skuweave.operators.translate import (
 )
 from skuweave.plans.products import ProductSources, changed_products, delta_load, full_load
 from skuweave.workloads import inputs as given
-from skuweave.workloads.inputs import derive, derive_sql, table
+from skuweave.workloads.inputs import derive, derive_sql, document, plain_entry, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -72,10 +72,15 @@ def resolve_product_attributes(spark: SparkSession, folder: str) -> DataFrame:
     return resolve_attributes(products, models).distinct()
 
 
-@query("SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
+_K = plain_entry("k", "value")
+
+
+@query(
+    f"""SELECT event_id, json_extract_string({document(_K)}, '$."k"."<all_channels>"."<all_locales>"') AS k FROM events"""
+)
 def json_extract(spark: SparkSession, folder: str) -> DataFrame:
-    events = table(spark, folder, "events")
-    return events.select("event_id", F.get_json_object("props", "$.k").alias("k"))
+    events = table(spark, folder, "events").selectExpr("event_id", f"{document(_K)} AS doc")
+    return events.select("event_id", json_attribute(F.col("doc"), "k").alias("k"))
 
 
 # --- aggregates and deduplication ------------------------------------------------
@@ -118,13 +123,18 @@ def distinct_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    "SELECT part.*, f.l_partkey, f.category FROM part JOIN (SELECT DISTINCT l_partkey, "
-    "'category ' || l_partkey % 7 AS category FROM lineitem WHERE l_quantity > 45) f ON f.l_partkey = p_partkey"
+    "SELECT part.*, f.l_partkey, f.category FROM part JOIN (SELECT DISTINCT CASE WHEN l_quantity > 45 "
+    "THEN l_partkey END AS l_partkey, 'category ' || l_partkey % 7 AS category FROM lineitem) f "
+    "ON f.l_partkey = p_partkey"
 )
 def category_restrict(spark: SparkSession, folder: str) -> DataFrame:
     facts = (
-        table(spark, folder, "lineitem").where("l_quantity > 45")
-        .selectExpr("l_partkey", "'category ' || l_partkey % 7 AS category", "'other' AS p_name")
+        table(spark, folder, "lineitem")
+        .selectExpr(
+            "CASE WHEN l_quantity > 45 THEN l_partkey END AS l_partkey",
+            "'category ' || l_partkey % 7 AS category",
+            "'other' AS p_name",
+        )
         .distinct()
     )
     return restrict_and_enrich(table(spark, folder, "part"), facts, "p_partkey", "l_partkey")
@@ -164,7 +174,20 @@ def translate_option_codes(spark: SparkSession, folder: str) -> DataFrame:
     )
     lookup = unique_lookup(option_values(options, values))
     coded = derive(table(spark, folder, "customer"), _CODED)
-    return translate_codes(coded, lookup, {"region": 2, "nation": 1, "segment": 1}, row_key="c_custkey")
+    return translate_codes(coded, lookup, {"region": 2, "nation": 1, "segment": 1})
+
+
+@query(
+    f"WITH lookup AS ({derive_sql('nation', {'code': _NATION_OPTIONS['code'], 'value': 'n_name'})}), "
+    f"coded AS ({derive_sql('customer', _CODED)}) "
+    "SELECT c_custkey, coalesce(a.value, region) AS region, coalesce(b.value, nation) AS nation, segment "
+    "FROM coded LEFT JOIN lookup a ON a.code = region LEFT JOIN lookup b ON b.code = nation"
+)
+def translate_large_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """The form beyond the broadcast bound, which is set to nothing here."""
+    lookup = derive(table(spark, folder, "nation"), {"code": _NATION_OPTIONS["code"], "value": "n_name"})
+    coded = derive(table(spark, folder, "customer"), _CODED)
+    return translate_codes(coded, lookup, {"region": 1, "nation": 1}, rows=0)
 
 
 # --- merchant columns ------------------------------------------------------------
@@ -259,7 +282,7 @@ def product_sources(spark: SparkSession, folder: str) -> ProductSources:
         distributor=derive(lines, given.DISTRIBUTOR),
         options=derive(part, given.OPTIONS).distinct(),
         option_values=derive(part, given.OPTION_VALUES).distinct(),
-        categories=derive(lines.where("l_quantity > 48"), given.CATEGORIES),
+        categories=derive(lines, given.CATEGORIES),
         merchants_new=derive(part, given.MERCHANTS_NEW),
         merchants_active=derive(part, given.MERCHANTS_ACTIVE),
     )
@@ -314,7 +337,7 @@ _SOURCE_CTES = (
     f"vals AS ({derive_sql('part', given.OPTION_VALUES, True)}), "
     "lookup AS (SELECT code, min(value) AS value FROM options LEFT JOIN vals ON option_id = id "
     "GROUP BY code HAVING min(value) IS NOT NULL), "
-    f"categories AS ({derive_sql('lineitem WHERE l_quantity > 48', given.CATEGORIES, True)})"
+    f"categories AS ({derive_sql('lineitem', given.CATEGORIES, True)})"
 )
 
 

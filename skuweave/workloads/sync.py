@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skuweave.operators.merge import append, concat
+from skuweave.operators.observe import counted
 from skuweave.operators.scans import changed_rows, date_window, look_back
 from skuweave.plans.table_sync import (
     FULL_RELOAD,
@@ -15,7 +18,8 @@ from skuweave.plans.table_sync import (
     sync_table,
 )
 from skuweave.session import new_folder
-from skuweave.sinks.tables import upsert_partitions, with_json_text
+from skuweave.sinks.tables import append_table, create_table_as, replace_table, upsert_partitions, with_json_text
+from skuweave.sources.tables import read_stored
 from skuweave.workloads.inputs import table
 
 QUERIES: dict = {}
@@ -74,7 +78,7 @@ def _changed_source(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _orders_target(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "orders").withColumn("_updated_at", F.lit("2001-01-01 00:00:00"))
+    return table(spark, folder, "orders").withColumn("_updated_at", F.lit("2001-01-01 00:00:00").cast("timestamp"))
 
 
 def _synced(spark: SparkSession, folder: str, mode: str, **settings) -> DataFrame:
@@ -83,35 +87,35 @@ def _synced(spark: SparkSession, folder: str, mode: str, **settings) -> DataFram
         _orders_target(spark, folder),
         Sync(mode, key="o_orderkey", stamp="o_orderdate", **settings),
         ORDERS_AS_OF,
-        F.lit(_STAMP),
+        F.lit(_STAMP).cast("timestamp"),
     )
 
 
-_TARGET = "SELECT *, '2001-01-01 00:00:00' AS _updated_at FROM orders"
+_TARGET = "SELECT *, TIMESTAMP '2001-01-01 00:00:00' AS _updated_at FROM orders"
 
 
 @query(
     f"WITH {_NEW} {_TARGET} WHERE o_orderkey NOT IN (SELECT o_orderkey FROM new) "
-    f"UNION ALL SELECT *, '{_STAMP}' FROM new"
+    f"UNION ALL SELECT *, TIMESTAMP '{_STAMP}' FROM new"
 )
 def upsert_merge(spark: SparkSession, folder: str) -> DataFrame:
     return _synced(spark, folder, UPSERT)
 
 
-@query(f"WITH {_NEW} {_TARGET} UNION ALL SELECT *, '{_STAMP}' FROM new")
+@query(f"WITH {_NEW} {_TARGET} UNION ALL SELECT *, TIMESTAMP '{_STAMP}' FROM new")
 def insert_new_rows(spark: SparkSession, folder: str) -> DataFrame:
     return _synced(spark, folder, INSERT_NEW_ROWS)
 
 
 @query(
-    f"SELECT {_ORDERS.format(price='o_totalprice + 1')}, '{_STAMP}' AS _updated_at FROM orders "
+    f"SELECT {_ORDERS.format(price='o_totalprice + 1')}, TIMESTAMP '{_STAMP}' AS _updated_at FROM orders "
     f"WHERE {_LOOK_BACK.format(c='o_orderdate', d=ORDERS_AS_OF, n=22)}"
 )
 def replace_recent_slice(spark: SparkSession, folder: str) -> DataFrame:
     return _synced(spark, folder, INSERT_NEW_ROWS_DROP_OLD_TABLE, look_back_days=22)
 
 
-@query(f"SELECT {_ORDERS.format(price='o_totalprice + 1')}, '{_STAMP}' AS _updated_at FROM orders")
+@query(f"SELECT {_ORDERS.format(price='o_totalprice + 1')}, TIMESTAMP '{_STAMP}' AS _updated_at FROM orders")
 def full_reload(spark: SparkSession, folder: str) -> DataFrame:
     return _synced(spark, folder, FULL_RELOAD)
 
@@ -149,7 +153,8 @@ def append_batch(spark: SparkSession, folder: str) -> DataFrame:
     return append(events, events.where("event_type = 'purchase'"))
 
 
-_CHANGED_EVENTS = "SELECT event_id, ts, user_id, value + 1000 AS value, event_type FROM events WHERE value > 60"
+_MOVED = "CASE WHEN value > 80 THEN 'moved' ELSE event_type END AS event_type"
+_CHANGED_EVENTS = f"SELECT event_id, ts, user_id, value + 1000 AS value, {_MOVED} FROM events WHERE value > 60"
 
 
 @query(
@@ -157,10 +162,55 @@ _CHANGED_EVENTS = "SELECT event_id, ts, user_id, value + 1000 AS value, event_ty
     f"(SELECT event_id FROM ({_CHANGED_EVENTS})) UNION ALL {_CHANGED_EVENTS}"
 )
 def upsert_partition_files(spark: SparkSession, folder: str) -> DataFrame:
-    """A partitioned folder after a batch has been merged into the partitions it touches."""
+    """A partitioned folder after a batch, some of whose keys change partition."""
     path = new_folder(spark)
     events = table(spark, folder, "events").select("event_id", "ts", "user_id", "value", "event_type")
     events.write.partitionBy("event_type").parquet(path)
-    batch = events.where("value > 60").withColumn("value", F.col("value") + 1000)
+    batch = events.where("value > 60").selectExpr("event_id", "ts", "user_id", "value + 1000 AS value", _MOVED)
     upsert_partitions(batch, path, "event_id", "event_type")
     return spark.read.parquet(path)
+
+
+# --- tables of the catalog, written and read back ----------------------------------
+
+
+def _name(kind: str) -> str:
+    return f"{kind}_{uuid.uuid4().hex[:12]}"
+
+
+@query("SELECT p_partkey, p_name, p_size + 1 AS p_size FROM part")
+def replace_table_files(spark: SparkSession, folder: str) -> DataFrame:
+    """A catalog table replaced by a query on itself, then read through the catalog."""
+    name, root = _name("replaced"), new_folder(spark)
+    replace_table(table(spark, folder, "part").select("p_partkey", "p_name", "p_size"), name, root)
+    replace_table(spark.table(name).withColumn("p_size", F.col("p_size") + 1), name, root)
+    return read_stored(spark, name)
+
+
+@query(
+    "SELECT c_custkey AS id, c_name AS name, CAST(NULL AS DOUBLE) AS balance FROM customer "
+    "UNION ALL SELECT s_suppkey, s_name, s_acctbal FROM supplier"
+)
+def append_table_files(spark: SparkSession, folder: str) -> DataFrame:
+    """A table after an append that brings a column it did not have."""
+    name = _name("appended")
+    first = table(spark, folder, "customer").selectExpr("c_custkey AS id", "c_name AS name")
+    replace_table(first, name, new_folder(spark))
+    append_table(table(spark, folder, "supplier").selectExpr("s_acctbal AS balance", "s_suppkey AS id", "s_name AS name"), name)
+    return read_stored(spark, name)
+
+
+@query("SELECT l_returnflag, count(*) AS n, max(l_quantity) AS most FROM lineitem GROUP BY l_returnflag")
+def create_table_files(spark: SparkSession, folder: str) -> DataFrame:
+    """A table made by a query, over one of the same name, with its logged row count."""
+    name = _name("created")
+    lines = table(spark, folder, "lineitem").groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("n"), F.max("l_quantity").alias("most")
+    )
+    create_table_as(spark, name, lines.limit(0))
+    rows, logged = counted(lines)
+    create_table_as(spark, name, rows)
+    stored = read_stored(spark, name)
+    if logged.get["rows"] != stored.count():
+        raise RuntimeError("the logged row count is not that of the table")
+    return stored

@@ -20,6 +20,7 @@ from skuweave.plans.table_sync import (
 from skuweave.sinks.tables import (
     append_table,
     create_table_as,
+    remove_versions,
     replace_table,
     upsert_partitions,
     upsert_table,
@@ -124,8 +125,70 @@ def test_only_touched_partitions_are_rewritten(spark, tmp_path):
     upsert_partitions(batch.limit(0), path, "id", "month")
     assert content(spark.read.parquet(path)) == [(1, "a"), (2, "new"), (3, "c"), (4, "d")]
     assert {p.name for p in (tmp_path / "t" / "month=2").iterdir()} == before
-    with pytest.raises(ValueError):
-        upsert_partitions(batch, path, "id", "month", max_partitions=1)
+
+
+def test_keys_that_move_leave_nothing_behind(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame(
+        [(1, "a", 1), (2, "b", 1), (3, "c", 2), (4, "d", None)], "id long, v string, month int"
+    )
+    rows.write.partitionBy("month").parquet(path)
+    batch = spark.createDataFrame([(1, "new", 2), (4, "new", 2), (3, "new", 5)], "id long, v string, month int")
+    upsert_partitions(batch, path, "id", "month")
+    found = sorted(map(tuple, spark.read.parquet(path).select("id", "v", "month").collect()))
+    assert found == [(1, "new", 2), (2, "b", 1), (3, "new", 5), (4, "new", 2)]
+    # The only rows of month 1 and of the null month: their folders go.
+    upsert_partitions(batch.limit(0).union(spark.createDataFrame([(2, "x", 2)], batch.schema)), path, "id", "month")
+    assert {p.name for p in (tmp_path / "t").iterdir() if "=" in p.name} == {"month=2", "month=5"}
+
+
+def test_new_columns_are_appended(spark, tmp_path):
+    replace_table(frame(spark, (1, "a")), "widened", str(tmp_path))
+    append_table(frame(spark, (2, "b")).withColumn("extra", F.lit(7)), "widened")
+    append_table(frame(spark, (3, "c")).select("v", "id"), "widened")
+    rows = sorted(map(tuple, spark.table("widened").select("id", "v", "extra").collect()))
+    assert rows == [(1, "a", None), (2, "b", 7), (3, "c", None)]
+    spark.sql("DROP TABLE widened")
+
+
+def test_failing_replacement_keeps_the_table(spark, tmp_path):
+    replace_table(frame(spark, (1, "a")), "steady", str(tmp_path))
+    failing = frame(spark, (2, "b")).select(F.raise_error(F.lit("no")).cast("string").alias("other"))
+    with pytest.raises(Exception):
+        replace_table(failing, "steady", str(tmp_path))
+    with pytest.raises(Exception):
+        create_table_as(spark, "steady", failing)
+    assert content(spark.table("steady")) == [(1, "a")]
+    create_table_as(spark, "steady", spark.table("steady").withColumn("v", F.lit("own")))
+    assert content(spark.table("steady")) == [(1, "own")]
+    spark.sql("DROP TABLE steady")
+
+
+def test_old_versions_are_removed_on_request(spark, tmp_path):
+    for value in "abcd":
+        replace_table(frame(spark, (1, value)), "kept", str(tmp_path))
+    assert remove_versions(spark, "kept", str(tmp_path), keep=1) == 3
+    assert len(list((tmp_path / "kept").iterdir())) == 1
+    assert content(spark.table("kept")) == [(1, "d")]
+    assert remove_versions(spark, "never", str(tmp_path)) == 0
+    spark.sql("DROP TABLE kept")
+
+
+def test_first_upsert_copies_everything(spark, tmp_path):
+    run_sync(source(spark), "first", str(tmp_path), Sync(UPSERT), "2024-05-15")
+    assert spark.table("first").count() == source(spark).count()
+    spark.sql("DROP TABLE first")
+
+
+def test_partitioned_sync_rewrites_what_it_touches(spark, tmp_path):
+    sync = Sync(UPSERT, partition_by="id")
+    run_sync(source(spark), "by_id", str(tmp_path), sync, "2024-05-15")
+    folders = {p.name: {f.name for f in p.iterdir()} for v in (tmp_path / "by_id").iterdir() for p in v.iterdir() if "=" in p.name}
+    run_sync(source(spark).withColumn("v", F.lit("changed")), "by_id", str(tmp_path), sync, "2024-05-15")
+    after = {p.name: {f.name for f in p.iterdir()} for v in (tmp_path / "by_id").iterdir() for p in v.iterdir() if "=" in p.name}
+    assert {r["id"]: r["v"] for r in records(spark.table("by_id"))} == {1: "changed", 2: "b", 3: "c"}
+    assert {name for name in folders if folders[name] != after[name]} == {"id=1"}
+    spark.sql("DROP TABLE by_id")
 
 
 def test_partition_values_keep_their_type(spark, tmp_path):

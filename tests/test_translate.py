@@ -31,7 +31,7 @@ def frames(spark):
 @pytest.mark.parametrize("broadcast", [True, False, None])
 def test_passes(frames, broadcast):
     rows, lookup = frames
-    done = translate_codes(rows, lookup, {"x": 1, "twice": 2, "once": 1}, row_key="id", broadcast=broadcast)
+    done = translate_codes(rows, lookup, {"x": 1, "twice": 2, "once": 1}, broadcast=broadcast)
     assert done.columns == rows.columns
     found = by_key(done, "id")
     assert len(found) == done.count() == 4
@@ -46,8 +46,16 @@ def test_size_decides(frames):
     assert fits_broadcast(lookup)
     assert not fits_broadcast(lookup, rows=2)
     assert not fits_broadcast(lookup, characters=3)
-    with pytest.raises(ValueError):
-        translate_codes(rows, lookup, {"x": 1}, broadcast=False)
+
+
+def test_both_forms_agree_on_repeated_and_null_keys(spark):
+    rows = spark.createDataFrame([("a", "x"), ("a", "y"), (None, "x"), (None, None)], "key string, code string")
+    lookup = spark.createDataFrame([("x", "X"), ("y", "Y")], "code string, value string")
+    for settings in ({"broadcast": True}, {"broadcast": False}, {"rows": 0}):
+        done = translate_codes(rows, lookup, {"code": 1}, **settings)
+        assert sorted(map(tuple, done.collect()), key=str) == sorted(
+            [("a", "X"), ("a", "Y"), (None, "X"), (None, None)], key=str
+        )
 
 
 def test_broadcast_moves_no_rows(frames):
