@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skuweave.operators.cleaning import clean_sheet, drop_header_rows, picture_uploads
 from skuweave.operators.columns import columns_first, drop_columns, lower_case_columns, rename, rename_all
 from skuweave.operators.merge import stamped
 from skuweave.operators.pivot import pivot_items, pivot_rows, titles_of
-from skuweave.plans.feeds import sheet
+from skuweave.plans.feeds import board, sheet
+from skuweave.plans.store import store
 from skuweave.session import new_folder
-from skuweave.sources.files import address_result_columns, read_address_results
+from skuweave.sources.files import (
+    address_result_columns,
+    list_objects,
+    read_address_results,
+    read_csv,
+)
+from skuweave.sources.tables import read_stored
 from skuweave.workloads.inputs import derive, derive_sql, table
 
 QUERIES: dict = {}
@@ -157,3 +166,49 @@ def renamed_columns(spark: SparkSession, folder: str) -> DataFrame:
     region = rename_all(table(spark, folder, "region"), ["region_id", "region_label"])
     joined = nation.join(region, F.col("n_regionkey") == F.col("region_id"))
     return columns_first(drop_columns(joined, ["n_regionkey", "not_there"]), ["label"])
+
+
+# --- files read back ----------------------------------------------------------------
+
+
+@query("SELECT p_partkey, p_name, p_size, p_retailprice FROM part")
+def csv_with_schema(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_folder(spark)
+    part = table(spark, folder, "part").select("p_partkey", "p_name", "p_size", "p_retailprice")
+    part.write.csv(path, header=True)
+    return read_csv(spark, path, part.schema)
+
+
+@query("SELECT DISTINCT p_size FROM part")
+def object_listing(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys out of the paths of listed objects, one folder of objects per key."""
+    path = new_folder(spark)
+    table(spark, folder, "part").select("p_size", "p_name").write.partitionBy("p_size").text(path)
+    key = F.regexp_extract("path", r"p_size=([0-9]+)/", 1).cast("int")
+    return list_objects(spark, path, "part-*").select(key.alias("p_size")).distinct()
+
+
+@query(
+    "SELECT n_name || '/' || c_custkey AS name, c_mktsegment AS segment, "
+    "CASE WHEN c_custkey % 3 <> 0 THEN CAST(c_custkey AS VARCHAR) END AS number "
+    "FROM customer JOIN nation ON n_nationkey = c_nationkey"
+)
+def stored_board(spark: SparkSession, folder: str) -> DataFrame:
+    """Landed board pages, one JSON file per nation, as a stored table."""
+    entry = "named_struct('title', '{}', 'text', {})"
+    item = (
+        "named_struct('name', n_name || '/' || c_custkey, 'column_values', "
+        f"array({entry.format('segment', 'c_mktsegment')}, "
+        f"{entry.format('number', 'IF(c_custkey % 3 <> 0, CAST(c_custkey AS STRING), NULL)')}))"
+    )
+    joined = table(spark, folder, "customer").join(
+        table(spark, folder, "nation"), F.col("n_nationkey") == F.col("c_nationkey")
+    )
+    pages = joined.groupBy("n_name", F.expr("c_custkey div 1000").alias("page")).agg(
+        F.collect_list(F.expr(item)).alias("items")
+    )
+    boards = F.struct(F.array(F.struct("items")).alias("boards")).alias("data")
+    landed, name = new_folder(spark), f"board_{uuid.uuid4().hex[:12]}"
+    pages.select(boards).write.option("maxRecordsPerFile", 1).json(landed)
+    store(board(spark, landed).drop("_updated_at"), name, new_folder(spark))
+    return read_stored(spark, name)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skuweave.functions.json_values import json_attribute, parse_attributes
@@ -25,6 +27,9 @@ from skuweave.operators.translate import (
     unique_lookup,
 )
 from skuweave.plans.products import ProductSources, changed_products, delta_load, full_load
+from skuweave.plans.store import run_products
+from skuweave.session import new_folder
+from skuweave.sources.tables import read_stored
 from skuweave.workloads import inputs as given
 from skuweave.workloads.inputs import derive, derive_sql, document, plain_entry, table
 
@@ -381,3 +386,38 @@ def product_delta_load(spark: SparkSession, folder: str) -> DataFrame:
     target = derive(table(spark, folder, "part"), _OLD_TARGET)
     loaded = delta_load(target, product_sources(spark, folder), AS_OF)
     return loaded.select(*_DELTA_COLUMNS.split(", "), "manufacturer_gfgh_data")
+
+
+# --- jobs that write ---------------------------------------------------------------
+
+
+def _run_job(spark: SparkSession, folder: str) -> tuple[str, str]:
+    """The product job over a target of its own: a full load, then a daily one."""
+    name, root = f"products_{uuid.uuid4().hex[:12]}", new_folder(spark)
+    sources = product_sources(spark, folder)
+    modes = [run_products(sources, name, f"{name}_state", root, AS_OF) for _ in range(2)]
+    if modes != ["full", "delta"]:
+        raise RuntimeError(f"the job ran as {modes}")
+    return name, f"{name}_state"
+
+
+@query(
+    f"WITH {_SOURCE_CTES}, {_CHANGED}, {_product_table_sql()} SELECT {_DELTA_COLUMNS}, "
+    "CASE WHEN identifier NOT IN (SELECT identifier FROM changed) THEN manufacturer_gfgh_data END "
+    "AS manufacturer_gfgh_data FROM product_table"
+)
+def product_job(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored product table after a full and a daily run."""
+    name, _ = _run_job(spark, folder)
+    return read_stored(spark, name).select(*_DELTA_COLUMNS.split(", "), "manufacturer_gfgh_data")
+
+
+@query(
+    f"WITH keys AS ({derive_sql('part', given.MERCHANTS_NEW)} UNION {derive_sql('part', given.MERCHANTS_ACTIVE)}) "
+    "SELECT count(*) AS merchant_count FROM keys WHERE merchant_key IS NULL "
+    "OR merchant_key NOT IN ('trinkkontor', 'trinkkontor_trr')"
+)
+def population_state(spark: SparkSession, folder: str) -> DataFrame:
+    """The number of merchants that the job stored."""
+    _, state = _run_job(spark, folder)
+    return read_stored(spark, state)
