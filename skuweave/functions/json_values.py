@@ -21,15 +21,17 @@ def attribute_schema(keys: Iterable[str]) -> T.StructType:
     return T.StructType([T.StructField(key, scope) for key in dict.fromkeys(keys)])
 
 
-def parse_attributes(raw: Column, keys: Iterable[str]) -> Column:
+def parse_attributes(raw: Column, keys: Iterable[str], tolerant: bool = False) -> Column:
     """Parse a document once, keeping only the named attributes.
 
     One ``from_json`` with a narrow schema replaces one path lookup per attribute.
     Alias the result and read it with :func:`attribute_value`; Spark keeps the
     parse in its own projection because it is used more than once. A JSON ``null``
-    and an absent key both give null, so the next hierarchy level is tried.
+    and an absent key both give null, so the next hierarchy level is tried. A document
+    that is no JSON ends the job; with ``tolerant`` it has no attributes instead.
     """
-    return F.from_json(raw, attribute_schema(keys))
+    mode = "PERMISSIVE" if tolerant else "FAILFAST"
+    return F.from_json(raw, attribute_schema(keys), {"mode": mode})
 
 
 def attribute_value(parsed: str, key: str) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from skuweave.functions.numbers import number
 from skuweave.functions.text import joined_name
 from skuweave.operators.dedup import keep_one
 from skuweave.operators.fuzzy import fuzzy_match
@@ -51,21 +52,24 @@ def tfidf_catalog(all_skus: DataFrame) -> DataFrame:
     )
 
 
-def attach_matches(matches: DataFrame, catalog: DataFrame, inputs: DataFrame) -> DataFrame:
+def attach_matches(
+    matches: DataFrame, catalog: DataFrame, inputs: DataFrame, tolerant: bool = False
+) -> DataFrame:
     """One row per input whose best name has a product with the same number of units.
 
     Of the products with one name and unit count only the smallest sku can be the
     result, so they are reduced to it before the join. The answer is found once per
     distinct input name and unit count and attached to the inputs last, so copies of
-    a name on either side do not multiply. Numbers that do not parse match nothing.
+    a name on either side do not multiply. Numbers that do not parse end the job, or
+    match nothing where ``tolerant``.
     """
-    units = F.col("amount_single_unit").try_cast("int")
+    units = number(F.col("amount_single_unit"), "int", tolerant)
     products = (
         catalog.select(
             "sku",
             F.col("sku_title").alias("name_all_skus"),
             units.alias("units"),
-            F.replace("net_content", F.lit(","), F.lit(".")).try_cast("double")
+            number(F.replace("net_content", F.lit(","), F.lit(".")), "double", tolerant)
             .alias("base_unit_content_all_skus"),
         )
         .where(F.col("units").isNotNull())
@@ -76,7 +80,7 @@ def attach_matches(matches: DataFrame, catalog: DataFrame, inputs: DataFrame) ->
     asked = inputs.select(
         "gfgh_id",
         F.col("name").alias("name_input"),
-        F.col("no_of_base_units").try_cast("int").alias("units"),
+        number(F.col("no_of_base_units"), "int", tolerant).alias("units"),
         F.col("base_unit_content").alias("base_unit_content_input"),
     )
     answers = (
@@ -98,6 +102,8 @@ def attach_matches(matches: DataFrame, catalog: DataFrame, inputs: DataFrame) ->
     return keep_one(found, ["gfgh_id"], [F.desc("similarity"), "sku"])
 
 
-def match_by_tfidf(all_skus: DataFrame, inputs: DataFrame, min_score: float = 0.5) -> DataFrame:
+def match_by_tfidf(
+    all_skus: DataFrame, inputs: DataFrame, min_score: float = 0.5, tolerant: bool = False
+) -> DataFrame:
     catalog = tfidf_catalog(all_skus)
-    return attach_matches(tfidf_match(catalog, inputs, min_score=min_score), catalog, inputs)
+    return attach_matches(tfidf_match(catalog, inputs, min_score=min_score), catalog, inputs, tolerant)

@@ -63,6 +63,18 @@ def test_path_lookup_equals_parse(spark):
     assert [row[k] for k in "abcd"] == [row[f"{k}2"] for k in "abcd"] == ["1.5", '[1,"x"]', None, None]
 
 
+def test_malformed_documents_end_the_job_unless_tolerated(spark):
+    df = spark.createDataFrame([(scoped(a="x"),), ("{no json",), (None,)], "doc string")
+
+    def read(**settings):
+        parsed = df.select(parse_attributes(F.col("doc"), "a", **settings).alias("p"))
+        return [r["a"] for r in parsed.select(attribute_value("p", "a").alias("a")).collect()]
+
+    assert read(tolerant=True) == ["x", None, None]
+    with pytest.raises(Exception):
+        read()
+
+
 def keys_frame(spark, *keys):
     return spark.createDataFrame([(k,) for k in keys], "merchant_key string")
 

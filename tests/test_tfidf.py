@@ -131,7 +131,9 @@ def test_one_row_per_input_with_equal_units(spark):
         "gfgh_id long, name string, no_of_base_units string, base_unit_content string",
     )
     matches = spark.createDataFrame([("in a", "title a", 0.8)], "name_input string, name_all_skus string, similarity double")
-    found = {r["gfgh_id"]: r for r in records(attach_matches(matches, catalog, inputs))}
+    found = {r["gfgh_id"]: r for r in records(attach_matches(matches, catalog, inputs, tolerant=True))}
+    with pytest.raises(Exception, match="not a number: six"):
+        attach_matches(matches, catalog, inputs).collect()
     assert set(found) == {1, 4}
     assert found[4]["sku"] == "s0"
     assert found[1]["sku"] == "s0" and found[1]["no_of_base_units_input"] == 12
