@@ -26,12 +26,15 @@ from pyspark.sql import DataFrame, SparkSession
 from llm.common import as_bytes, map_batches, table
 
 _NAME = r"[a-zA-Z][^\s/>]*"
+# Nothing here is tried twice over a long stretch, whatever is left open in a page.
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<data>.*?)\]\]>|"
-    rf"<(?P<close>/?)(?P<name>{_NAME})(?P<attributes>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|"
-    rf"</?{_NAME}[^>]*>|<[!?/][^>]*>|(?P<text>[^<]+|<)",
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<data>.*?)(?:\]\]>|\Z)|"
+    rf"<(?P<close>/?)(?P<name>{_NAME})"
+    r"(?P<attributes>(?:\"[^\"<]*\"|'[^'<]*'|[^'\"<>])*+>|[^>]*>)|"
+    r"<[!?/][^>]*>|(?P<text>[^<]+|<)",
     re.DOTALL,
 )
+_BEGIN = re.compile("<[a-zA-Z/!?]")
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden)(?=[\s=/]|\Z)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _RAW = frozenset("script style noscript template iframe textarea title svg math object select".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -79,10 +82,9 @@ class Ratios:
 
 @dataclass
 class Node:
-    """A block of text and where it stands."""
+    """A block of text and the element it stands in."""
 
-    path: tuple[str, ...]
-    place: tuple[int, ...]  # the elements themselves, where the path has their kinds
+    element: int
     parts: list[str] = field(default_factory=list)
     linked: int = 0
 
@@ -91,6 +93,37 @@ class Node:
         return " ".join("".join(self.parts).split())
 
 
+@dataclass
+class Tree:
+    """The page's block elements, numbered from the root 0, parents before children.
+
+    ``path`` numbers the tag paths: elements of one kind and class under one path
+    share theirs.
+    """
+
+    parent: list[int] = field(default_factory=lambda: [0])
+    kind: list[str] = field(default_factory=lambda: [""])
+    path: list[int] = field(default_factory=lambda: [0])
+    nodes: list[Node] = field(default_factory=list)
+    paths: dict[tuple[int, str, str], int] = field(default_factory=dict)
+
+    def add(self, parent: int, name: str, label: str) -> int:
+        self.parent.append(parent)
+        self.kind.append(name)
+        known = self.paths
+        self.path.append(known.setdefault((self.path[parent], name, label), len(known) + 1))
+        return len(self.parent) - 1
+
+
+@dataclass
+class Open:
+    """An element that is not closed yet."""
+
+    name: str
+    apart: bool
+    block: int  # the innermost block element, itself included
+
+
 def marks_of(attributes: str) -> tuple[str, bool]:
     """A label made of the classes, and whether the attributes set an element apart."""
     label, apart = "", False
@@ -109,14 +142,66 @@ def marks_of(attributes: str) -> tuple[str, bool]:
     return label, apart
 
 
-def blocks_of(page: str) -> list[Node]:
+class Reader:
+    """Open elements, and how many of them are of a name or set apart."""
+
+    def __init__(self) -> None:
+        self.tree = Tree()
+        self.stack: list[Open] = []
+        self.held: dict[str, int] = defaultdict(int)
+        self.apart = 0
+
+    def push(self, name: str, attributes: str) -> None:
+        label, apart = marks_of(attributes)
+        inside = self.held["article"] or self.held["main"]
+        apart = apart or name in _APART or name == "header" and not inside
+        block = self.stack[-1].block if self.stack else 0
+        if name not in _INLINE:
+            block = self.tree.add(block, name, label)
+        # The page itself cannot be set apart.
+        opened = Open(name, apart and name not in ("html", "body", "article", "main"), block)
+        self.stack.append(opened)
+        self.held[name] += 1
+        self.apart += opened.apart
+
+    def pop_to(self, at: int) -> None:
+        for closed in self.stack[at:]:
+            self.held[closed.name] -= 1
+            self.apart -= closed.apart
+        del self.stack[at:]
+
+    def close(self, name: str) -> None:
+        if not self.held[name]:
+            return
+        for at in range(len(self.stack) - 1, -1, -1):
+            if self.stack[at].name == name:
+                self.pop_to(at)
+                return
+            # An inline end tag does not close the block it stands in.
+            if name in _INLINE and self.stack[at].name not in _INLINE:
+                return
+
+    def close_before(self, name: str) -> None:
+        """Close what the start of ``name`` ends by itself: paragraphs, items, cells."""
+        for at in range(len(self.stack) - 1, -1, -1):
+            open_ = self.stack[at].name
+            same = open_ == name and name in _CLOSED_BY_SAME
+            if open_ == "p" or same or {open_, name} in ({"dt", "dd"}, {"td", "th"}):
+                self.pop_to(at)
+                return
+            if open_ not in _INLINE and (open_ not in _CLOSED_BY_SAME or name not in _CLOSED_BY_SAME):
+                return
+
+
+def blocks_of(page: str) -> Tree:
     """The page's blocks in order, without those set apart; blank ones are left out."""
-    nodes: list[Node] = []
-    stack: list[tuple[str, str, bool, int]] = []  # name, label, set apart, number
-    number = 0
+    reader = Reader()
+    nodes = reader.tree.nodes
     current: Node | None = None
-    depth = linked = 0
     raw: str | None = None
+    # What begins behind the last end of a tag is no whole tag, and the page ends there.
+    unfinished = _BEGIN.search(page, page.rfind(">") + 1)
+    page = page[: unfinished.start()] if unfinished else page
     at, size = 0, len(page)
     while at < size:
         if raw:
@@ -127,17 +212,15 @@ def blocks_of(page: str) -> list[Node]:
         at = match.end()
         text = match["text"] or match["data"]
         if text is not None:
-            if depth:
+            if reader.apart:
                 continue
             if match["text"]:
                 text = html.unescape(text)
             if current is None:
-                block = [element for element in stack if element[0] not in _INLINE]
-                path = tuple(name + ("." + label if label else "") for name, label, _, _ in block)
-                current = Node(path, tuple(element[3] for element in block))
+                current = Node(reader.stack[-1].block if reader.stack else 0)
                 nodes.append(current)
             current.parts.append(text)
-            current.linked += linked * len(text.strip())
+            current.linked += len(text.strip()) if reader.held["a"] else 0
             continue
         if not match["name"]:
             continue
@@ -147,51 +230,26 @@ def blocks_of(page: str) -> list[Node]:
         elif name == "br" and current is not None:
             current.parts.append(" ")
         if match["close"]:
-            places = [i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name]
-            # An inline end tag does not close the block it stands in.
-            if places and not (name in _INLINE and any(s[0] not in _INLINE for s in stack[places[0] :])):
-                del stack[places[0] :]
-        else:
-            if name not in _INLINE:
-                _close_before(stack, name)
-            if name in _RAW:
-                raw = name
-                continue
-            if name in _VOID or match["attributes"].endswith("/") and name in _INLINE:
-                continue
-            label, apart = marks_of(match["attributes"])
-            inside = any(s[0] in ("article", "main") for s in stack)
-            apart = apart or name in _APART or name == "header" and not inside
-            # The page itself cannot be set apart.
-            number += 1
-            stack.append((name, label, apart and name not in ("html", "body", "article", "main"), number))
-        depth = sum(s[2] for s in stack)
-        linked = int(any(s[0] == "a" for s in stack))
-    return [node for node in nodes if node.text]
-
-
-def _close_before(stack: list[tuple[str, str, bool, int]], name: str) -> None:
-    """Close what the start of ``name`` ends by itself: paragraphs, items, cells."""
-    for at in range(len(stack) - 1, -1, -1):
-        if stack[at][0] == "p":
-            del stack[at:]
-            return
-        if name == stack[at][0] and name in _CLOSED_BY_SAME or {name, stack[at][0]} in ({"dt", "dd"}, {"td", "th"}):
-            del stack[at:]
-            return
-        if stack[at][0] not in _INLINE and stack[at][0] not in ("p", "li", "td", "th", "dt", "dd", "option"):
-            return
-        if stack[at][0] in ("li", "td", "th", "dd") and stack[at][0] != name and name not in ("li", "td", "th", "dd", "dt", "tr"):
-            return
+            reader.close(name)
+            continue
+        if name not in _INLINE:
+            reader.close_before(name)
+        if name in _RAW:
+            raw = name
+        elif name not in _VOID and not (match["attributes"].endswith("/>") and name in _INLINE):
+            reader.push(name, match["attributes"])
+    reader.tree.nodes = [node for node in nodes if node.text]
+    return reader.tree
 
 
-def path_ratios(nodes: list[Node], ratios: Ratios) -> dict[tuple[str, ...], float]:
+def path_ratios(tree: Tree, ratios: Ratios) -> dict[int, float]:
     """Fused ratio of each path: characters and punctuation per node, smoothed."""
+    nodes = tree.nodes
     length = np.array([max(len(n.text) - n.linked, 0) for n in nodes], float)
     marks = np.array([len(_PUNCTUATION.findall(n.text)) if not n.linked else 0 for n in nodes], float)
-    members: dict[tuple[str, ...], list[int]] = defaultdict(list)
+    members: dict[int, list[int]] = defaultdict(list)
     for at, node in enumerate(nodes):
-        members[node.path].append(at)
+        members[tree.path[node.element]].append(at)
     fused = np.empty(len(nodes))
     for own in members.values():
         fused[own] = np.sqrt(length[own].mean() * (1 + marks[own].mean()))
@@ -202,41 +260,50 @@ def path_ratios(nodes: list[Node], ratios: Ratios) -> dict[tuple[str, ...], floa
     return {path: float(smooth[own].mean()) for path, own in members.items()}
 
 
-def content(nodes: list[Node], ratios: Ratios = Ratios()) -> list[Node]:
+def content(tree: Tree, ratios: Ratios = Ratios()) -> list[Node]:
     """The nodes of the main text."""
+    nodes = tree.nodes
     if not nodes:
         return []
-    ratio = path_ratios(nodes, ratios)
+    ratio = path_ratios(tree, ratios)
+    path = [tree.path[node.element] for node in nodes]
     # Weight of every element: its text outside links, times what its path is worth.
-    weight: dict[tuple[int, ...], float] = defaultdict(float)
-    kinds: dict[tuple[int, ...], str] = {(): ""}
-    linked: dict[tuple[str, ...], list[int]] = defaultdict(lambda: [0, 0])
-    for node in nodes:
-        linked[node.path][0] += node.linked
-        linked[node.path][1] += len(node.text)
-        for end in range(len(node.place) + 1):
-            weight[node.place[:end]] += max(len(node.text) - node.linked, 0) * (1 + ratio[node.path])
-            if end:
-                kinds[node.place[:end]] = node.path[end - 1].split(".")[0]
-    inner: tuple[int, ...] = ()
-    while True:
-        below = [p for p in weight if len(p) == len(inner) + 1 and p[:-1] == inner]
-        heavy = max(below, key=lambda p: (weight[p], -p[-1]), default=None)
-        if heavy is None or kinds[heavy] in _LEAVES or weight[heavy] < ratios.share * weight[inner] or not weight[heavy]:
+    weight = [0.0] * len(tree.parent)
+    links: dict[int, list[int]] = defaultdict(lambda: [0, 0])
+    for node, own in zip(nodes, path):
+        weight[node.element] += max(len(node.text) - node.linked, 0) * (1 + ratio[own])
+        links[own][0] += node.linked
+        links[own][1] += len(node.text)
+    children: dict[int, list[int]] = defaultdict(list)
+    for element in range(len(weight) - 1, 0, -1):
+        weight[tree.parent[element]] += weight[element]
+        children[tree.parent[element]].append(element)
+    inner = 0
+    while children[inner]:
+        heavy = max(children[inner], key=lambda e: (weight[e], -e))
+        if tree.kind[heavy] in _LEAVES or not weight[heavy] or weight[heavy] < ratios.share * weight[inner]:
             break
         inner = heavy
-    inside = [n for n in nodes if n.place[: len(inner)] == inner]
-    own = float(np.average([ratio[n.path] for n in inside], weights=[len(n.text) for n in inside]))
-    named = any(kinds[inner[:end]] in ("article", "main") for end in range(1, len(inner) + 1))
+    within = [False] * len(weight)
+    within[inner] = True
+    for element in range(inner + 1, len(weight)):
+        within[element] = within[tree.parent[element]]
+    named, above = False, inner
+    while above:
+        named |= tree.kind[above] in ("article", "main")
+        above = tree.parent[above]
+    inside = [(ratio[own], len(node.text)) for node, own in zip(nodes, path) if within[node.element]]
+    dense = sum(r * n for r, n in inside) / sum(n for _, n in inside) if inside else 0.0
     kept = []
-    for node in nodes:
-        share = linked[node.path][0] / linked[node.path][1]
-        if node.place[: len(inner)] == inner:
+    for node, own in zip(nodes, path):
+        share = links[own][0] / links[own][1]
+        if within[node.element]:
             if named or share <= ratios.links:
                 kept.append(node)
         # Text as dense as the article's own, such as its part in another container.
-        elif kinds.get(node.place) in _LEAVES and not share and min(ratio[node.path], len(node.text)) >= ratios.threshold * own:
-            kept.append(node)
+        elif tree.kind[node.element] in _LEAVES and not share:
+            if min(ratio[own], len(node.text)) >= ratios.threshold * dense:
+                kept.append(node)
     return kept
 
 

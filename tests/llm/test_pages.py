@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import time
 
 import pytest
 
@@ -27,6 +28,16 @@ def test_content_without_the_rest():
         assert re.sub("<$", "", main_text(page)) in ("", "<")
 
 
+def test_broken_and_long_pages_take_no_longer():
+    start = time.perf_counter()
+    for piece in ("<a", "<a '", '<a "', "<![CDATA[", "<!--", "<p title='<", "<script", "</", "<div>", "&amp;<"):
+        main_text(piece * 20_000)
+        main_text(piece * 20_000 + ">" + "<p>The end, of it.</p>")
+    assert time.perf_counter() - start < 60
+    assert main_text('<div class="a" title="x < y"><p>Text, here.</p></div>') == "Text, here."
+    assert main_text("<p>One < two, and more") == "One < two, and more"
+
+
 def test_paths_by_ratio():
     links = "".join(f'<li><a href="/{at}">Page number {at}</a></li>' for at in range(30))
     body = "".join(f"<p>Sentence {at}, which is long enough, and has marks; it goes on.</p>" for at in range(5))
