@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 # A block ends with the text that brings it over either bound.
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 32_000_000
 BLOCK_WORDS = 400_000
 _MASK = (1 << 64) - 1
 
@@ -58,8 +58,9 @@ def make_blocks(batches: Iterator[pa.RecordBatch], new_splitter: Callable[[], Sp
     block, split = Block(first), new_splitter()
     for batch in batches:
         kept = [column.to_pylist() for column in batch.columns[:-1]]
+        texts = batch.columns[-1].to_numpy(zero_copy_only=False)
         for at in range(batch.num_rows):
-            text = batch.columns[-1][at].as_py() or b""
+            text = texts[at] or b""
             block.rows.append(tuple(column[at] for column in kept))
             block.codes.append(split(text, block.words))
             block.size += len(text)
@@ -128,10 +129,10 @@ def answered(
 
         word, holders = None, []
         for batch in batches:
-            extra = batch.column(3).to_pylist() if batch.num_columns > 3 else [0] * batch.num_rows
-            for new, block, code, value in zip(
-                batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), extra
-            ):
+            columns = [column.to_numpy(zero_copy_only=False).tolist() for column in batch.columns]
+            if len(columns) < 4:
+                columns.append([0] * batch.num_rows)
+            for new, block, code, value in zip(*columns):
                 if new != word:
                     if holders:
                         amount += settle(word, holders)

@@ -16,6 +16,7 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,29 @@ def encode_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     whole = ranks.get(word)
     if whole is not None:
         return [whole]
+    return _merge_short(word, ranks) if len(word) <= 100 else _merge_long(word, ranks)
+
+
+def _merge_short(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    none = len(ranks) + 1
+    get = ranks.get
+    cuts = list(range(len(word) + 1))
+    pairs = [get(word[at : at + 2], none) for at in range(len(word) - 1)]
+    while pairs:
+        lowest = min(pairs)
+        if lowest == none:
+            break
+        at = pairs.index(lowest)
+        del cuts[at + 1], pairs[at]
+        if at < len(pairs):
+            pairs[at] = get(word[cuts[at] : cuts[at + 2]], none)
+        if at:
+            pairs[at - 1] = get(word[cuts[at - 1] : cuts[at + 1]], none)
+    return [ranks[word[start:end]] for start, end in zip(cuts, cuts[1:])]
+
+
+def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The same with a queue of pairs, so that the time grows little faster than the word."""
     size = len(word)
     after = list(range(1, size + 1))
     before = list(range(-1, size - 1))
@@ -77,6 +101,9 @@ def encode_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 def splitter(pattern: str):
     """Makes functions that split a text into the numbers of its pre-tokens.
 
+    ``pattern`` is one like the default: letters and what is neither letter, digit nor
+    space form pre-tokens of their own kind, with one space before them.
+
     Where single spaces stand between other characters, no pre-token reaches over a
     space from its left, so such stretches are split once and remembered. A text with
     any other white space next to a space is split as a whole.
@@ -86,6 +113,16 @@ def splitter(pattern: str):
         find = regex.compile(pattern).findall
         known: dict[str, tuple[int, ...] | None] = {}
 
+        def stretch_of(text: str, words: dict) -> tuple[int, ...]:
+            """Pre-tokens of a space and ``text``; the plainest kinds without the pattern."""
+            if text.isascii():
+                if text.isalpha():
+                    return (words.setdefault(" " + text, len(words)),)
+                if text[-1] in ".,;:!?" and text[:-1].isalpha():
+                    word = words.setdefault(" " + text[:-1], len(words))
+                    return (word, words.setdefault(text[-1], len(words)))
+            return numbers(find(" " + text), words)
+
         def numbers(pieces: list[str], words: dict) -> tuple[int, ...]:
             return tuple([words.setdefault(piece, len(words)) for piece in pieces])
 
@@ -100,7 +137,7 @@ def splitter(pattern: str):
                 codes = known.get(stretch, 0)
                 if codes == 0:
                     clean = stretch and not stretch[0].isspace() and not stretch[-1].isspace()
-                    codes = numbers(find(" " + stretch), words) if clean else None
+                    codes = stretch_of(stretch, words) if clean else None
                     known[stretch] = codes
                 if codes is None:
                     return np.array(numbers(find(whole), words), np.uint32)
@@ -172,18 +209,17 @@ def encode(
         for row in texts.to_pylist():
             check = row["sum"] & blocks._MASK
             starts, flat = blocks.join_answers(row["words"], check, answers)
-            codes = blocks.unpacked(row["codes"]).astype(np.int64)
+            codes = blocks.unpacked(row["codes"])
             lengths = blocks.unpacked(row["lengths"]).astype(np.int64)
-            ends = np.cumsum(lengths)
-            sizes = starts[codes + 1] - starts[codes]
-            reached = np.concatenate([[0], np.cumsum(sizes)])
-            offsets = np.concatenate([[0], reached[ends]]).astype(np.int32)
+            reached = np.zeros(len(codes) + 1, np.int32)
+            np.cumsum(np.diff(starts).astype(np.int32)[codes], out=reached[1:])
+            offsets = reached[np.concatenate([[0], np.cumsum(lengths)])]
             # The gather goes over a bounded number of positions at a time.
-            pieces = [
-                blocks.gathered(starts, flat, codes[at : at + 1_000_000])
-                for at in range(0, len(codes), 1_000_000)
-            ] or [np.zeros(0, np.int32)]
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(pieces)))
+            ids = np.empty(int(reached[-1]), np.int32)
+            for at in range(0, len(codes), 500_000):
+                piece = codes[at : at + 500_000].astype(np.int64)
+                ids[reached[at] : reached[at + len(piece)]] = blocks.gathered(starts, flat, piece)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
             parts.append(pa.Table.from_arrays([pa.array(row["id"], ids_type), lists], names=[id_col, "ids"]))
         return pa.concat_tables(parts) if parts else empty
 
@@ -217,9 +253,14 @@ def decode(encoded: DataFrame, vocabulary: str = VOCABULARY, ids_col: str = "ids
         tokens = shared.value
 
         def join(batch: pa.RecordBatch) -> pa.RecordBatch:
-            lists = batch.column(batch.schema.get_field_index(ids_col))
-            found = [b"".join(tokens.take(row.values).to_pylist()) if row.is_valid else b"" for row in lists]
-            return batch.append_column(out, pa.array(found, pa.binary()))
+            lists = batch.column(batch.schema.get_field_index(ids_col)).fill_null([])
+            # Tokens taken in order lie one behind another: a row's bytes are one stretch.
+            found = tokens.take(lists.flatten())
+            ends = np.frombuffer(found.buffers()[1], np.int32, len(found) + 1 + found.offset)[found.offset :]
+            sizes = pc.list_value_length(lists).to_numpy()
+            cuts = ends[np.concatenate([[0], np.cumsum(sizes)])].astype(np.int32)
+            rows = pa.BinaryArray.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(cuts), found.buffers()[2]])
+            return batch.append_column(out, rows)
 
         for batch in batches:
             yield from slices(batch, join)
