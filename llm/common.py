@@ -55,7 +55,7 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
-def slices(batch: pa.RecordBatch, function: Callable, most: int = 8_000_000) -> Iterator:
+def slices(batch: pa.RecordBatch, function: Callable, most: int = 2_000_000) -> Iterator:
     """Apply to runs of rows of about ``most`` bytes, so that memory stays bounded."""
     if batch.num_rows == 0:
         return

@@ -7,13 +7,15 @@ posterior probability that its similarity reaches the threshold falls below the
 chosen miss probability. What survives is verified on the full sets.
 
 Inside a bucket of a band, members are compared with one leader first. Only members
-that this leaves in different components are compared with each other afterwards, so
-a large group of copies costs a comparison per member and band, not per pair.
+that this leaves in different components are compared with each other afterwards, by
+longer signatures and in bounded cells of a task, so that a large group of copies
+costs a verification per member and band, not per pair.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,13 +41,17 @@ class Likeness:
     batch: int = 48
     miss: float = 1e-7
     seed: int = 11
+    # Hashes, of one byte each, that further tell apart the members of a bucket whose
+    # leader did not settle it, and rows of a bucket that meet in one task.
+    more: int = 720
+    cell: int = 4_096
 
     @property
     def hashes(self) -> int:
         return self.bands * self.rows
 
 
-def least_matches(how: Likeness) -> list[tuple[int, int]]:
+def least_matches(how: Likeness, stages: Sequence[int] | None = None) -> list[tuple[int, int]]:
     """(hashes compared, matches needed) after each batch.
 
     With a uniform prior, ``m`` matches among ``n`` leave a posterior of
@@ -53,11 +59,12 @@ def least_matches(how: Likeness) -> list[tuple[int, int]]:
     n + 1 trials with chance t gives at most m.
     """
     limits = []
-    chance = how.percent / 100
-    for seen in range(how.batch, how.hashes + 1, how.batch):
+    yes, no = math.log(how.percent / 100), math.log(1 - how.percent / 100)
+    for seen in stages or range(how.batch, how.hashes + 1, how.batch):
         total = 0.0
         for m in range(seen + 1):
-            total += math.comb(seen + 1, m) * chance**m * (1 - chance) ** (seen + 1 - m)
+            ways = math.lgamma(seen + 2) - math.lgamma(m + 1) - math.lgamma(seen + 2 - m)
+            total += math.exp(ways + m * yes + (seen + 1 - m) * no)
             if total >= how.miss:
                 limits.append((seen, m))
                 break
@@ -94,17 +101,17 @@ def set_key(shingles: np.ndarray) -> bytes:
     return xxhash.xxh128_digest(shingles.tobytes())
 
 
-def signatures(sets: list[np.ndarray], how: Likeness) -> np.ndarray:
-    """MinHash signatures, the low 16 bits of every minimum: (sets, hashes)."""
-    draw = np.random.default_rng(how.seed)
-    first = draw.integers(0, 1 << 32, how.hashes, np.uint32) | np.uint32(1)
-    second = draw.integers(0, 1 << 32, how.hashes, np.uint32) | np.uint32(1)
+def signatures(sets: list[np.ndarray], count: int, seed: int) -> np.ndarray:
+    """MinHash signatures, the low 16 bits of every minimum: (sets, count)."""
+    draw = np.random.default_rng(seed)
+    first = draw.integers(0, 1 << 32, count, np.uint32) | np.uint32(1)
+    second = draw.integers(0, 1 << 32, count, np.uint32) | np.uint32(1)
     lengths = np.array([len(s) for s in sets])
     starts = np.cumsum(lengths) - lengths
     flat = np.concatenate(sets)
     high, low = (flat >> np.uint64(32)).astype(np.uint32), flat.astype(np.uint32)
-    out = np.empty((len(sets), how.hashes), np.uint16)
-    for at in range(how.hashes):
+    out = np.empty((len(sets), count), np.uint16)
+    for at in range(count):
         out[:, at] = np.minimum.reduceat((high * first[at]) ^ (low * second[at]), starts)
     return out
 
@@ -119,7 +126,7 @@ def describe(df: DataFrame, how: Likeness, id_col: str, text_col: str) -> DataFr
         keys: list[bytes | None] = [None] * len(sets)
         signs: list[bytes | None] = [None] * len(sets)
         if full:
-            for at, row in zip(full, signatures([sets[at] for at in full], how)):
+            for at, row in zip(full, signatures([sets[at] for at in full], how.hashes, how.seed)):
                 keys[at], signs[at] = set_key(sets[at]), row.tobytes()
         return pa.RecordBatch.from_arrays(
             [
@@ -136,11 +143,12 @@ def describe(df: DataFrame, how: Likeness, id_col: str, text_col: str) -> DataFr
 
 
 def buckets(classes: DataFrame, how: Likeness) -> DataFrame:
-    """(bucket, node, n, leader) for the members of all buckets with two or more."""
+    """(bucket, band, node, n, leader) for the members of all buckets with two or more."""
     width = 2 * how.rows
     band = F.explode(F.sequence(F.lit(0), F.lit(how.bands - 1)))
     placed = classes.select("node", "n", "sig", band.alias("band")).select(
         F.xxhash64("band", F.expr(f"substring(sig, band * {width} + 1, {width})")).alias("bucket"),
+        "band",
         "node",
         "n",
     )
@@ -153,6 +161,10 @@ def buckets(classes: DataFrame, how: Likeness) -> DataFrame:
     return placed.join(shared, "bucket")
 
 
+def parts_for(rows: int, each: int) -> int:
+    return max(1, -(-rows // each))
+
+
 def near_in_size(a: str | Column, b: str | Column, how: Likeness) -> Column:
     """No set pair with sizes further apart reaches the threshold."""
     return F.least(a, b) * 100 >= F.greatest(a, b) * how.percent
@@ -185,20 +197,16 @@ def survivors(pairs: DataFrame, classes: DataFrame, how: Likeness) -> DataFrame:
     return map_batches(joined, run, "a long, b long")
 
 
-def confirmed(
-    pairs: DataFrame, classes: DataFrame, df: DataFrame, how: Likeness, id_col: str, text_col: str
+def texts_of(
+    nodes: DataFrame, classes: DataFrame, df: DataFrame, how: Likeness, id_col: str, text_col: str, files: int
 ) -> DataFrame:
-    """The pairs whose full shingle sets reach the threshold.
+    """(node, text) for the classes in ``nodes``, one text for each, in ``files`` files.
 
-    Only texts of classes in a pair are fetched; where their number allows it, their
-    ids are broadcast so that no other text is shuffled.
+    Only their texts are fetched; where the number of nodes allows it, their ids are
+    broadcast so that no other text is shuffled.
     """
-    nodes = cut_lineage(
-        pairs.select(F.explode(F.array("a", "b")).alias("node"))
-        .distinct()
-        .join(classes.select("node", "holder", "key"), "node")
-    )
-    wanted = with_small(nodes, 4 * nodes.count())
+    keyed = cut_lineage(nodes.distinct().join(classes.select("node", "holder", "key"), "node").coalesce(files))
+    wanted = with_small(keyed, 4 * keyed.count())
     rows = df.select(F.col(id_col).alias("id"), as_bytes(text_col).alias("text"))
     texts = rows.join(wanted, rows["id"].eqNullSafe(wanted["holder"])).select("node", "key", "text")
 
@@ -206,9 +214,13 @@ def confirmed(
     def own(batch: pa.RecordBatch) -> pa.RecordBatch:
         keys = [set_key(s) for s in shingle_sets(batch.column(2).to_pylist(), how.words)]
         right = [a == b for a, b in zip(keys, batch.column(1).to_pylist())]
-        return batch.filter(pa.array(right)).select(["node", "text"])
+        return batch.filter(pa.array(right, pa.bool_())).select(["node", "text"])
 
-    texts = cut_lineage(map_batches(texts, own, "node long, text binary").dropDuplicates(["node"]))
+    return cut_lineage(map_batches(texts, own, "node long, text binary").dropDuplicates(["node"]).coalesce(files))
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, how: Likeness) -> DataFrame:
+    """The pairs whose full shingle sets reach the threshold."""
     joined = (
         pairs.join(texts.withColumnsRenamed({"node": "a", "text": "text_a"}), "a")
         .join(texts.withColumnsRenamed({"node": "b", "text": "text_b"}), "b")
@@ -216,13 +228,14 @@ def confirmed(
     )
 
     def check(batch: pa.RecordBatch) -> pa.RecordBatch:
-        different = list({*batch.column(2).to_pylist(), *batch.column(3).to_pylist()})
+        left, right = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+        different = list({*left, *right})
         sets = dict(zip(different, shingle_sets(different, how.words)))
-        right = []
-        for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+        linked = []
+        for a, b in zip(left, right):
             both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
-            right.append(100 * both >= how.percent * (len(sets[a]) + len(sets[b]) - both))
-        return batch.filter(pa.array(right, pa.bool_())).select(["a", "b"])
+            linked.append(100 * both >= how.percent * (len(sets[a]) + len(sets[b]) - both))
+        return batch.filter(pa.array(linked, pa.bool_())).select(["a", "b"])
 
     return map_batches(joined, check, "a long, b long")
 
@@ -230,35 +243,62 @@ def confirmed(
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of an edge; label is the smallest node reachable.
 
-    Labels spread over edges and along labels, so the number of rounds follows the
-    logarithm of the longest path. Each round is written to the shared folder.
+    In each round every node with a smaller neighbour is merged into the smallest one,
+    these merges are followed to their ends, and the edges are drawn anew between what
+    is left. Edges and nodes shrink from round to round; each round is written to the
+    shared folder, in as many files as the number of edges calls for.
     """
-    both = cut_lineage(
-        edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    )
-    labels = cut_lineage(
-        both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label"))
-    )
-    while True:
-        near = (
-            both.join(labels.select(F.col("node").alias("b"), "label"), "b")
-            .groupBy(F.col("a").alias("node"))
-            .agg(F.min("label").alias("near"))
+    edges = edges.select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low"))
+    edges = cut_lineage(edges.filter("high > low").distinct())
+    files = parts_for(edges.count(), 100_000)
+    labels = edges.select(F.explode(F.array("high", "low")).alias("node")).distinct()
+    labels = cut_lineage(labels.withColumn("label", F.col("node")).coalesce(files))
+    while not edges.isEmpty():
+        merged = cut_lineage(edges.groupBy("high").agg(F.min("low").alias("to")).coalesce(files))
+        while True:
+            further = merged.select(F.col("high").alias("to"), F.col("to").alias("end"))
+            if merged.join(further, "to", "left_semi").isEmpty():
+                break
+            followed = merged.join(further, "to", "left").select("high", F.coalesce("end", "to").alias("to"))
+            merged = cut_lineage(followed.coalesce(files))
+        ends = merged.select(F.col("high").alias("low"), F.col("to").alias("low_to"))
+        left = (
+            edges.join(merged, "high")
+            .join(ends, "low", "left")
+            .select(F.col("to").alias("a"), F.coalesce("low_to", "low").alias("b"))
+            .filter("a <> b")
+            .select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low"))
+            .distinct()
         )
-        spread = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        further = labels.select(F.col("node").alias("label"), F.col("label").alias("jump"))
+        edges = cut_lineage(left.coalesce(files))
+        moved = merged.select(F.col("high").alias("label"), "to")
         labels = cut_lineage(
-            spread.join(further, "label").select("node", F.least("label", "jump").alias("label"), "old")
+            labels.join(moved, "label", "left").select("node", F.coalesce("to", "label").alias("label")).coalesce(files)
         )
-        if labels.filter("label <> old").isEmpty():
-            return labels.select("node", "label")
-
-
-def unmatched(members: DataFrame, labels: DataFrame, how: Likeness) -> DataFrame:
-    """Pairs within a bucket that the leaders left in different components.
-
-    The largest component of a bucket is not compared with itself, and pairs with the
-    bucket's leader were compared before.
+    return labels
+
+
+def joined_components(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """The labels after further edges, which are drawn between labels first."""
+    named = labels.withColumnRenamed("label", "own")
+    ends = edges
+    for end in ("a", "b"):
+        known = named.select(F.col("node").alias(end), F.col("own").alias(f"{end}_own"))
+        ends = ends.join(known, end, "left").withColumn(f"{end}_own", F.coalesce(f"{end}_own", end))
+    ends = cut_lineage(ends)
+    new = components(ends.select(F.col("a_own").alias("a"), F.col("b_own").alias("b")))
+    # Nodes that had no edge before have their own number as label.
+    alone = ends.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(named, "node", "left_anti")
+    every = named.unionByName(alone.withColumn("own", F.col("node")))
+    moved = new.select(F.col("node").alias("own"), "label")
+    return cut_lineage(every.join(moved, "own", "left").select("node", F.coalesce("label", "own").alias("label")))
+
+
+def unsettled(members: DataFrame, labels: DataFrame, files: int) -> DataFrame:
+    """Members of the buckets that hold more than one component.
+
+    With each comes its component's label, whether that is the bucket's largest
+    component, and how many rows the bucket has in all and beside the largest one.
     """
     named = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     split = (
@@ -267,26 +307,110 @@ def unmatched(members: DataFrame, labels: DataFrame, how: Likeness) -> DataFrame
         .filter("low <> high")
         .select("bucket")
     )
-    open_ = cut_lineage(named.join(split, "bucket", "left_semi"))
+    rows = cut_lineage(named.join(split, "bucket", "left_semi").coalesce(files))
     most = (
-        open_.groupBy("bucket", "label")
+        rows.groupBy("bucket", "label")
         .count()
         .groupBy("bucket")
-        .agg(F.max_by("label", F.struct("count", "label")).alias("main"))
-    )
-    minor = open_.join(most, "bucket").filter("label <> main")
-    other = open_.select("bucket", *(F.col(c).alias(f"{c}_2") for c in ("node", "n", "label")))
-    return (
-        minor.join(other, "bucket")
-        .filter(
-            (F.col("label") != F.col("label_2"))
-            & near_in_size("n", "n_2", how)
-            & (F.col("node") != F.col("leader"))
-            & (F.col("node_2") != F.col("leader"))
+        .agg(
+            F.max_by("label", F.struct("count", "label")).alias("main"),
+            F.sum("count").alias("size"),
+            (F.sum("count") - F.max("count")).alias("minors"),
         )
-        .select(F.least("node", "node_2").alias("a"), F.greatest("node", "node_2").alias("b"))
-        .distinct()
     )
+    return rows.join(most, "bucket").withColumn("minor", F.col("label") != F.col("main"))
+
+
+def unmatched(rows: DataFrame, signs: DataFrame, how: Likeness) -> DataFrame:
+    """Pairs within a bucket, of different components, that no signature rules out.
+
+    Members beside the bucket's largest component are compared with all its members,
+    in tasks that hold at most ``cell`` rows of either side, so that a bucket of any
+    size is dealt out. A pair that shares several buckets is looked at in the first.
+    """
+    signed = rows.join(signs, "node")
+    columns = ("bucket", "band", "leader", "node", "n", "label", "sig", "more")
+    one = F.lit(0).alias("i"), F.lit(0).alias("j")
+    cells = lambda rows: F.sequence(F.lit(0), F.floor((F.col(rows) - 1) / how.cell).cast("int"))
+    deal = lambda rows: F.pmod(F.xxhash64("node"), F.floor((F.col(rows) - 1) / how.cell).cast("int") + 1).cast("int")
+    small = signed.filter(F.col("size") <= how.cell).select(*columns, *one, "minor", F.lit(True).alias("other"))
+    large = signed.filter(F.col("size") > how.cell)
+    left = large.filter("minor").select(
+        *columns, deal("minors").alias("i"), F.explode(cells("size")).alias("j"), F.lit(True), F.lit(False)
+    )
+    right = large.select(
+        *columns, F.explode(cells("minors")).alias("i"), deal("size").alias("j"), F.lit(False), F.lit(True)
+    )
+    met = small.unionAll(left).unionAll(right)
+    cell = ["bucket", "i", "j"]
+    seen = list(range(how.batch, how.hashes + 1, how.batch))
+    seen += list(range(how.hashes + how.more // 4, how.hashes + how.more + 1, how.more // 4))
+    limits = least_matches(how, seen)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            keys = np.stack([batch.column(c).to_numpy() for c in cell], 1)
+            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
+            for start, stop in zip([0, *cuts], [*cuts, len(keys)]):
+                key = tuple(keys[start])
+                if key != last and held:
+                    yield _pairs_of(pa.Table.from_batches(held), limits, how)
+                    held = []
+                last = key
+                held.append(batch.slice(start, stop - start))
+        if held:
+            yield _pairs_of(pa.Table.from_batches(held), limits, how)
+
+    return met.repartition(*cell).sortWithinPartitions(*cell).mapInArrow(run, "a long, b long").distinct()
+
+
+def _pairs_of(rows: pa.Table, limits: list[tuple[int, int]], how: Likeness) -> pa.RecordBatch:
+    node, n, label = (rows.column(c).to_numpy() for c in ("node", "n", "label"))
+    leader, band = rows.column("leader")[0].as_py(), rows.column("band")[0].as_py()
+    sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint16).reshape(-1, how.hashes)
+    more = np.frombuffer(b"".join(rows.column("more").to_pylist()), np.uint8).reshape(-1, how.more)
+    minor = rows.column("minor").to_numpy()
+    minors = np.flatnonzero(minor & (node != leader))
+    others = np.flatnonzero(rows.column("other").to_numpy() & (node != leader))
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    for start in range(0, len(minors), 64):
+        a, b = (x.ravel() for x in np.meshgrid(minors[start : start + 64], others, indexing="ij"))
+        near = np.minimum(n[a], n[b]) * 100 >= np.maximum(n[a], n[b]) * how.percent
+        # Two minor members meet twice where both are on both sides.
+        once = ~minor[b] | (node[a] < node[b])
+        keep = near & once & (label[a] != label[b])
+        a, b = a[keep], b[keep]
+        matches = np.zeros(len(a), np.int64)
+        before = 0
+        for seen, needed in limits:
+            if seen <= how.hashes:
+                matches = matches + (sig[a, before:seen] == sig[b, before:seen]).sum(1)
+            else:
+                span = slice(max(before - how.hashes, 0), seen - how.hashes)
+                matches = matches + (more[a, span] == more[b, span]).sum(1)
+            keep = matches >= needed
+            a, b, matches, before = a[keep], b[keep], matches[keep], seen
+        same = (sig[a] == sig[b]).reshape(len(a), how.bands, how.rows).all(2)
+        first = same.argmax(1) == band
+        found.append((node[a[first]], node[b[first]]))
+    a = np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.int64)
+    b = np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+
+def longer_signatures(texts: DataFrame, how: Likeness) -> DataFrame:
+    """(node, more): further MinHashes of full sets, one byte of each."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = shingle_sets(batch.column(1).to_pylist(), how.words)
+        more = signatures(sets, how.more, how.seed + 1).astype(np.uint8)
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array([row.tobytes() for row in more], pa.binary())], names=["node", "more"]
+        )
+
+    return map_batches(texts, run, "node long, more binary")
 
 
 def group_near(
@@ -303,13 +427,16 @@ def group_near(
     empty table gives no rows; other columns are not read; long texts enter whole.
     """
     sets = cut_lineage(describe(df, how, id_col, text_col))
+    # Tables of classes and pairs are written in files of so many classes.
+    files = parts_for(sets.count(), 10_000)
     classes = cut_lineage(
         sets.filter("n > 0")
         .groupBy("key")
         .agg(F.min("id").alias("holder"), F.first("n").alias("n"), F.first("sig").alias("sig"))
+        .coalesce(files)
         .withColumn("node", F.monotonically_increasing_id())
     )
-    members = cut_lineage(buckets(classes, how))
+    members = cut_lineage(buckets(classes, how).coalesce(files))
     leaders = members.select(F.col("node").alias("leader"), F.col("n").alias("n_leader")).filter("node = leader").distinct()
     first = (
         members.filter("node <> leader")
@@ -319,11 +446,19 @@ def group_near(
         .filter(near_in_size("n", "n_leader", how))
         .select("a", "b")
     )
-    edges = _links(first, classes, df, how, id_col, text_col)
-    labels = components(edges)
-    second = unmatched(members, labels, how)
-    edges = cut_lineage(edges.union(_links(second, classes, df, how, id_col, text_col)))
+    alive = cut_lineage(survivors(first, classes, how).coalesce(files))
+    ends = F.explode(F.array("a", "b")).alias("node")
+    texts = texts_of(alive.select(ends), classes, df, how, id_col, text_col, files)
+    edges = cut_lineage(confirmed(alive, texts, how).coalesce(files))
     labels = components(edges)
+    rows = cut_lineage(unsettled(members, labels, files))
+    texts = texts_of(rows.select("node"), classes, df, how, id_col, text_col, files)
+    signs = classes.select("node", "sig").join(longer_signatures(texts, how), "node")
+    second = unmatched(rows, cut_lineage(signs.coalesce(files)), how)
+    second = cut_lineage(second.coalesce(files))
+    more = cut_lineage(confirmed(second, texts, how).coalesce(files))
+    labels = joined_components(labels, more)
+    edges = edges.union(more)
     links = edges.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     grouped = (
         classes.select("node", "key", "holder")
@@ -332,7 +467,7 @@ def group_near(
         .select("key", "holder", F.coalesce("label", "node").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     )
     roots = grouped.groupBy("label").agg(F.min("holder").alias("root"))
-    final = cut_lineage(grouped.join(roots, "label").select("key", "root", "n_links"))
+    final = cut_lineage(grouped.join(roots, "label").select("key", "root", "n_links").coalesce(files))
     return (
         sets.select("id", "n", "key")
         .join(final, "key", "left")
@@ -346,10 +481,5 @@ def group_near(
     )
 
 
-def _links(pairs: DataFrame, classes: DataFrame, df: DataFrame, how: Likeness, id_col: str, text_col: str) -> DataFrame:
-    alive = cut_lineage(survivors(pairs, classes, how))
-    return cut_lineage(confirmed(alive, classes, df, how, id_col, text_col))
-
-
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_near(table(spark, sf_dir, "documents"))

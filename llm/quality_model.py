@@ -86,7 +86,7 @@ def windows_of(network: Network, data: np.ndarray, rows: int) -> np.ndarray:
     return np.ascontiguousarray(view)
 
 
-def pooled(network: Network, data: np.ndarray, rows: int, most: int = 2_048) -> np.ndarray:
+def pooled(network: Network, data: np.ndarray, rows: int, most: int = 512) -> np.ndarray:
     """Filter responses, max-pooled per chunk, a bounded number of chunks at a time."""
     out = np.empty((rows, FILTERS), np.float32)
     for start in range(0, rows, most):
