@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from llm.near_dedup import Likeness, components, group_near, least_matches, shingle_sets, signatures
+from llm.near_dedup import Likeness, components, group_near, least_matches, signatures
 
 
 def brute(texts: dict[int, str | None]) -> dict[int, tuple[int, int, bool]]:
