@@ -36,11 +36,15 @@ _TOKEN = re.compile(
 )
 _BEGIN = re.compile("<[a-zA-Z/!?]")
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden)(?=[\s=/]|\Z)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
-_RAW = frozenset("script style noscript template iframe textarea title svg math object select".split())
+_RAW = frozenset("script style template iframe textarea title".split())
+# Set apart only where an end tag follows: left open, they would take the rest of the page.
+_APART_CLOSED = frozenset("svg select noscript annotation annotation-xml".split())
+# In these, "/>" ends any element, and none begins a block.
+_FOREIGN = ("svg", "math")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby "
-    "s samp small span strike strong sub sup time tt u var wbr".split()
+    "object s samp small span strike strong sub sup time tt u var wbr".split()
 )
 # Leaves that hold sentences, never a whole article.
 _LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote figcaption td th caption".split())
@@ -151,12 +155,16 @@ class Reader:
         self.held: dict[str, int] = defaultdict(int)
         self.apart = 0
 
-    def push(self, name: str, attributes: str) -> None:
+    @property
+    def foreign(self) -> bool:
+        return any(self.held[name] for name in _FOREIGN)
+
+    def push(self, name: str, attributes: str, ends: bool = True) -> None:
         label, apart = marks_of(attributes)
         inside = self.held["article"] or self.held["main"]
-        apart = apart or name in _APART or name == "header" and not inside
+        apart = apart or name in _APART or name == "header" and not inside or name in _APART_CLOSED and ends
         block = self.stack[-1].block if self.stack else 0
-        if name not in _INLINE:
+        if name not in _INLINE and name not in _FOREIGN and not self.foreign:
             block = self.tree.add(block, name, label)
         # The page itself cannot be set apart.
         opened = Open(name, apart and name not in ("html", "body", "article", "main"), block)
@@ -202,6 +210,7 @@ def blocks_of(page: str) -> Tree:
     # What begins behind the last end of a tag is no whole tag, and the page ends there.
     unfinished = _BEGIN.search(page, page.rfind(">") + 1)
     page = page[: unfinished.start()] if unfinished else page
+    last_end = {name: max((m.start() for m in re.finditer(rf"</{name}(?=[\s/>])", page, re.I)), default=-1) for name in _APART_CLOSED}
     at, size = 0, len(page)
     while at < size:
         if raw:
@@ -225,19 +234,21 @@ def blocks_of(page: str) -> Tree:
         if not match["name"]:
             continue
         name = match["name"].lower()
-        if name not in _INLINE:
+        inline = name in _INLINE or name in _FOREIGN or reader.foreign
+        if not inline:
             current = None
         elif name == "br" and current is not None:
             current.parts.append(" ")
         if match["close"]:
             reader.close(name)
             continue
-        if name not in _INLINE:
+        if not inline:
             reader.close_before(name)
+        complete = match["attributes"].endswith("/>") and inline
         if name in _RAW:
-            raw = name
-        elif name not in _VOID and not (match["attributes"].endswith("/>") and name in _INLINE):
-            reader.push(name, match["attributes"])
+            raw = None if complete else name
+        elif name not in _VOID and not complete:
+            reader.push(name, match["attributes"], last_end.get(name, size) >= at)
     reader.tree.nodes = [node for node in nodes if node.text]
     return reader.tree
 

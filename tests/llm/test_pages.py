@@ -122,3 +122,27 @@ def test_nothing_runs_python(spark, urls):
     pages = spark.createDataFrame([(at, url) for at, url in enumerate(urls[:40])], "page_id long, url string")
     plan = judge(pages, how=Boosting(trees=1))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|ArrowEval", plan)
+
+
+@pytest.mark.parametrize(
+    "piece, kept",
+    [
+        ("<svg class='icon'/>", ""),
+        ("<svg><title>t</title><path d='M0'/><text>drawn</text></svg>", ""),
+        ("<math display='block'/>", ""),
+        ("<object data='x'>", ""),
+        ("<select><option>One", "One"),
+        ("<noscript>", ""),
+        ("<noscript>No script.</noscript>", ""),
+        ("<select><option>One</select>", ""),
+        ("<object data='x'>Instead, this.</object>", "Instead, this."),
+    ],
+)
+def test_text_behind_elements_of_other_kinds(piece, kept):
+    found = main_text(f"<article><p>Before, here.</p>{piece}<p>Behind, here.</p><p>And more, too.</p></article>")
+    assert found.split("\n") == ["Before, here.", *[kept] * bool(kept), "Behind, here.", "And more, too."]
+
+
+def test_formulas_stay_in_their_sentence():
+    page = "<article><p>Let <math><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow></math> be, and <svg/> go on.</p></article>"
+    assert main_text(page) == "Let x=1 be, and go on."
