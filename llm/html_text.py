@@ -35,7 +35,7 @@ _TOKEN = re.compile(
     re.DOTALL,
 )
 _BEGIN = re.compile("<[a-zA-Z/!?]")
-_ATTRIBUTE = re.compile(r"""(class|id|role|hidden)(?=[\s=/]|\Z)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?|["']""")
 _RAW = frozenset("script style template iframe textarea title".split())
 # Set apart only where an end tag follows: left open, they would take the rest of the page.
 _APART_CLOSED = frozenset("svg select noscript annotation annotation-xml".split())
@@ -56,6 +56,13 @@ _APART_WORDS = frozenset(
     "respond disqus cookie cookies notice notices consent gdpr alert popup modal overlay newsletter subscribe "
     "signup login share sharing social related recommended pagination pager skip toolbar form".split()
 )
+# A class or id of several words tells what an element is if these are all it says besides.
+_PLACES = frozenset(
+    "site main top bottom left right global primary secondary area box container wrapper wrap list bar block section "
+    "link links button buttons posts articles stories inner outer item items".split()
+)
+# Marks by class or id never count on these.
+_UNMARKED = frozenset("html body article main p h1 h2 h3 h4 h5 h6".split())
 _CLOSED_BY_SAME = {
     "li": {"ul", "ol", "menu"},
     "dt": {"dl"},
@@ -91,6 +98,7 @@ class Node:
     element: int
     parts: list[str] = field(default_factory=list)
     linked: int = 0
+    marks: tuple[int, ...] = ()  # the elements around it that a class or id sets apart
 
     @property
     def text(self) -> str:
@@ -126,24 +134,31 @@ class Open:
     name: str
     apart: bool
     block: int  # the innermost block element, itself included
+    marked: bool = False
+
 
+def tells(token: str) -> bool:
+    """Whether a whole class or id names something set apart, such as ``site-footer``."""
+    words = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower())
+    return any(word in _APART_WORDS for word in words) and all(word in _APART_WORDS or word in _PLACES for word in words)
 
-def marks_of(attributes: str) -> tuple[str, bool]:
-    """A label made of the classes, and whether the attributes set an element apart."""
-    label, apart = "", False
+
+def marks_of(attributes: str) -> tuple[str, bool, bool]:
+    """A label made of the classes; whether hidden or role set an element apart; whether
+    a class or id does."""
+    label, apart, marked = "", False, False
     for match in _ATTRIBUTE.finditer(attributes):
-        name = match[1].lower()
-        value = (match[2] or match[3] or match[4] or "").lower()
+        name = (match[1] or "").lower()
+        value = html.unescape(match[2] or match[3] or match[4] or "")
         if name == "hidden":
             apart = True
         elif name == "role":
-            apart |= value.strip() in _APART_ROLES
-        else:
-            words = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", match[2] or match[3] or match[4] or "").lower())
-            apart |= any(word in _APART_WORDS for word in words)
+            apart |= value.strip().lower() in _APART_ROLES
+        elif name in ("class", "id"):
+            marked |= any(tells(token) for token in value.split())
             if name == "class":
-                label = ".".join(sorted(value.split()))
-    return label, apart
+                label = ".".join(sorted(value.lower().split()))
+    return label, apart, marked
 
 
 class Reader:
@@ -154,20 +169,26 @@ class Reader:
         self.stack: list[Open] = []
         self.held: dict[str, int] = defaultdict(int)
         self.apart = 0
+        self.marks: tuple[int, ...] = ()
 
     @property
     def foreign(self) -> bool:
         return any(self.held[name] for name in _FOREIGN)
 
     def push(self, name: str, attributes: str, ends: bool = True) -> None:
-        label, apart = marks_of(attributes)
+        label, apart, marked = marks_of(attributes)
         inside = self.held["article"] or self.held["main"]
         apart = apart or name in _APART or name == "header" and not inside or name in _APART_CLOSED and ends
         block = self.stack[-1].block if self.stack else 0
         if name not in _INLINE and name not in _FOREIGN and not self.foreign:
             block = self.tree.add(block, name, label)
+            marked = marked and name not in _UNMARKED
+            if marked:
+                self.marks += (block,)
+        else:
+            apart, marked = apart or marked, False
         # The page itself cannot be set apart.
-        opened = Open(name, apart and name not in ("html", "body", "article", "main"), block)
+        opened = Open(name, apart and name not in ("html", "body", "article", "main"), block, marked)
         self.stack.append(opened)
         self.held[name] += 1
         self.apart += opened.apart
@@ -176,6 +197,8 @@ class Reader:
         for closed in self.stack[at:]:
             self.held[closed.name] -= 1
             self.apart -= closed.apart
+            if closed.marked:
+                self.marks = self.marks[:-1]
         del self.stack[at:]
 
     def close(self, name: str) -> None:
@@ -226,7 +249,7 @@ def blocks_of(page: str) -> Tree:
             if match["text"]:
                 text = html.unescape(text)
             if current is None:
-                current = Node(reader.stack[-1].block if reader.stack else 0)
+                current = Node(reader.stack[-1].block if reader.stack else 0, marks=reader.marks)
                 nodes.append(current)
             current.parts.append(text)
             current.linked += len(text.strip()) if reader.held["a"] else 0
@@ -249,10 +272,28 @@ def blocks_of(page: str) -> Tree:
             raw = None if complete else name
         elif name not in _VOID and not complete:
             reader.push(name, match["attributes"], last_end.get(name, size) >= at)
-    reader.tree.nodes = [node for node in nodes if node.text]
+    reader.tree.nodes = unmarked(reader.tree, [node for node in nodes if node.text])
     return reader.tree
 
 
+def unmarked(tree: Tree, nodes: list[Node]) -> list[Node]:
+    """The nodes outside marked elements. A mark does not count on an element that holds
+    most of the page's text outside links, unless an article or main stands beside it."""
+    held: dict[int, int] = defaultdict(int)
+    total = 0
+    named = [False]
+    for element in range(1, len(tree.parent)):
+        named.append(named[tree.parent[element]] or tree.kind[element] in ("article", "main"))
+    for node in nodes:
+        size = max(len(node.text) - node.linked, 0)
+        total += size
+        for mark in node.marks:
+            held[mark] += size
+        if named[node.element] and not node.marks:
+            total = float("inf")
+    return [node for node in nodes if all(2 * held[mark] > total for mark in node.marks)]
+
+
 def path_ratios(tree: Tree, ratios: Ratios) -> dict[int, float]:
     """Fused ratio of each path: characters and punctuation per node, smoothed."""
     nodes = tree.nodes

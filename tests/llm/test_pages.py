@@ -146,3 +146,31 @@ def test_text_behind_elements_of_other_kinds(piece, kept):
 def test_formulas_stay_in_their_sentence():
     page = "<article><p>Let <math><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow></math> be, and <svg/> go on.</p></article>"
     assert main_text(page) == "Let x=1 be, and go on."
+
+
+SENTENCES = "".join(f"<p>Sentence {at}, which is long enough, and has marks; it goes on.</p>" for at in range(5))
+PLAIN = re.findall("<p>(.*?)</p>", SENTENCES)
+
+
+@pytest.mark.parametrize(
+    "attributes",
+    [
+        "class='content has-sidebar'", "id=content class='no-sidebar'", "class='post with-comments'", "aria-hidden='false'",
+        "data-id='share-3'", "data-role='form'", "title='The hidden cost'", "class='widget'", "class='share-price'",
+    ],
+)
+def test_marks_are_whole_names(attributes):
+    assert main_text(f"<body><div {attributes}>{SENTENCES}</div><div>tiny</div></body>").split("\n") == PLAIN
+
+
+def test_marks_never_take_headings_and_paragraphs():
+    page = f"<article><h2 id='related-work'>Related work</h2><h2 id='social'>Social</h2><p class='share'>One, two.</p>{SENTENCES}</article>"
+    assert main_text(page).split("\n") == ["Related work", "Social", "One, two.", *PLAIN]
+
+
+def test_marks_that_count():
+    for attributes in ("class='ad'", "id=site-footer", "class='x cookieNotice'", "class='related-posts'", "hidden", "role=search"):
+        page = f"<body><article>{SENTENCES}</article><div {attributes}><p>More, and more.</p></div></body>"
+        assert main_text(page).split("\n") == PLAIN
+        assert main_text(page.replace("article", "div")).split("\n") == PLAIN
+    assert main_text(f"<article><p>Short, here.</p></article><div class='comments'>{SENTENCES}</div>") == "Short, here."
