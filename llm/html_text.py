@@ -4,9 +4,10 @@ A page is read into blocks of text, each with its tag path from the root. Per pa
 text length and punctuation are summed over the path's nodes and divided by their
 number. The two ratios are fused and smoothed over neighbouring nodes in page order,
 links count against a path, and what the paths weigh is summed up the tree. The
-content is what lies under the deepest container that holds most of that weight;
-paths beside it are kept if their own fused ratio passes the threshold, paths in it
-are left out if they are mostly links.
+content is all of an article or main that holds most of that weight. Where none is
+named, it is what lies under the smallest container of the paths above the threshold,
+with the headings before it, without paths that are mostly links; dense paths beside
+it are kept, too.
 
 Menus, headers, footers, sidebars, notices, adverts, forms and comments that say by
 element, class, id or role what they are never take part.
@@ -48,6 +49,8 @@ _INLINE = frozenset(
 )
 # Leaves that hold sentences, never a whole article.
 _LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote figcaption td th caption".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_NAMED = frozenset(("article", "main"))
 _APART = frozenset("head nav footer aside form button fieldset dialog menu".split())
 _APART_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 _APART_WORDS = frozenset(
@@ -80,13 +83,17 @@ class Ratios:
     """How paths are judged.
 
     ``share``: a container must hold this share of its parent's weight to be entered.
-    ``threshold``: paths beside the container need this part of its fused ratio.
+    ``threshold``: paths and their nodes need this part of the mean fused ratio to
+    count as content on their own.
+    ``rest``: a container is left for a child only if content of less than this share
+    lies outside the child.
     ``links``: paths in a container without a telling name may be so much of links.
     ``spread``: standard deviation, in nodes, of the smoothing.
     """
 
     share: float = 0.6
-    threshold: float = 0.8
+    threshold: float = 0.5
+    rest: float = 0.02
     links: float = 0.5
     spread: float = 1.0
 
@@ -298,7 +305,7 @@ def path_ratios(tree: Tree, ratios: Ratios) -> dict[int, float]:
     """Fused ratio of each path: characters and punctuation per node, smoothed."""
     nodes = tree.nodes
     length = np.array([max(len(n.text) - n.linked, 0) for n in nodes], float)
-    marks = np.array([len(_PUNCTUATION.findall(n.text)) if not n.linked else 0 for n in nodes], float)
+    marks = np.array([len(_PUNCTUATION.findall(n.text)) if 2 * n.linked <= len(n.text) else 0 for n in nodes], float)
     members: dict[int, list[int]] = defaultdict(list)
     for at, node in enumerate(nodes):
         members[tree.path[node.element]].append(at)
@@ -330,32 +337,51 @@ def content(tree: Tree, ratios: Ratios = Ratios()) -> list[Node]:
     for element in range(len(weight) - 1, 0, -1):
         weight[tree.parent[element]] += weight[element]
         children[tree.parent[element]].append(element)
+    prose = [(ratio[own], len(n.text)) for n, own in zip(nodes, path) if links[own][0] <= ratios.links * links[own][1]]
+    dense = sum(r * n for r, n in prose) / sum(n for _, n in prose) if prose else 0.0
+    # What is content wherever it stands, links inside its sentences included.
+    sure = [
+        links[own][0] <= ratios.links * links[own][1] and min(ratio[own], len(node.text)) >= ratios.threshold * dense
+        for node, own in zip(nodes, path)
+    ]
+    firm = [0.0] * len(tree.parent)
+    for node, own in zip(nodes, sure):
+        firm[node.element] += len(node.text) * own
+    for element in range(len(firm) - 1, 0, -1):
+        firm[tree.parent[element]] += firm[element]
+    # An element that is, or holds, an article or main.
+    has_name = [kind in _NAMED for kind in tree.kind]
+    for element in range(len(has_name) - 1, 0, -1):
+        has_name[tree.parent[element]] |= has_name[element]
     inner = 0
-    while children[inner]:
+    while children[inner] and tree.kind[inner] not in _NAMED:
         heavy = max(children[inner], key=lambda e: (weight[e], -e))
         if tree.kind[heavy] in _LEAVES or not weight[heavy] or weight[heavy] < ratios.share * weight[inner]:
             break
+        # Content beside an element without a telling name belongs to the same text.
+        if not has_name[heavy] and firm[inner] - firm[heavy] > ratios.rest * firm[inner]:
+            break
         inner = heavy
     within = [False] * len(weight)
     within[inner] = True
     for element in range(inner + 1, len(weight)):
         within[element] = within[tree.parent[element]]
-    named, above = False, inner
-    while above:
-        named |= tree.kind[above] in ("article", "main")
-        above = tree.parent[above]
-    inside = [(ratio[own], len(node.text)) for node, own in zip(nodes, path) if within[node.element]]
-    dense = sum(r * n for r, n in inside) / sum(n for _, n in inside) if inside else 0.0
+    named = tree.kind[inner] in _NAMED
+    above = {inner}
+    while inner:
+        inner = tree.parent[inner]
+        above.add(inner)
+    first = next((at for at, node in enumerate(nodes) if within[node.element]), 0)
     kept = []
-    for node, own in zip(nodes, path):
-        share = links[own][0] / links[own][1]
+    for at, (node, own) in enumerate(zip(nodes, path)):
+        mostly_links = links[own][0] > ratios.links * links[own][1]
+        kind, outer = tree.kind[node.element], tree.parent[node.element]
         if within[node.element]:
-            if named or share <= ratios.links:
-                kept.append(node)
-        # Text as dense as the article's own, such as its part in another container.
-        elif tree.kind[node.element] in _LEAVES and not share:
-            if min(ratio[own], len(node.text)) >= ratios.threshold * dense:
+            if named or not mostly_links:
                 kept.append(node)
+        # Text as dense as the article's own, and the headings that stand before it.
+        elif kind in _LEAVES and sure[at] or kind in _HEADINGS and at < first and outer in above and not mostly_links:
+            kept.append(node)
     return kept
 
 

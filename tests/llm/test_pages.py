@@ -174,3 +174,24 @@ def test_marks_that_count():
         assert main_text(page).split("\n") == PLAIN
         assert main_text(page.replace("article", "div")).split("\n") == PLAIN
     assert main_text(f"<article><p>Short, here.</p></article><div class='comments'>{SENTENCES}</div>") == "Short, here."
+
+
+MIXED = (
+    "<h2>Head</h2><ul><li>item one</li><li>item two</li></ul><table><caption>Cap</caption><tr><td>cell</td></tr></table>"
+    "<p>Short.</p><p>A sentence with a <a href='/x'>link</a>, and more of it, to the end.</p>"
+)
+MIXED_TEXT = ["Head", "item one", "item two", "Cap", "cell", "Short.", "A sentence with a link, and more of it, to the end."]
+
+
+@pytest.mark.parametrize("name", ["article", "main", "div"])
+def test_wrapped_bodies_keep_their_titles(name):
+    page = f"<body><nav><a href='/'>Home</a></nav><{name}><h1>Title</h1><div class='body'>{SENTENCES}</div></{name}></body>"
+    assert main_text(page).split("\n") == ["Title", *PLAIN]
+
+
+@pytest.mark.parametrize("name", ["article", "main", "div"])
+@pytest.mark.parametrize("label", ["", " class='second'"])
+def test_uneven_sections_stay_whole(name, label):
+    links = "".join(f'<li><a href="/{at}">Page number {at}</a></li>' for at in range(9))
+    page = f"<body><div><ul>{links}</ul></div><{name}><section>{SENTENCES}</section><section{label}>{MIXED}</section></{name}></body>"
+    assert main_text(page).split("\n") == [*PLAIN, *MIXED_TEXT]
