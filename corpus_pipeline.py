@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from llm import bpe, decontaminate, near_dedup, quality_model, secrets
 from llm.common import table, with_small
@@ -18,14 +19,25 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group, the one with the smallest doc_id.
 
-    Rows without a doc_id cannot be told apart by it and stay. Rows that are equal in
-    every column become one.
+    What is dropped goes by doc_id and text, since a doc_id may hold several texts.
+    Rows without a doc_id cannot be told apart by it and stay. Rows with a doc_id that
+    are equal in every column become one.
     """
-    groups = near_dedup.group_near(docs)
-    out = cut_lineage(groups.filter("not kept and doc_id is not null").select("doc_id").distinct())
-    rows = docs.join(with_small(out, out.count()), "doc_id", "left_anti").select(*docs.columns)
-    repeated = docs.groupBy("doc_id").count().filter("count > 1 and doc_id is not null")
-    return rows if repeated.isEmpty() else rows.distinct()
+    key = "near_duplicates_set_key"
+    groups = near_dedup.group_near(docs, key_col=key).filter("doc_id is not null")
+    groups = cut_lineage(groups.select("doc_id", "kept", key))
+    ids = groups.groupBy("doc_id").agg(F.max("kept").alias("some"), F.count(F.lit(1)).alias("rows"))
+    gone = cut_lineage(ids.filter("not some").select("doc_id"))
+    rows = docs.join(with_small(gone, gone.count()), "doc_id", "left_anti").select(*docs.columns)
+    repeated = cut_lineage(ids.filter("some and rows > 1").select("doc_id"))
+    count = repeated.count()
+    if not count:
+        return rows
+    repeated = with_small(repeated, count)
+    out = groups.filter("not kept").select("doc_id", key).distinct()
+    texts = near_dedup.with_set_key(rows.join(repeated, "doc_id", "left_semi").select(*docs.columns), key)
+    own = texts.join(out, ["doc_id", key], "left_anti").select(*docs.columns).distinct()
+    return rows.join(repeated, "doc_id", "left_anti").select(*docs.columns).union(own)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

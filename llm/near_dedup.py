@@ -413,8 +413,20 @@ def longer_signatures(texts: DataFrame, how: Likeness) -> DataFrame:
     return map_batches(texts, run, "node long, more binary")
 
 
+def with_set_key(df: DataFrame, name: str, how: Likeness = Likeness(), text_col: str = "text") -> DataFrame:
+    """``df`` with the key of each text's shingle set, null for an empty set."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = shingle_sets(batch.column(batch.num_columns - 1).to_pylist(), how.words)
+        keys = pa.array([set_key(s) if len(s) else None for s in sets], pa.binary())
+        return pa.RecordBatch.from_arrays([*batch.columns[:-1], keys], names=[*batch.schema.names[:-1], name])
+
+    kinds = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in df.schema)
+    return map_batches(df.select("*", as_bytes(text_col).alias(name)), run, f"{kinds}, `{name}` binary")
+
+
 def group_near(
-    df: DataFrame, how: Likeness = Likeness(), id_col: str = "doc_id", text_col: str = "text"
+    df: DataFrame, how: Likeness = Likeness(), id_col: str = "doc_id", text_col: str = "text", key_col: str | None = None
 ) -> DataFrame:
     """(id, n_shingles, component_id, kept, n_links) for every row.
 
@@ -425,6 +437,7 @@ def group_near(
     repeat a text are one class; rows that repeat an id with another text each go by
     their own text. A null id is never the smallest and never kept, but links. An
     empty table gives no rows; other columns are not read; long texts enter whole.
+    ``key_col`` names a further column for the key of the row's shingle set.
     """
     sets = cut_lineage(describe(df, how, id_col, text_col))
     # Tables of classes and pairs are written in files of so many classes.
@@ -477,6 +490,7 @@ def group_near(
             F.when(F.col("n") > 0, F.col("root")).otherwise(F.col("id")).alias("component_id"),
             F.coalesce(F.when(F.col("n") > 0, F.col("id") == F.col("root")).otherwise(F.col("id").isNotNull()), F.lit(False)).alias("kept"),
             F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+            *([F.col("key").alias(key_col)] if key_col else []),
         )
     )
 

@@ -71,3 +71,22 @@ def test_stages_keep_the_columns_and_take_effect(spark, folder):
 def test_stages_are_the_dealt_ones():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "benchmark", "secrets", "tokens"]
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_near_duplicates_go_by_id_and_text(spark, odd, odd_rows):
+    a, b, c = prose(60, 71), prose(60, 72), prose(60, 73)
+    rows = [(3, b), (7, b), (7, a), (9, a), (None, c), (None, c), (11, None), (11, None), (12, c), (12, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = Counter(map(tuple, corpus_pipeline.near_duplicates(spark, docs, "").collect()))
+    assert found == Counter([(3, b), (7, a), (None, c), (None, c), (11, None), (12, c), (12, "")])
+    kept = corpus_pipeline.near_duplicates(spark, odd.select("doc_id", "text"), "").collect()
+    own = (None, 5, 6, 8)
+    assert Counter(tuple(r) for r in kept if r["doc_id"] in own) == Counter({row for row in odd_rows if row[0] in (None, 5, 8)})
+
+
+@pytest.mark.parametrize("others", [[], [(1, "x"), (1, "x")]])
+def test_equal_rows_without_an_id_stay(spark, others):
+    rows = [(None, prose(30, 74))] * 2
+    docs = spark.createDataFrame(rows + others, "doc_id long, text string")
+    found = [tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+    assert Counter(found) == Counter(rows + others[:1])
