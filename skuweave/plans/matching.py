@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from skuweave.functions.numbers import number
+from skuweave.functions.numbers import number, refuse, unparsed
 from skuweave.functions.text import joined_name
 from skuweave.operators.dedup import keep_one
 from skuweave.operators.fuzzy import fuzzy_match
 from skuweave.operators.tfidf import tfidf_match
+from skuweave.session import cut_lineage, together
 
 # Fixed value: products of this type are not offered as matches.
 EXCLUDED_TYPE = "FREAK (abweichendes Design, Rücksprache halten)"
@@ -52,25 +53,62 @@ def tfidf_catalog(all_skus: DataFrame) -> DataFrame:
     )
 
 
+# The text columns that become numbers, by the side that has them.
+_PRODUCT_NUMBERS = {"amount_single_unit": "int", "net_content": "double"}
+_INPUT_NUMBERS = {"no_of_base_units": "int"}
+
+
+def _decimal_point(column: str) -> Column:
+    return F.replace(column, F.lit(","), F.lit(".")) if column == "net_content" else F.col(column)
+
+
+def matched_rows(
+    matches: DataFrame, catalog: DataFrame, inputs: DataFrame
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Matches, and the products and inputs that they name, each written once.
+
+    What is written is what later steps parse: neither Spark's optimizer nor a second
+    run of the matching can bring other rows into it.
+    """
+    matches = cut_lineage(matches)
+    products, asked = together(
+        lambda: cut_lineage(
+            catalog.join(matches.select(F.col("name_all_skus").alias("sku_title")), "sku_title", "left_semi")
+        ),
+        lambda: cut_lineage(inputs.join(matches.select(F.col("name_input").alias("name")), "name", "left_semi")),
+    )
+    return matches, products, asked
+
+
+def number_rejects(products: DataFrame, asked: DataFrame) -> DataFrame:
+    """``(side, key, column, text, reason)``: matched rows whose numbers do not parse."""
+    return unparsed(products, "sku", _PRODUCT_NUMBERS, "catalogue", _decimal_point).unionByName(
+        unparsed(asked, "gfgh_id", _INPUT_NUMBERS, "input", _decimal_point)
+    )
+
+
 def attach_matches(
     matches: DataFrame, catalog: DataFrame, inputs: DataFrame, tolerant: bool = False
 ) -> DataFrame:
     """One row per input whose best name has a product with the same number of units.
 
-    Of the products with one name and unit count only the smallest sku can be the
-    result, so they are reduced to it before the join. The answer is found once per
-    distinct input name and unit count and attached to the inputs last, so copies of
-    a name on either side do not multiply. Numbers that do not parse end the job, or
-    match nothing where ``tolerant``.
+    Only products and inputs that were matched are parsed. Where one of their numbers
+    does not parse, the rejects are counted (``number_rejects`` lists them) and the job
+    ends; where ``tolerant``, such a number is null and a row without units matches
+    nothing. Of the products with one name and unit count only the smallest sku can be
+    the result, so they are reduced to it before the join. The answer is found once per
+    distinct input name and unit count and attached to the inputs last, so copies of a
+    name on either side do not multiply.
     """
-    units = number(F.col("amount_single_unit"), "int", tolerant)
+    matches, catalog, inputs = matched_rows(matches, catalog, inputs)
+    if not tolerant:
+        refuse(number_rejects(catalog, inputs))
     products = (
         catalog.select(
             "sku",
             F.col("sku_title").alias("name_all_skus"),
-            units.alias("units"),
-            number(F.replace("net_content", F.lit(","), F.lit(".")), "double", tolerant)
-            .alias("base_unit_content_all_skus"),
+            number(F.col("amount_single_unit"), "int").alias("units"),
+            number(_decimal_point("net_content"), "double").alias("base_unit_content_all_skus"),
         )
         .where(F.col("units").isNotNull())
         .groupBy("name_all_skus", "units")
@@ -80,7 +118,7 @@ def attach_matches(
     asked = inputs.select(
         "gfgh_id",
         F.col("name").alias("name_input"),
-        number(F.col("no_of_base_units"), "int", tolerant).alias("units"),
+        number(F.col("no_of_base_units"), "int").alias("units"),
         F.col("base_unit_content").alias("base_unit_content_input"),
     )
     answers = (

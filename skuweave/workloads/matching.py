@@ -35,7 +35,7 @@ ALL_SKUS = {
     "type_single_unit": f"CASE WHEN p_partkey % 40 = 3 THEN '{EXCLUDED_TYPE}' ELSE p_type END",
     "enablement": "p_partkey % 9",
     "amount_single_unit": "CAST(p_size AS VARCHAR(10))",
-    "net_content": "CASE WHEN p_partkey % 60 <> 11 THEN p_type || ',5' END",
+    "net_content": "CASE WHEN p_partkey % 60 <> 11 THEN CASE WHEN p_partkey % 4 < 2 THEN p_type ELSE CAST(p_size % 7 AS VARCHAR(10)) END || ',5' END",
     "net_content_liter": "p_type",
     "base_unit_content": "CASE WHEN p_partkey % 3 = 0 THEN '0,' || length(p_type) || ' ' || p_type ELSE p_type END",
     "no_of_base_units": "p_size",
@@ -146,7 +146,7 @@ def tfidf_first_matches(spark: SparkSession, folder: str) -> DataFrame:
     "QUALIFY row_number() OVER (PARTITION BY gfgh_id ORDER BY similarity DESC, sku) = 1"
 )
 def tfidf_match_products(spark: SparkSession, folder: str) -> DataFrame:
-    found = match_by_tfidf(all_skus(spark, folder), input_names(spark, folder))
+    found = match_by_tfidf(all_skus(spark, folder), input_names(spark, folder), tolerant=True)
     return found.withColumn("similarity", F.round("similarity", 6))
 
 

@@ -27,11 +27,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def records(df) -> list[dict]:
-    return [row.asDict(recursive=True) for row in df.collect()]
-
-
-def by_key(df, key: str) -> dict:
-    return {row[key]: row for row in records(df)}

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import json
 
-from conftest import by_key
+from comparing import by_key
 
 from skuweave.operators.attributes import PRODUCT_ATTRIBUTES, attributes, resolve_attributes
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 
-from conftest import records
+from comparing import records
 from pyspark.sql import functions as F
 
 from skuweave.operators.crm import PROPERTIES, TABLE_COLUMNS, crm_table, deliver, payload, recently_updated

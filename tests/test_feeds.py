@@ -5,7 +5,7 @@ import json
 import os
 
 import pytest
-from conftest import by_key, records
+from comparing import by_key, records
 
 from skuweave.operators.cleaning import clean_sheet, picture_uploads
 from skuweave.operators.columns import columns_first, drop_columns_like, restrict_and_enrich

@@ -3,7 +3,7 @@ from __future__ import annotations
 import json
 
 import pytest
-from conftest import by_key, records
+from comparing import by_key, records
 from pyspark.sql import functions as F
 
 from skuweave.functions.json_values import attribute_value, json_attribute, parse_attributes

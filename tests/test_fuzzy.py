@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest import records
+from comparing import records
 from hypothesis import given, strategies as st
 from pyspark.sql import functions as F
 

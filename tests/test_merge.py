@@ -3,7 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from conftest import by_key, records
+from comparing import by_key, records
 from pyspark.sql import functions as F
 
 from skuweave.operators.merge import append, concat, upsert

@@ -3,7 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 
-from conftest import by_key, records
+from comparing import by_key, records
 
 from skuweave.plans.products import ProductSources, delta_load, full_load, needs_full_load
 

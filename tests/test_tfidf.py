@@ -6,10 +6,10 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
-from conftest import records
+from comparing import records
 
 from skuweave.operators.tfidf import first_matches, inverse_document_frequency, tfidf_match
-from skuweave.plans.matching import EXCLUDED_TYPE, attach_matches, match_by_tfidf, tfidf_catalog
+from skuweave.plans.matching import EXCLUDED_TYPE, attach_matches, match_by_tfidf, matched_rows, number_rejects, tfidf_catalog
 
 
 def grams(name: str, n: int = 3) -> list[str]:
@@ -132,14 +132,38 @@ def test_one_row_per_input_with_equal_units(spark):
     )
     matches = spark.createDataFrame([("in a", "title a", 0.8)], "name_input string, name_all_skus string, similarity double")
     found = {r["gfgh_id"]: r for r in records(attach_matches(matches, catalog, inputs, tolerant=True))}
-    with pytest.raises(Exception, match="not a number: six"):
-        attach_matches(matches, catalog, inputs).collect()
+    with pytest.raises(ValueError, match="not a number: six"):
+        attach_matches(matches, catalog, inputs)
     assert set(found) == {1, 4}
     assert found[4]["sku"] == "s0"
     assert found[1]["sku"] == "s0" and found[1]["no_of_base_units_input"] == 12
     assert isinstance(found[1]["base_unit_content_all_skus"], float)
 
 
+def test_only_matched_rows_must_parse(spark):
+    catalog = spark.createDataFrame(
+        [("s1", "title a", "6", "0,7"), ("s2", "title b", "six", "much"), ("s3", "title a", None, "0,7")],
+        "sku string, sku_title string, amount_single_unit string, net_content string",
+    )
+    inputs = spark.createDataFrame(
+        [(1, "in a", "6", "x"), (2, "in b", "many", "x")],
+        "gfgh_id long, name string, no_of_base_units string, base_unit_content string",
+    )
+    kind = "name_input string, name_all_skus string, similarity double"
+    matches = spark.createDataFrame([("in a", "title a", 0.8)], kind)
+    assert [r["sku"] for r in records(attach_matches(matches, catalog, inputs))] == ["s1"]
+    every = spark.createDataFrame([("in a", "title a", 0.8), ("in b", "title b", 0.9)], kind)
+    _, products, asked = matched_rows(every, catalog, inputs)
+    wrong = {(r["side"], r["key"], r["column"], r["text"]) for r in records(number_rejects(products, asked))}
+    assert wrong == {
+        ("catalogue", "s2", "amount_single_unit", "six"),
+        ("catalogue", "s2", "net_content", "much"),
+        ("input", "2", "no_of_base_units", "many"),
+    }
+    with pytest.raises(ValueError, match="3 in all"):
+        attach_matches(every, catalog, inputs)
+
+
 def test_job(spark):
     rows = [(str(i), "brand", f"product {i % 7}", "c", "t", 1, str(i % 3), "0,5") for i in range(30)]
     inputs = [(i, f"brand produkt {i % 7} {i % 3}x0,5", str(i % 3), "0,5 l") for i in range(30)]

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import by_key
+from comparing import by_key
 
 from skuweave.operators.translate import (
     fits_broadcast,
