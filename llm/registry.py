@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from llm import filter_audit
 from llm.bpe import op1_byte_bpe
 from llm.decontaminate import op3_decontaminate
+from llm.filter_audit import op12_filter_audit
 from llm.html_text import op8_html_text
 from llm.language_model import op10_lm_score
 from llm.near_dedup import op2_near_dedup
@@ -28,7 +30,9 @@ QUERIES: dict[str, Callable] = {
         op8_html_text,
         op9_quality_rules,
         op10_lm_score,
+        op12_filter_audit,
     )
 }
 
-ORACLES: dict[str, str] = {}
+# Operators without an entry have no SQL form: learned scores, tokenizers, similarity search.
+ORACLES: dict[str, str] = {"op12_filter_audit": filter_audit.ORACLE_SQL}
