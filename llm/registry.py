@@ -11,6 +11,7 @@ from llm.filter_audit import op12_filter_audit
 from llm.html_text import op8_html_text
 from llm.language_model import op10_lm_score
 from llm.near_dedup import op2_near_dedup
+from llm.packing import op11_packing
 from llm.quality_model import op5_quality_classifier
 from llm.quality_rules import op9_quality_rules
 from llm.secrets import op7_secret_scans
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable] = {
         op8_html_text,
         op9_quality_rules,
         op10_lm_score,
+        op11_packing,
         op12_filter_audit,
     )
 }
