@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from llm import filter_audit
+from llm import collocations, filter_audit
 from llm.bpe import op1_byte_bpe
+from llm.collocations import op13_collocations
 from llm.decontaminate import op3_decontaminate
 from llm.filter_audit import op12_filter_audit
 from llm.html_text import op8_html_text
@@ -33,8 +34,12 @@ QUERIES: dict[str, Callable] = {
         op10_lm_score,
         op11_packing,
         op12_filter_audit,
+        op13_collocations,
     )
 }
 
 # Operators without an entry have no SQL form: learned scores, tokenizers, similarity search.
-ORACLES: dict[str, str] = {"op12_filter_audit": filter_audit.ORACLE_SQL}
+ORACLES: dict[str, str] = {
+    "op12_filter_audit": filter_audit.ORACLE_SQL,
+    "op13_collocations": collocations.ORACLE_SQL,
+}
