@@ -3,8 +3,10 @@
 All files of the documents go through a streaming query in available-now micro-batches.
 Four filters look at one text; the fifth asks whether a smaller id has the same text, so
 its answer can change as files arrive. State keyed by the text's digest holds the smallest
-id so far and what the rows at that id were counted under. When a smaller id comes, those
-rows are taken back from the counters of their old mask and counted under the new one.
+id so far and what the rows at that id were counted under; a
+row of the state store holds the few hundred texts whose digests hash alike. When a smaller
+id comes, those rows are taken back from the counters of their old mask and counted under
+the new one.
 Before the state, every partition sums up its rows of the same text, so a text that a
 third of all rows share sends a few rows per partition. The deltas go to a file sink; their
 sum is, for every part, the number of documents under each mask, from which the effect of
@@ -15,7 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
-import json
+import pickle
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
@@ -37,13 +39,15 @@ _SYMBOLS = b"#$%&*|"
 
 #: Micro-batches that the present files are dealt to.
 ROUNDS = 4
+#: Texts that share a row of the state store, if all rows had different texts.
+TEXTS = 256
 #: Rows that a task sums up at a time.
 CHUNK = 200_000
 
 _JUDGED = "id long, part string, flags int, key binary, mask int"
 _SUMMED = "key binary, part string, numbers array<long>"
 _DELTAS = "part string, mask int, flags int, n long"
-_STATE = "low long, holders string"
+_STATE = "texts binary"
 
 
 def text_mask(text: bytes, points: int) -> int:
@@ -143,15 +147,26 @@ def revise(low: int | None, holders: dict, arrived: Iterable[tuple]) -> tuple[in
 
 
 def retract(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Keyed text state: revise what is held and emit the deltas."""
-    low, holders = state.get if state.exists else (None, "[]")
-    held = {(part, flags): n for part, flags, n in json.loads(holders)}
-    arrived = [row for frame in frames for row in zip(frame["part"], frame["numbers"])]
-    low, held, deltas = revise(low, held, arrived)
-    if low is not None:
-        state.update((low, json.dumps([[*who, n] for who, n in held.items()])))
-    if deltas:
-        yield pd.DataFrame([(*key, n) for key, n in deltas.items()], columns=["part", "mask", "flags", "n"])
+    """Revise the texts of a state row that have arrived again or first, and emit the deltas.
+
+    The state maps digests to the smallest id and its holders.
+    """
+    texts = pickle.loads(state.get[0]) if state.exists else {}
+    arrived = defaultdict(list)
+    for frame in frames:
+        for digest, part, numbers in zip(frame["key"], frame["part"], frame["numbers"]):
+            arrived[bytes(digest)].append((part, numbers.tolist()))
+    total: dict[tuple, int] = defaultdict(int)
+    for digest, rows in arrived.items():
+        low, holders, deltas = revise(*texts.get(digest, (None, {})), rows)
+        if low is not None:
+            texts[digest] = low, holders
+        for what, n in deltas.items():
+            total[what] += n
+    state.update((pickle.dumps(texts),))
+    found = [(*what, n) for what, n in total.items() if n]
+    if found:
+        yield pd.DataFrame(found, columns=["part", "mask", "flags", "n"])
 
 
 def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,6 +203,7 @@ def mask_counts(
     part_col: str = "source",
     rounds: int = ROUNDS,
     folder: str | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """(part, mask, flags, n): the documents below ``path`` under each mask.
 
@@ -196,11 +212,13 @@ def mask_counts(
     copy; equal ids with equal texts are not copies of each other; repeated rows count
     each. Empty tables give no rows; other columns are not read. ``folder`` holds state,
     progress and deltas: files that arrive later are counted by another call with the
-    same folder, and a call that broke off is resumed by one.
+    same folder, and a call that broke off is resumed by one. Such calls pass the same
+    ``buckets``, the rows of the state store, by default one for 256 of the present rows.
     """
     folder = folder or new_folder(spark)
     given = spark.read.parquet(path)
     files = len(given.inputFiles())
+    buckets = buckets or -(-given.count() // TEXTS) or 1
     # A table may be one file or a folder of files; a pattern takes either.
     stream = (
         spark.readStream.schema(given.schema)
@@ -218,7 +236,8 @@ def mask_counts(
     )
     deltas = (
         rows.mapInArrow(summed_up, _SUMMED)
-        .groupBy("key")
+        .withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
+        .groupBy("bucket")
         .applyInPandasWithState(retract, _DELTAS, _STATE, "append", GroupStateTimeout.NoTimeout)
         .mapInArrow(merged, _DELTAS)
     )

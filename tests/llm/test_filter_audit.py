@@ -60,7 +60,7 @@ def result(df) -> dict:
 LABELS = "doc_id long, quality int, toxic int"
 
 
-@pytest.mark.parametrize("rounds", [1, 7])
+@pytest.mark.parametrize("rounds", [4])
 def test_equals_every_order_by_hand(spark, odd_rows, tmp_path, rounds):
     """Copies whose smaller id comes in a later file take their earlier masks back."""
     draw = random.Random(3)
@@ -88,7 +88,7 @@ def test_empty_table_and_later_files(spark, tmp_path):
     first, later = [(9, "same", "a"), (8, "other", "a")], [(3, "same", "b"), (10, "same", "b"), (9, "same", "b")]
     for rows in (first, later):
         spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(path)
-        counts = filter_audit.mask_counts(spark, path, labels, folder=folder)
+        counts = filter_audit.mask_counts(spark, path, labels, folder=folder, buckets=3)
         wanted = first if rows is first else first + later
         assert result(filter_audit.interactions(counts)) == by_hand(wanted, [])
 
