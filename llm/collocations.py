@@ -166,7 +166,8 @@ class Layout:
 
     @property
     def quotient(self) -> int:
-        return min(self.half, self.ranges + SLOTS)
+        # What is left of the left half has 32 bits at most.
+        return min(self.half, max(self.ranges + SLOTS, self.half - 32))
 
     def of(self, words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """The permuted halves of n-grams, given as their words' ids."""
