@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
@@ -43,6 +46,30 @@ def with_small(keys: DataFrame, count: int) -> DataFrame:
     return F.broadcast(keys) if count <= BROADCAST_KEYS else keys
 
 
+@lru_cache(maxsize=1)
+def _trim() -> Callable[[int], int]:
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):  # another C library
+        return lambda _: 0
+
+
+def freed(function: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A partition's function; at its end what it held goes back to the system.
+
+    Python workers stay for later tasks, and what their allocators keep would count
+    against the executors all that time.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        _trim()(0)
+
+    return run
+
+
 def map_batches(
     df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str
 ) -> DataFrame:
