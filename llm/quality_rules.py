@@ -2,7 +2,12 @@
 
 Repetitive text compresses far better than prose of its length, random text far
 worse. Whole documents and fixed chunks of them are compressed with zstandard; each
-length has its own band of ratios, and a text outside its band is rejected.
+length has its own band of ratios, and a text outside its band is rejected, as is one
+with more than a tenth of its chunks outside theirs. Texts of any length are judged. The
+limits stand clear of what clean texts of that length reach, a tenth or more below the
+lowest ratios and 2 % or more above the highest. Below some 200
+bytes the frame and the table of letters weigh so much that random letters and prose have
+the same ratios; there only what is far outside is told apart.
 
 The word and line counts that accompany the verdict are taken over whole texts.
 """
@@ -29,18 +34,19 @@ class Bands:
     """Limits of compressed size over size, by the number of bytes compressed.
 
     ``edges`` are the upper byte lengths of all but the last band. A ratio below
-    ``low`` is repetitive, one above ``high`` incompressible. Whole texts below
-    ``least`` bytes are not judged: a frame header alone would decide.
+    ``low`` is repetitive, one above ``high`` incompressible. ``frame`` bytes, which any
+    compressed text has, are not counted. Texts of two chunks and more are cut into the
+    largest of ``chunks``, with limits of their own.
     """
 
-    least: int = 200
-    edges: Sequence[int] = (400, 800, 1_600, 3_200, 12_800)
-    low: Sequence[float] = (0.45, 0.42, 0.40, 0.38, 0.35, 0.30)
-    high: Sequence[float] = (0.92, 0.85, 0.78, 0.72, 0.68, 0.65)
-    chunk: int = 4_096
-    chunk_low: float = 0.25
-    chunk_high: float = 0.68
-    chunk_share: float = 0.5
+    frame: int = 9
+    edges: Sequence[int] = (100, 200, 400, 800, 1_600, 3_200, 12_800, 51_200)
+    low: Sequence[float] = (0.40, 0.40, 0.38, 0.36, 0.34, 0.32, 0.30, 0.28, 0.25)
+    high: Sequence[float] = (1.25, 1.10, 0.86, 0.74, 0.66, 0.58, 0.54, 0.50, 0.50)
+    chunks: Sequence[int] = (512, 1_024)
+    chunk_low: Sequence[float] = (0.34, 0.31)
+    chunk_high: Sequence[float] = (0.75, 0.66)
+    chunk_share: float = 0.1
     level: int = 3
 
     def limits(self, size: int) -> tuple[float, float]:
@@ -59,27 +65,24 @@ class _Counter:
         self.packer = zstandard.ZstdCompressor(level=self.bands.level)
 
     def ratio(self, data: bytes) -> float:
-        return len(self.packer.compress(data)) / len(data)
+        return max(0, len(self.packer.compress(data)) - self.bands.frame) / len(data)
 
     def judge(self, text: bytes) -> tuple[float | None, float, bool]:
-        """Whole ratio, share of chunks outside their band, verdict."""
+        """Whole ratio, share of chunks outside their band, verdict; an empty text is inside."""
         size, bands = len(text), self.bands
-        if size < bands.least:
+        if not size:
             return None, 0.0, True
         whole = self.ratio(text)
         low, high = bands.limits(size)
-        outside = chunks = 0
-        if size >= 2 * bands.chunk:
-            for start in range(0, size - bands.chunk + 1, bands.chunk):
-                chunks += 1
-                ratio = self.ratio(text[start : start + bands.chunk])
-                outside += not bands.chunk_low <= ratio <= bands.chunk_high
+        kind = int(np.searchsorted(bands.chunks, size // 2, "right")) - 1
+        share = 0.0
+        if kind >= 0:
+            chunk, least, most = bands.chunks[kind], bands.chunk_low[kind], bands.chunk_high[kind]
+            starts = list(range(0, size - chunk + 1, chunk))
             # What is left behind the last full chunk is judged with the end of the text.
-            if size % bands.chunk:
-                chunks += 1
-                ratio = self.ratio(text[-bands.chunk :])
-                outside += not bands.chunk_low <= ratio <= bands.chunk_high
-        share = outside / chunks if chunks else 0.0
+            if size % chunk:
+                starts.append(size - chunk)
+            share = sum(not least <= self.ratio(text[at : at + chunk]) <= most for at in starts) / len(starts)
         return whole, share, low <= whole <= high and share <= bands.chunk_share
 
 
