@@ -15,10 +15,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import as_bytes, fold, map_batches, slices, table
+from llm.common import as_bytes, fold, freed, map_batches, slices, table
 
 WIDTH = 8  # bytes a filter sees
-STEP = 2  # bytes between two windows
+STEP = 1  # bytes between two windows
 CHUNK = 256  # bytes a chunk adds; it also reads the OVERLAP bytes before it
 OVERLAP = WIDTH - STEP
 EMBED = 6
@@ -86,7 +86,7 @@ def windows_of(network: Network, data: np.ndarray, rows: int) -> np.ndarray:
     return np.ascontiguousarray(view)
 
 
-def pooled(network: Network, data: np.ndarray, rows: int, most: int = 512) -> np.ndarray:
+def pooled(network: Network, data: np.ndarray, rows: int, most: int = 256) -> np.ndarray:
     """Filter responses, max-pooled per chunk, a bounded number of chunks at a time."""
     out = np.empty((rows, FILTERS), np.float32)
     for start in range(0, rows, most):
@@ -240,7 +240,7 @@ def fit(
         )
 
     chosen = sample(documents, labels, how, id_col, text_col).select("text", "label").coalesce(1)
-    parts = [bytes(row["part"]) for row in chosen.mapInArrow(learn, "part binary").collect()]
+    parts = [bytes(row["part"]) for row in chosen.mapInArrow(freed(learn), "part binary").collect()]
     network = Network.random(how.seed)
     if not parts:
         return train([], [], how)
@@ -271,7 +271,12 @@ def score(documents: DataFrame, network: Network, id_col: str = "doc_id", text_c
 
 
 def accepted(documents: DataFrame, network: Network, text_col: str = "text") -> DataFrame:
-    """The rows predicted as label 1, with all their columns."""
+    """The rows predicted as label 1, with all their columns.
+
+    A null or empty text gets the training rows' share of label 1, as in ``score``. Rows
+    are judged one by one: repeated rows and null or equal ids stay or go by their texts,
+    an empty table stays empty, and columns of any name or type are passed on.
+    """
 
     def keep(batches):
         for batch in batches:
@@ -281,9 +286,9 @@ def accepted(documents: DataFrame, network: Network, text_col: str = "text") ->
                 texts = [(t or "").encode() for t in part.column(at).to_pylist()]
                 return part.filter(pa.array(probabilities(network, texts) >= CUT))
 
-            yield from slices(batch, choose)
+            yield from slices(batch, choose, 1_000_000)
 
-    return documents.mapInArrow(keep, documents.schema)
+    return documents.mapInArrow(freed(keep), documents.schema)
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

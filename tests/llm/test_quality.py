@@ -1,13 +1,16 @@
 from __future__ import annotations
 
+import base64
+import random
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+import zstandard
 
 from llm.quality_model import CHUNK, OVERLAP, Network, Training, accepted, chunked, combined, fit, gradients, pooled, probabilities, score, train
-from llm.quality_rules import Bands, apply_rules, duplicate_lines, repeated_words
+from llm.quality_rules import Bands, _Counter, apply_rules, duplicate_lines, repeated_words
 
 from prose_texts import prose
 
@@ -139,16 +142,70 @@ def test_counts_as_brute_force(spark, odd, odd_rows, nothing):
     assert apply_rules(nothing).count() == 0 and apply_rules(odd).count() == odd.count()
 
 
-def test_bands_reject_repetitive_and_random_texts(spark):
-    import random
+def noise(size: int, seed: int) -> str:
+    return base64.b64encode(random.Random(seed).randbytes(size)).decode()[:size]
 
-    draw = random.Random(1)
-    noise = lambda size: "".join(chr(draw.randint(33, 126)) + " " * (draw.random() < 0.1) for _ in range(size))
-    rows = [(1, prose(300, 1)), (2, prose(5_000, 2)), (3, noise(1_500)), (4, prose(40, 3)), (5, noise(20_000))]
-    rows += [(6, " ".join(f"{prose(8, 4)} {at}" for at in range(4_000))), (7, prose(4_000, 5) + noise(60_000))]
+
+def test_default_bands_reject_repetitive_and_random_texts(spark):
+    """With the production limits: each kind at each length, and inside a text."""
+    rows, wanted = [], {}
+
+    def add(text: str, kept: bool) -> None:
+        wanted[len(rows)] = kept
+        rows.append((len(rows), text))
+
+    for words in (12, 20, 40, 90, 200, 400, 900, 3_000, 12_000):
+        add(prose(words, words), True)
+    for size in (400, 900, 1_700, 4_000, 20_000, 90_000):
+        add(" ".join(noise(size, size)[at : at + 60] for at in range(0, size, 60)) + " a b c d e f g h i j", False)
+        add(" ".join(f"{prose(8, 4)} {at}" for at in range(size // 40)), False)
+    # A third of a text, and a stretch of a long one.
+    add(prose(650, 5) + " " + noise(2_000, 1) + " " + prose(100, 6), False)
+    add(prose(4_000, 5) + " " + noise(9_000, 2) + " " + prose(4_000, 6), False)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    kept = {r["doc_id"]: r["kept"] for r in apply_rules(docs, Bands(low=(0.2,) * 6, chunk_low=0.05)).collect()}
-    assert kept == {1: True, 2: True, 3: False, 4: True, 5: False, 6: False, 7: False}
+    found = {r["doc_id"]: r for r in apply_rules(docs).collect()}
+    bad = {key: (len(rows[key][1]), found[key]) for key, kept in wanted.items() if (found[key]["kept"] or found[key]["base_failed"]) != (kept or found[key]["base_failed"])}
+    assert bad == {}
+
+
+def test_verdicts_as_brute_force(odd_rows):
+    """Whole ratios and chunks by their definition, over every byte of every text."""
+    bands, packer = Bands(), zstandard.ZstdCompressor(level=3)
+    counter = _Counter(bands)
+    ratio = lambda data: max(0, len(packer.compress(data)) - 9) / len(data)
+    texts = [text for _, text in odd_rows if text]
+    texts += [prose(n, n) for n in range(5, 900, 45)] + [noise(n, n) for n in (1, 99, 1_023, 1_024, 2_047, 2_048, 2_049, 5_000)]
+    for text in texts:
+        data = text.encode()
+        band = sum(len(data) > edge for edge in bands.edges)
+        inside = bands.low[band] <= ratio(data) <= bands.high[band]
+        odd = chunks = 0
+        for size, low, high in zip(bands.chunks, bands.chunk_low, bands.chunk_high):
+            if len(data) >= 2 * size:
+                parts = [data[at : at + size] for at in range(0, len(data) // size * size, size)]
+                parts += [data[-size:]] if len(data) % size else []
+                odd, chunks = sum(not low <= ratio(part) <= high for part in parts), len(parts)
+        share = odd / chunks if chunks else 0.0
+        assert counter.judge(data) == (ratio(data), share, inside and share <= 0.1)
+
+
+def test_forward_pass_as_brute_force():
+    """Every window of a text at every byte, chunk by chunk, in plain loops."""
+    network = Network.random(7)
+    network.shift += np.linspace(-1, 1, len(network.shift)).astype(np.float32)
+    for text in (b"x", b"seven 7", b"eight..8", prose(30, 1).encode(), prose(120, 2).encode(), b"\xff\x00" * 300):
+        # Zeros stand before the first chunk, as many as a window reads back, and behind the last.
+        chunks = -(-(len(text) + 7) // 256)
+        padded = bytes(7) + text.ljust(chunks * 256, b"\0")
+        peaks = []
+        for chunk in range(chunks):
+            best = np.full(24, -np.inf)
+            for at in range(chunk * 256, chunk * 256 + 256):
+                window = np.concatenate([network.embed[code] for code in padded[at : at + 8]])
+                best = np.maximum(best, window.astype(np.float64) @ network.filters)
+            peaks.append(np.maximum(best + network.shift, 0))
+        logit = np.concatenate([np.mean(peaks, 0), np.max(peaks, 0)]) @ network.weights + network.bias[0]
+        assert probabilities(network, [text])[0] == pytest.approx(1 / (1 + np.exp(-logit)), abs=1e-4)
 
 
 def test_windows_do_not_cross_texts():
