@@ -79,7 +79,7 @@ def map_batches(
         for batch in batches:
             yield from slices(batch, function)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(freed(run), schema)
 
 
 def slices(batch: pa.RecordBatch, function: Callable, most: int = 2_000_000) -> Iterator:

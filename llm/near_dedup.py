@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import as_bytes, map_batches, mix, table, windows, with_small, word_codes
+from llm.common import as_bytes, freed, map_batches, mix, table, windows, with_small, word_codes
 from skuweave.session import cut_lineage
 
 
@@ -363,7 +363,7 @@ def unmatched(rows: DataFrame, signs: DataFrame, how: Likeness) -> DataFrame:
         if held:
             yield _pairs_of(pa.Table.from_batches(held), limits, how)
 
-    return met.repartition(*cell).sortWithinPartitions(*cell).mapInArrow(run, "a long, b long").distinct()
+    return met.repartition(*cell).sortWithinPartitions(*cell).mapInArrow(freed(run), "a long, b long").distinct()
 
 
 def _pairs_of(rows: pa.Table, limits: list[tuple[int, int]], how: Likeness) -> pa.RecordBatch:
