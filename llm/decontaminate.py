@@ -308,7 +308,14 @@ def _search(rows: DataFrame, index, schema: str, id_col: str) -> DataFrame:
 def without_leaks(
     documents: DataFrame, items: DataFrame, limits: Limits = Limits(), text_col: str = "text"
 ) -> DataFrame:
-    """The rows in which no item was found, with all their columns; nothing is shuffled."""
+    """The rows in which no item was found, with all their columns; nothing is shuffled.
+
+    Items count whatever their ids, null or repeated ones too; wordless items never match.
+    A null or empty text holds no item and stays. Rows are searched one by one, so repeated
+    rows and ids need nothing; an empty table on either side leaves the rows as they are;
+    columns of any name or type are passed on. A long text is searched to its end.
+    """
+    items = items.select(F.xxhash64("text").alias("item_id"), "text")
     for index in indexes(items, limits, "item_id", "text"):
         documents = _clean(documents, index, text_col)
     return documents

@@ -3,7 +3,8 @@
 Every version of a text is addressed by the SHA-256 of its bytes. A ledger in the
 shared folder holds, per blob, the rule versions it was scanned with and what they
 found. A run scans each blob once, with those rules only that the ledger does not
-have for it, and joins the findings back to every path that holds the blob.
+have for it, and joins the findings back to every path that holds the blob. A span names
+the rule and version that found it, so that a reader gets those it asks for and no others.
 """
 
 from __future__ import annotations
@@ -62,11 +63,13 @@ ADDED = (
 )
 RULES = BASE + ADDED
 _HEX_RUN = re.compile(rb"[0-9a-f]{16,}")
-LEDGER = "blob binary, rules array<string>, spans array<struct<kind:string,start:long,end:long>>"
+LEDGER = "blob binary, rules array<string>, spans array<struct<rule:string,start:long,end:long>>"
+#: Copies of a blob's findings over which the paths that hold the blob are dealt.
+SALTS = 16
 
 
 def spans_of(text: bytes, rules: Sequence[Rule]) -> list[tuple[int, int, str]]:
-    """(start, end, kind) in code points, ordered by start, then by the rules' order."""
+    """(start, end, rule) in code points, ordered by start, then by the rules' order."""
     found = []
     for place, rule in enumerate(rules):
         if rule.hints and not any(hint in text for hint in rule.hints):
@@ -77,14 +80,17 @@ def spans_of(text: bytes, rules: Sequence[Rule]) -> list[tuple[int, int, str]]:
             pattern = _HEX_RUN
         for match in pattern.finditer(text):
             if match.end(rule.group) - match.start(rule.group) >= rule.least:
-                found.append((match.start(), place, match.end(), rule.kind))
+                found.append((match.start(), place, match.end(), rule.name))
     found.sort()
     if text.isascii():
-        return [(start, end, kind) for start, _, end, kind in found]
-    return [
-        (len(text[:start].decode("utf-8", "replace")), len(text[:end].decode("utf-8", "replace")), kind)
-        for start, _, end, kind in found
-    ]
+        return [(start, end, name) for start, _, end, name in found]
+    # Code points are counted once from end to end, from one place to the next.
+    points, before, reached = {}, 0, 0
+    for at in sorted({place for start, _, end, _ in found for place in (start, end)}):
+        reached += len(text[before:at].decode("utf-8", "replace"))
+        points[at] = reached
+        before = at
+    return [(points[start], points[end], name) for start, _, end, name in found]
 
 
 def blob_of(column: str) -> Column:
@@ -143,11 +149,11 @@ def scan_new(
 
 
 def _scan(blobs: DataFrame, rules: list[Rule]) -> DataFrame:
-    kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+    kind = pa.list_(pa.struct([("rule", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def scan(batch: pa.RecordBatch) -> pa.RecordBatch:
         spans = [
-            [{"kind": k, "start": s, "end": e} for s, e, k in spans_of(text, rules)]
+            [{"rule": name, "start": s, "end": e} for s, e, name in spans_of(text, rules)]
             for text in batch.column(1).to_pylist()
         ]
         names = [[rule.name for rule in rules]] * len(spans)
@@ -160,13 +166,19 @@ def _scan(blobs: DataFrame, rules: list[Rule]) -> DataFrame:
 
 
 def findings(spark: SparkSession, ledger: str, rules: Sequence[Rule] = RULES) -> DataFrame:
-    """(blob, spans) of the blobs in which the rules found something, spans in order."""
+    """(blob, spans) of the blobs in which these rules, in these versions, found something.
+
+    Spans are in order of their starts, then of the rules.
+    """
+    names = F.array(*(F.lit(rule.name) for rule in rules))
     kinds = F.array(*(F.lit(rule.kind) for rule in rules))
+    place = F.array_position(names, F.col("span.rule")).cast("int")
     rows = (
         read_ledger(spark, ledger)
-        .filter(F.arrays_overlap("rules", F.array(*(F.lit(rule.name) for rule in rules))))
         .select("blob", F.explode("spans").alias("span"))
-        .select("blob", F.struct("span.start", F.array_position(kinds, F.col("span.kind")).alias("place"), "span.end", "span.kind").alias("span"))
+        .select("blob", "span", place.alias("place"))
+        .filter("place > 0")
+        .select("blob", F.struct("span.start", "place", "span.end", F.element_at(kinds, F.col("place")).alias("kind")).alias("span"))
     )
     return rows.groupBy("blob").agg(F.array_sort(F.collect_set("span")).alias("spans"))
 
@@ -190,8 +202,11 @@ def find_secrets(
     scan_new(versions, ledger, rules, id_col, text_col)
     found = findings(spark, ledger, rules)
     empty = F.array().cast(found.schema["spans"].dataType)
-    paths = versions.select(F.col(id_col), blob_of(text_col).alias("blob"))
-    return paths.join(found, "blob", "left").select(
+    # The paths of a blob that many hold are dealt over copies of its one row of findings.
+    salt = F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int").alias("salt")
+    paths = versions.select(F.col(id_col), blob_of(text_col).alias("blob"), salt)
+    found = found.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return paths.join(found, ["blob", "salt"], "left").select(
         id_col, "blob", F.coalesce("spans", empty).alias("spans")
     )
 
@@ -200,7 +215,9 @@ def redact(versions: DataFrame, ledger: str | None = None, text_col: str = "text
     """``versions`` with every span that was found replaced by ``[secret]``.
 
     Spans that overlap are replaced once. ``n_chars``, where there is one, is counted
-    anew for texts that change.
+    anew for texts that change. A null or empty text stays as it is; repeated rows and ids
+    are each covered by what their own text holds; null ids stay; an empty table stays
+    empty; columns of any name or type are passed on. A long text is covered to its end.
     """
     spark = versions.sparkSession
     ledger = ledger or new_folder(spark)
@@ -212,7 +229,9 @@ def redact(versions: DataFrame, ledger: str | None = None, text_col: str = "text
     def cover(texts: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([_covered(t, s) for t, s in zip(texts, spans)], dtype=object)
 
-    joined = packed.join(with_small(found, 4 * found.count()), "blob", "left")
+    # Broadcast only if digests and spans together are as small as so many keys.
+    sizes = found.agg(F.count(F.lit(1)).alias("blobs"), F.coalesce(F.sum(F.size("spans")), F.lit(0)).alias("spans")).first()
+    joined = packed.join(with_small(found, 12 * sizes["blobs"] + 4 * sizes["spans"]), "blob", "left")
     text = F.when(F.col("spans").isNull(), F.col(f"row.`{text_col}`")).otherwise(cover(F.col(f"row.`{text_col}`"), "spans"))
     joined = joined.select("row", "spans", text.alias("text"))
     columns = []

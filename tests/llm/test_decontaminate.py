@@ -74,6 +74,7 @@ def test_leaks_are_found_and_clean_documents_stay(spark, odd, nothing):
     items = items_of(40, 5)
     draw = random.Random(6)
     filler = " ".join(draw.choice(["the", "of", *[f"plain{at}" for at in range(300)]]) for _ in range(400))
+    nameless = " ".join(f"nameless{at}" for at in range(30))
     whole, half = items[3][1].decode(), " ".join(items[4][1].decode().split()[:-8])
     rows = [
         (1, filler),
@@ -84,10 +85,11 @@ def test_leaks_are_found_and_clean_documents_stay(spark, odd, nothing):
         (5, whole),
         (None, whole),
         (6, f"{items[7][1].decode()}\n{filler}\n{items[8][1].decode()}"),
+        (7, f"{filler} {nameless}"),
     ]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     tests = spark.createDataFrame(
-        [(key, text.decode()) for key, text in items] + [(90, None), (91, ""), (None, filler), (3, whole)],
+        [(key, text.decode()) for key, text in items] + [(90, None), (91, ""), (None, items[9][1].decode()), (3, whole)],
         "item_id long, text string",
     )
     found = find_leaks(docs, tests).collect()
@@ -95,10 +97,14 @@ def test_leaks_are_found_and_clean_documents_stay(spark, odd, nothing):
         {(2, 3): 1, (5, 3): 2, (None, 3): 1, (6, 7): 1, (6, 8): 1}
     )
     kept = without_leaks(docs, tests).collect()
-    assert sorted(r["doc_id"] for r in kept) == [1, 3, 4]
+    assert sorted(r["doc_id"] for r in kept) == [1, 3, 4, 7]
     shards = find_leaks(docs, tests, Limits(shard=7)).collect()
     assert Counter((r["doc_id"], r["item_id"]) for r in shards) == Counter((r["doc_id"], r["item_id"]) for r in found)
     assert without_leaks(odd, tests).count() == odd.count()
+    # An item without id leaks as well; only lists by id leave it out.
+    unnamed = tests.union(spark.createDataFrame([(None, nameless)], tests.schema))
+    assert sorted(r["doc_id"] for r in without_leaks(docs, unnamed).collect()) == [1, 3, 4]
+    assert without_leaks(docs, tests.limit(0)).count() == len(rows)
     assert find_leaks(nothing, tests).count() == 0
     assert find_leaks(odd, tests.limit(0)).count() == 0
 

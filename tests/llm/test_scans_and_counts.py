@@ -41,7 +41,29 @@ def test_base_rules_as_written():
     parts = ["token", "=", " ", "'", '"', "API_key", ":", "secret", "AKIA", "A1B2C3D4E5F6G7H8", "0f" * 9, "é", "abc.def/ghi+jkl", "K"]
     texts = [t or "" for t in TEXTS] + ["".join(draw.choice(parts) for _ in range(30)) for _ in range(400)]
     for text in texts:
-        assert [(k, s, e) for s, e, k in spans_of(text.encode(), BASE)] == base_spans(text), text
+        assert [(name.split("@")[0], s, e) for s, e, name in spans_of(text.encode(), BASE)] == base_spans(text), text
+
+
+def test_findings_are_those_of_the_rules_asked_for(spark):
+    """Spans of earlier versions and of rules left out stay in the ledger only."""
+    docs = spark.createDataFrame([(1, "é token=abcdefghijklmnop " + "0" * 17 + " " + "f" * 41)], "doc_id long, text string")
+    ledger = new_folder(spark)
+    kinds = lambda rules: [(s["kind"], s["end"] - s["start"]) for s in find_secrets(docs, ledger, rules).first()["spans"]]
+    assert kinds(BASE) == [("assign", 22), ("hex", 17), ("hex", 41)]
+    longer = Rule("hex", rb"[0-9a-f]+ ?", least=40, version=2)
+    assert kinds((*BASE[:2], longer)) == [("assign", 22), ("hex", 41)]
+    assert kinds((longer,)) == [("hex", 41)]
+    assert kinds(BASE[:1]) == [("assign", 22)]
+    assert kinds(BASE) == [("assign", 22), ("hex", 17), ("hex", 41)]
+    # The order of equal starts is that of the rules asked for.
+    assert kinds((BASE[2], BASE[0])) == [("assign", 22), ("hex", 17), ("hex", 41)]
+
+
+def test_paths_of_one_blob_all_get_its_findings(spark):
+    text = "password: abcdefghijklmnop"
+    rows = [(at, text) for at in range(300)] + [(None, text)] * 3
+    found = find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(found) == 303 and all([s["kind"] for s in r["spans"]] == ["assign"] for r in found)
 
 
 def test_only_unseen_pairs_are_scanned(spark):
@@ -86,7 +108,7 @@ def test_odd_rows_and_redaction(spark, odd, nothing):
 
 def test_added_rules_name_only_their_formats():
     key = "-----BEGIN RSA PRIVATE KEY-----\nabc\n-----END RSA PRIVATE KEY-----"
-    assert [k for _, _, k in spans_of(key.encode(), ADDED)] == ["pem"]
+    assert [name.split("@")[0] for _, _, name in spans_of(key.encode(), ADDED)] == ["pem"]
     assert spans_of(b"eyJust a word. the private key", ADDED) == []
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
 
