@@ -1,10 +1,20 @@
 """Best catalogue names per input name by TF-IDF cosine of character n-grams.
 
 The catalogue decides vocabulary and weights; n-grams it lacks are ignored. All
-work is on distinct names, so copies of a name never meet each other. Names meet
-in cells of bounded size, keyed by the n-grams that a good match cannot do without,
-and each cell returns only its best matches. The result is that of comparing all
-names with each other.
+work is on distinct names, so copies of a name never meet each other. The result is
+that of comparing all names with each other, but few pairs are compared:
+
+- n-grams are ordered from the rarest to the most frequent. Let g be the rarest one
+  that two names share. Nothing ahead of it counts, so the score is at most the product
+  of the lengths of both vectors from g on. A name is therefore placed only under the
+  n-grams up to which its own remaining length can still make a match, and the catalogue
+  side is placed in bands of that length, of which a query visits those that its own
+  remaining length leaves possible. Within a band the product is checked pair by pair.
+- A first pass looks for good matches only. The N-th best score it finds for a query is
+  the least that a match of that query must reach in the second pass.
+
+Names meet in cells of bounded size, keyed by n-gram and band, and each cell returns only
+its best matches.
 """
 
 from __future__ import annotations
@@ -15,7 +25,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import cloudpickle
+from pyspark import Accumulator, cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skuweave.functions.text import ngrams, without_noise
@@ -28,6 +38,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SLACK = 1e-9
 SCORE_DECIMALS = 9
 
+# Bands of remaining length in a unit vector.
+BANDS = 16
+
 MATCH_SCHEMA = "q long, c long, score double"
 
 
@@ -88,14 +101,12 @@ def vector_norms(catalog: DataFrame, column: str, n: int = 3) -> DataFrame:
 
 
 def _vectors(counts: DataFrame, vocabulary: DataFrame, least: float) -> DataFrame:
-    """``(id, grams, weights, required)``: one row per name with its unit vector.
+    """``(id, grams, weights, rests)``: one row per name with its unit vector.
 
     ``grams`` and ``weights`` run from the rarest n-gram of the catalogue to the
-    most frequent, the same order for all names. A row holds the n-grams of one
-    name, no more. A match shares one of the first ``required``: let g be the rarest
-    n-gram two names share. Nothing ahead of it counts, so by Cauchy-Schwarz the
-    score is at most the length of either vector from g on, and above ``least``
-    only while what lies ahead of g is short enough.
+    most frequent, the same order for all names. ``rests`` holds the length of what is
+    left of the vector from each n-gram on, as far as it reaches ``least``. A row holds
+    the n-grams of one name, no more.
     """
     terms = (
         counts.join(vocabulary, "gram")
@@ -106,124 +117,160 @@ def _vectors(counts: DataFrame, vocabulary: DataFrame, least: float) -> DataFram
             F.sum(F.col("t.w") * F.col("t.w")).alias("norm2"),
         )
     )
-    start = F.struct(F.lit(0.0).alias("ahead"), F.lit(0).alias("n"))
+    start = F.struct(F.lit(0.0).alias("ahead"), F.array().cast("array<double>").alias("rests"))
     enough = F.lit(1.0 - least * least + SLACK) * F.col("norm2")
-    required = F.aggregate(
+    rest = lambda ahead: F.sqrt(F.greatest(F.lit(0.0), F.lit(1.0) - ahead / F.col("norm2")))
+    rests = F.aggregate(
         "terms",
         start,
         lambda done, t: F.struct(
             (done["ahead"] + t["w"] * t["w"]).alias("ahead"),
-            (done["n"] + F.when(done["ahead"] <= enough, 1).otherwise(0)).alias("n"),
+            F.when(done["ahead"] <= enough, F.array_append(done["rests"], rest(done["ahead"])))
+            .otherwise(done["rests"]).alias("rests"),
         ),
-        lambda done: done["n"],
+        lambda done: done["rests"],
     )
     return cut_lineage(
         terms.select(
             "id",
             F.col("terms.gram_id").alias("grams"),
             F.transform("terms", lambda t: t["w"] / F.sqrt("norm2")).alias("weights"),
-            required.alias("required"),
+            rests.alias("rests"),
         )
     )
 
 
+def _band(rest: Column) -> Column:
+    """Which band of remaining length; 0 is that of the whole vector."""
+    return F.floor((F.lit(1.0) - rest) * BANDS).cast("int")
+
+
+def _key(gram: Column, band: Column) -> Column:
+    """One number per n-gram and band; where two coincide, more pairs are compared."""
+    return F.xxhash64(gram, band)
+
+
 def _cells(
-    queries: DataFrame, catalog: DataFrame, cell_rows: int
+    queries: DataFrame, catalog: DataFrame, least: float, cell_rows: int
 ) -> tuple[DataFrame, DataFrame]:
-    """The vectors of both sides in the cells of the n-grams they require."""
+    """Both sides in the cells of the n-grams and bands in which a match can begin.
 
-    def required(side: DataFrame) -> DataFrame:
-        return side.select("id", F.explode(F.slice("grams", 1, F.col("required"))).alias("gram_id"))
+    ``queries`` has a column ``theta``, what a match of the query must reach, which is
+    at least ``least``. A row gains ``keys``: what places it in the cell.
+    """
+    each = F.posexplode("rests").alias("at", "rest")
+    own = catalog.select("id", "grams", each).where(F.col("rest") >= least - SLACK)
+    placed_catalog = own.select("id", _key(F.element_at("grams", F.col("at") + 1), _band(F.col("rest"))).alias("key"), "rest")
+    asked = queries.select("id", "theta", "grams", each).where(F.col("rest") >= F.col("theta") - SLACK)
+    last = _band(F.col("theta") / F.col("rest") - F.lit(SLACK))
+    asked = asked.select("id", "rest", F.element_at("grams", F.col("at") + 1).alias("gram"), F.explode(F.sequence(F.lit(0), last)).alias("band"))
+    placed_queries = asked.select("id", _key(F.col("gram"), F.col("band")).alias("key"), "rest")
+    written = together(lambda: cut_lineage(placed_queries), lambda: cut_lineage(placed_catalog))
+    placed = meet(*written, "key", None, cell_rows)
 
-    def total(side: DataFrame) -> int:
-        return side.agg(F.coalesce(F.sum("required"), F.lit(0))).first()[0]
+    def gathered(keys: DataFrame, side: DataFrame) -> DataFrame:
+        together_ = keys.groupBy("id", *PLACE).agg(F.collect_list(F.struct("key", "rest")).alias("keys"))
+        return together_.join(side.drop("rests"), "id")
 
-    placed = meet(
-        required(queries), required(catalog), "gram_id",
-        (total(queries), total(catalog)), cell_rows,
-    )
-    return tuple(
-        keys.drop("gram_id").distinct().join(side.select("id", "grams", "weights"), "id")
-        for keys, side in zip(placed, (queries, catalog))
-    )
+    return gathered(placed[0], queries), gathered(placed[1], catalog)
 
 
 def best_in_cell(
-    top: int, least: float, block_pairs: int = 1 << 20, dense_terms: int = 128
+    top: int, least: float, compared: Accumulator | None = None, block_pairs: int = 1 << 18
 ) -> Callable:
-    """The kernel of a cell: exact scores of its names, the ``top`` best per query.
+    """The kernel of a cell: exact scores of the pairs that can match, the ``top`` best per query.
 
-    The n-grams most names of the cell have are multiplied as dense matrices, the
-    others are accumulated where both names have them. Scores are held for
-    ``block_pairs`` pairs at a time.
+    A pair is compared where both names have the same key and the product of their
+    remaining lengths reaches what the query asks for. Scores are held for about
+    ``block_pairs`` pairs at a time. ``compared`` counts the pairs.
     """
 
-    def flat(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Ids in order, and one entry per n-gram: row, n-gram and weight."""
-        table = table.sort_by("id")
-        grams, weights = (table[c].combine_chunks() for c in ("grams", "weights"))
-        rows = np.repeat(np.arange(len(grams)), pc.list_value_length(grams).to_numpy())
-        return (
-            table["id"].to_numpy(), rows,
-            grams.flatten().to_numpy(), weights.flatten().to_numpy(),
-        )
+    def lists(table: pa.Table, name: str) -> tuple[np.ndarray, pa.Array]:
+        column = table[name].combine_chunks()
+        return pc.list_value_length(column).to_numpy(), column.flatten()
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        found: dict[str, list] = {"q": [], "c": [], "score": []}
+        found = [np.zeros((0, 3))]
         if len(left) and len(right):
-            q_ids, q_row, q_gram, q_w = flat(left)
-            c_ids, c_row, c_gram, c_w = flat(right)
-            terms, c_term = np.unique(c_gram, return_inverse=True)
+            left, right = left.sort_by("id"), right.sort_by("id")
+            q_ids, c_ids = left["id"].to_numpy(), right["id"].to_numpy()
+            theta = left["theta"].to_numpy()
+            q_size, q_gram = lists(left, "grams")
+            c_size, c_gram = lists(right, "grams")
+            q_w, c_w = (lists(side, "weights")[1].to_numpy() for side in (left, right))
+            terms, c_term = np.unique(c_gram.to_numpy(), return_inverse=True)
+            q_gram = q_gram.to_numpy()
             q_term = np.minimum(np.searchsorted(terms, q_gram), len(terms) - 1)
-            known = terms[q_term] == q_gram
-            q_row, q_term, q_w = q_row[known], q_term[known], q_w[known]
-            frequent = np.argsort(-np.bincount(c_term), kind="stable")[:dense_terms]
-            column = np.full(len(terms), -1)
-            column[frequent] = np.arange(len(frequent))
-
-            c_dense = np.zeros((len(c_ids), len(frequent)))
-            own = column[c_term] >= 0
-            c_dense[c_row[own], column[c_term[own]]] = c_w[own]
-            order = np.argsort(c_term[~own], kind="stable")
-            s_term, s_row, s_w = c_term[~own][order], c_row[~own][order], c_w[~own][order]
-            first = np.searchsorted(s_term, np.arange(len(terms)), "left")
-            width = np.searchsorted(s_term, np.arange(len(terms)), "right") - first
-
-            block = max(1, block_pairs // len(c_ids))
-            for start in range(0, len(q_ids), block):
-                stop = min(start + block, len(q_ids))
-                here = slice(*np.searchsorted(q_row, [start, stop]))
-                row, term, weight = q_row[here] - start, q_term[here], q_w[here]
-                q_dense = np.zeros((stop - start, len(frequent)))
-                own = column[term] >= 0
-                q_dense[row[own], column[term[own]]] = weight[own]
-                scores = q_dense @ c_dense.T
-                row, term, weight = row[~own], term[~own], weight[~own]
-                times = width[term]
-                offsets = np.repeat(first[term] - (np.cumsum(times) - times), times)
-                at = offsets + np.arange(times.sum())
-                flat_cell = np.repeat(row, times) * len(c_ids) + s_row[at]
-                scores += np.bincount(
-                    flat_cell, np.repeat(weight, times) * s_w[at], scores.size
-                ).reshape(scores.shape)
-                scores = np.round(scores, SCORE_DECIMALS)
-                if top == 1:
-                    best = scores.argmax(axis=1)[:, None]
-                else:
-                    best = np.argsort(-scores, axis=1, kind="stable")[:, :top]
-                score = np.take_along_axis(scores, best, axis=1)
-                keep_row, keep_n = np.nonzero(score > least)
-                found["q"].append(q_ids[start:stop][keep_row])
-                found["c"].append(c_ids[best[keep_row, keep_n]])
-                found["score"].append(score[keep_row, keep_n])
-        types = {"q": "int64", "c": "int64", "score": "float64"}
+            q_w = np.where(terms[q_term] == q_gram, q_w, 0.0)
+            q_stop, c_stop = np.cumsum(q_size), np.cumsum(c_size)
+
+            # The catalogue's entries by key, then by remaining length from long to short:
+            # what a query's entry can reach is one stretch of them.
+            n, keys = lists(right, "keys")
+            c_of, names = np.repeat(np.arange(len(right)), n), keys.field("key").to_numpy()
+            known, number = np.unique(names, return_inverse=True)
+            place = 2.0 * number + (1.0 - keys.field("rest").to_numpy())
+            order = np.argsort(place, kind="stable")
+            place, c_of = place[order], c_of[order]
+            n, keys = lists(left, "keys")
+            q_of, names = np.repeat(np.arange(len(left)), n), keys.field("key").to_numpy()
+            number = np.minimum(np.searchsorted(known, names), len(known) - 1)
+            mine = known[number] == names
+            q_of, number, rest = q_of[mine], number[mine], keys.field("rest").to_numpy()[mine]
+            first = np.searchsorted(place, 2.0 * number, "left")
+            # 1 + SLACK lies between the keys' stretches, which are two apart.
+            far = np.minimum(1.0 + SLACK, 1.0 - theta[q_of] / rest + SLACK)
+            width = np.maximum(np.searchsorted(place, 2.0 * number + far, "right") - first, 0)
+
+            most = max(1, 8 * block_pairs // len(terms))
+            reached = np.cumsum(width)
+            start = 0
+            while start < len(q_of):
+                before = reached[start - 1] if start else 0
+                stop = max(start + 1, int(np.searchsorted(reached, before + block_pairs, "right")))
+                # Entries of the same queries stand together, so few queries are in a block.
+                stop = min(stop, max(start + 1, int(np.searchsorted(q_of, q_of[start] + most, "left"))))
+                times = width[start:stop]
+                c_at = np.repeat(first[start:stop] - (np.cumsum(times) - times), times) + np.arange(times.sum())
+                pairs = np.unique(np.repeat(q_of[start:stop], times) * len(c_ids) + c_of[c_at])
+                start = stop
+                if not len(pairs):
+                    continue
+                if compared is not None:
+                    compared.add(len(pairs))
+                q, c = pairs // len(c_ids), pairs % len(c_ids)
+                low, high = q[0], q[-1] + 1
+                dense = np.zeros((high - low, len(terms)))
+                own = slice(q_stop[low] - q_size[low], q_stop[high - 1])
+                np.add.at(dense, (np.repeat(np.arange(high - low), q_size[low:high]), q_term[own]), q_w[own])
+                size = c_size[c]
+                at = np.repeat(c_stop[c] - np.cumsum(size), size) + np.arange(size.sum())
+                products = dense[np.repeat(q - low, size), c_term[at]] * c_w[at]
+                score = np.round(np.add.reduceat(products, np.cumsum(size) - size), SCORE_DECIMALS)
+                keep = score > least
+                q, c, score = q[keep], c[keep], score[keep]
+                order = np.lexsort((c, -score, q))
+                q, c, score = q[order], c[order], score[order]
+                ahead = np.arange(len(q)) - np.searchsorted(q, q, "left")
+                found.append(np.stack([q, c, score], 1)[ahead < top])
+        best = np.concatenate(found)
         return pa.table(
-            {c: np.concatenate([np.empty(0, t), *found[c]]).astype(t) for c, t in types.items()}
+            {
+                "q": q_ids[best[:, 0].astype(np.int64)] if len(best) else np.zeros(0, np.int64),
+                "c": c_ids[best[:, 1].astype(np.int64)] if len(best) else np.zeros(0, np.int64),
+                "score": best[:, 2],
+            }
         )
 
     return run
 
 
+def _best(matches: DataFrame, top: int) -> DataFrame:
+    """``(q, c, score, n)``: the ``top`` best of each query; equal scores by catalogue name."""
+    order = Window.partitionBy("q").orderBy(F.desc("score"), "c")
+    return matches.distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= top)
+
+
 def tfidf_match(
     catalog: DataFrame,
     inputs: DataFrame,
@@ -234,11 +281,14 @@ def tfidf_match(
     lower_bound: float = 0.0,
     min_score: float = 0.5,
     cell_rows: int = CELL_ROWS,
+    good: float = 0.8,
+    compared: Accumulator | None = None,
 ) -> DataFrame:
     """``(name_input, name_all_skus, similarity)``: the ``top`` matches of each distinct name.
 
     Matches score above ``lower_bound`` and ``min_score``; equal scores go to the
-    catalogue name that sorts first.
+    catalogue name that sorts first. ``good`` is what the first pass looks for; it
+    changes the work and not the result. ``compared`` counts the pairs that were scored.
     """
     least = max(lower_bound, min_score)
     names, query_names = together(
@@ -252,18 +302,29 @@ def tfidf_match(
     catalog_rows, query_rows = together(
         lambda: _vectors(counts, vocabulary, least), lambda: _vectors(query_counts, vocabulary, least)
     )
-    queries, known = _cells(query_rows, catalog_rows, cell_rows)
-    matches = (
-        queries.groupBy(*PLACE)
-        .cogroup(known.groupBy(*PLACE))
-        .applyInArrow(best_in_cell(top, least), MATCH_SCHEMA)
-        .distinct()
-    )
-    best = Window.partitionBy("q").orderBy(F.desc("score"), "c")
+
+    def matched(queries: DataFrame, lowest: float) -> DataFrame:
+        asked, known = _cells(queries, catalog_rows, lowest, cell_rows)
+        pairs = (
+            asked.groupBy(*PLACE)
+            .cogroup(known.groupBy(*PLACE))
+            .applyInArrow(best_in_cell(top, least, compared), MATCH_SCHEMA)
+        )
+        return cut_lineage(_best(pairs, top))
+
+    if least >= good:
+        best = matched(query_rows.withColumn("theta", F.lit(least)), least)
+    else:
+        first = matched(query_rows.withColumn("theta", F.lit(good)), good)
+        # Whoever has N matches as good as that has the best; the others ask for what
+        # they have found so far.
+        reached = first.where(F.col("n") == top).select(F.col("q").alias("id"), F.col("score").alias("_reached"))
+        others = query_rows.join(reached, "id", "left").where(F.col("_reached").isNull() | (F.col("_reached") < good))
+        theta = F.greatest(F.lit(least), F.coalesce(F.col("_reached"), F.lit(0.0)) - F.lit(10.0**-SCORE_DECIMALS))
+        second = matched(others.withColumn("theta", theta).drop("_reached"), least)
+        best = _best(first.drop("n").unionByName(second.drop("n")), top)
     return (
-        matches.withColumn("_n", F.row_number().over(best))
-        .where(F.col("_n") <= top)
-        .join(query_names.select(F.col("id").alias("q"), F.col("name").alias("name_input")), "q")
+        best.join(query_names.select(F.col("id").alias("q"), F.col("name").alias("name_input")), "q")
         .join(names.select(F.col("id").alias("c"), F.col("name").alias("name_all_skus")), "c")
         .select("name_input", "name_all_skus", F.col("score").alias("similarity"))
     )

@@ -66,6 +66,26 @@ def test_equals_brute_force(spark, cell_rows, top, least):
     assert result(found) == brute_force(catalog, inputs, top, least)
 
 
+@pytest.mark.parametrize("top, least, good", [(2, 0.3, 0.95), (1, 0.5, 0.5), (4, 0.05, 0.6)])
+def test_passes_change_the_work_only(spark, top, least, good):
+    catalog, inputs = names(3, 90), names(4, 110)
+    c, i = frames(spark, catalog, inputs)
+    assert result(tfidf_match(c, i, top=top, min_score=least, good=good)) == brute_force(catalog, inputs, top, least)
+
+
+def test_few_pairs_are_compared(spark):
+    """Copies with a typing error among names of many words: about the matches themselves."""
+    rng = random.Random(7)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(400)]
+    catalog = [" ".join(rng.choice(words) for _ in range(4)) for _ in range(600)]
+    inputs = [name[:9] + "#" + name[10:] for name in catalog]
+    c, i = frames(spark, catalog, inputs)
+    compared = spark.sparkContext.accumulator(0)
+    found = result(tfidf_match(c, i, compared=compared))
+    assert len(found) == len(set(inputs)) and sum(a[:9] == b[:9] for a, b, _ in found) > 0.99 * len(found)
+    assert compared.value < 0.02 * len(catalog) * len(inputs)
+
+
 def test_one_hot_name_and_hot_ngrams(spark):
     """A third of both sides is one name, and all names share their n-grams."""
     catalog = ["cola light 6x0,5"] * 60 + [f"cola light {i}x0,5" for i in range(60)]
