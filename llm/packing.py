@@ -80,25 +80,47 @@ class Encoder:
         if len(self.young) > _CACHED:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
-        plain, other = {}, []
-        for word in set(words).difference(young):
+        plain, ask, other = {}, {}, []
+        for word in {word for word in words if word not in young}:
             if word in old:
                 young[word] = old[word]
                 continue
-            # Letters are one piece in lower case; one mark behind them is another.
+            # Letters are one piece, and one mark behind them is another.
             stem, mark = (word[:-1], word[-1:]) if word[-1:] in b".,;:!?" else (word, b"")
-            if stem.isalpha():
-                plain[word] = (stem.lower(), mark)
+            letters = stem.decode("utf-8", "replace")
+            if letters.isalpha():
+                plain[word] = (stem, mark)
+                if stem not in young and stem not in old:
+                    ask[stem] = letters
             else:
                 other.append(word)
-        parts = {part for pair in plain.values() for part in pair if part}
-        ask = [part for part in parts if part not in young and part not in old]
-        found = self.library.encode_batch([w.decode("utf-8", "replace") for w in (*ask, *other)], add_special_tokens=False)
-        for word, encoding in zip((*ask, *other), found):
-            young[word] = np.array(encoding.ids, self.kind).tobytes()
+        marks = [mark for mark in {mark for _, mark in plain.values()} if mark and mark not in young and mark not in old]
+        for word, ids in zip(ask, self.pieces(list(ask.values()))):
+            young[word] = ids
+        for word in (*marks, *other):
+            young[word] = self.alone(word.decode("utf-8", "replace"))
         for word, pair in plain.items():
             young[word] = b"".join(young[part] if part in young else old[part] for part in pair if part)
 
+    def alone(self, word: str) -> bytes:
+        return np.array(self.library.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def pieces(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters, many in one text: each ends where a piece ends a word."""
+        found: list[bytes] = []
+        for at in range(0, len(words), 1_000):
+            some = words[at : at + 1_000]
+            ids = np.array(self.library.encode(" ".join(some), add_special_tokens=False).ids, np.int64)
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) != len(some):
+                # Lower case makes marks of a few letters, which are pieces of their own.
+                found += [self.alone(word) for word in some]
+                continue
+            data, size = ids.astype(self.kind).tobytes(), self.kind.itemsize
+            starts = [0, *(stops[:-1] * size).tolist()]
+            found += [data[start:stop] for start, stop in zip(starts, (stops * size).tolist())]
+        return found
+
 
 @lru_cache(maxsize=1)
 def _encoder(vocabulary: str) -> Encoder:
