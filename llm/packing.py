@@ -2,7 +2,7 @@
 
 Documents become token ids once. What fills whole windows of its own leaves a document at
 once; its rest, always shorter than a window, is packed with the rests of others. Rests
-are dealt to shards by a word that they share, so that a shard holds documents of one
+are dealt to shards by a rare token that they share, so that a shard holds documents of one
 subject, and a shard is bounded in documents and therefore in tokens. In a shard an
 inverted index with BM25 weights answers each seed document with the unused documents that
 are lexically nearest, and these fill the seed's window in order. A document that reaches
@@ -10,10 +10,8 @@ over the end of a window is cut there, and what is left of it is the next seed.
 behind the last full window of a shard are cut into lengths that are powers of two, which
 need no padding.
 
-The weights of words come from all documents: every word's document count is summed, and
-the words that at least one in ``1 / COMMON`` documents has, a number that the mean length
-of a document bounds, are sent to the shards. Rarer words weigh as much as a word at that
-limit.
+The terms of the index are the tokens; their weights come from all documents. There are as
+many as the vocabulary has, so their counts are small whatever the corpus.
 """
 
 from __future__ import annotations
@@ -31,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from tokenizers import Tokenizer
 
-from llm.common import as_bytes, mix, slices, table, with_small
+from llm.common import as_bytes, freed, mix, slices, table, with_small
 from skuweave.session import cut_lineage, new_folder
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -40,13 +38,9 @@ END = 2
 WINDOW = 4096
 #: Documents of a shard: what hashing aims at, and where a shard is split.
 SHARD, MOST = 2_000, 3_000
-#: Share of the documents that hold a word whose count is sent to the shards.
-COMMON = 1 / 1000
-#: Words sent to the shards at most; beyond, the share is raised.
-LISTED = 500_000
-#: Constants of BM25: saturation of a word's count, and the weight of a text's length.
+#: Constants of BM25: saturation of a token's count, and the weight of a text's length.
 K1, B = 1.2, 0.75
-_CACHED = 250_000
+_CACHED = 400_000
 _LOCAL = 12  # bits of a sequence's number within its shard
 
 
@@ -89,7 +83,8 @@ class Encoder:
             stem, mark = (word[:-1], word[-1:]) if word[-1:] in b".,;:!?" else (word, b"")
             letters = stem.decode("utf-8", "replace")
             if letters.isalpha():
-                plain[word] = (stem, mark)
+                if mark:
+                    plain[word] = (stem, mark)
                 if stem not in young and stem not in old:
                     ask[stem] = letters
             else:
@@ -176,123 +171,76 @@ def encoded(df: DataFrame, vocabulary: Broadcast, id_col: str, text_col: str, wi
 
     schema = f"row long, part int, id {kind.simpleString()}, tokens long, first_head long, heads array<long>, rest binary"
     path = new_folder(df.sparkSession)
-    rows = df.select(F.col(id_col).alias("id"), as_bytes(text_col).alias("text")).mapInArrow(run, schema)
+    rows = df.select(F.col(id_col).alias("id"), as_bytes(text_col).alias("text")).mapInArrow(freed(run), schema)
     rows.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def word_hashes(ids: np.ndarray, lengths: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(document, hash) of every word of texts in a row, given as ids; a word is a run of
-    ids up to one that ends a word, or up to the end of its text."""
-    if not len(ids):
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    last = ends[ids]
-    stops = np.cumsum(lengths)
-    last[stops[lengths > 0] - 1] = True
-    starts = np.flatnonzero(np.concatenate([[True], last[:-1]]))
-    place = np.arange(len(ids)) - np.repeat(starts, np.diff(starts, append=len(ids)))
-    mixed = mix(ids.astype(np.uint64) + (place.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
-    return np.searchsorted(stops, starts, "right"), mix(np.add.reduceat(mixed, starts))
-
-
 def _split(column: pa.Array, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
     """All ids of binary rests without their end ids, and each one's number of ids."""
     rests = [np.frombuffer(rest, kind)[:-1] for rest in column.to_pylist()]
     return np.concatenate([*rests, np.zeros(0, kind)]), np.array([len(rest) for rest in rests], np.int64)
 
 
-def distinct_words(ids: np.ndarray, lengths: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(terms, document, term, count): the distinct words, and an entry for each word of
-    each document, in order."""
-    document, hashes = word_hashes(ids, lengths, ends)
-    terms, term = np.unique(hashes, return_inverse=True)
-    pairs, count = np.unique(document * max(len(terms), 1) + term, return_counts=True)
-    return terms, pairs // max(len(terms), 1), pairs % max(len(terms), 1), count
+def distinct_tokens(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, token, count): an entry for each token of each document, in order."""
+    shift = np.uint64(32)
+    keys = np.sort(np.repeat(np.arange(len(lengths), dtype=np.uint64), lengths) << shift | ids)
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    found = keys[first]
+    token = (found & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    return (found >> shift).astype(np.int64), token, np.diff(first, append=len(keys))
 
 
 def document_counts(rests: DataFrame, vocabulary: Broadcast) -> DataFrame:
-    """(term, n): in how many rests each word is; a task sums up before it sends."""
+    """(token, n): in how many rests each token is; a task sums up before it sends."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(vocabulary.value)
-        held = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
-
-        def emit() -> Iterator[pa.RecordBatch]:
-            terms, n = _added(held)
-            for at in range(0, len(terms), 100_000):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(terms[at : at + 100_000].view(np.int64)), pa.array(n[at : at + 100_000])], names=["term", "n"]
-                )
-
+        total = np.zeros(len(encoder.ends), np.int64)
         for batch in batches:
-            for terms, n in slices(batch, lambda part: _counted(part, encoder)):
-                held.append((terms, n))
-                if sum(len(t) for t, _ in held) > 1_500_000:
-                    held = [_added(held)]
-                    if len(held[0][0]) > 1_000_000:
-                        yield from emit()
-                        held = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
-        yield from emit()
-
-    return rests.select("rest").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+            for part in slices(batch, lambda part: part):
+                _, token, _ = distinct_tokens(*_split(part.column(0), encoder.kind))
+                total += np.bincount(token, minlength=len(total))
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], names=["token", "n"])
 
-
-def _counted(batch: pa.RecordBatch, encoder: Encoder) -> tuple[np.ndarray, np.ndarray]:
-    terms, _, term, _ = distinct_words(*_split(batch.column(0), encoder.kind), encoder.ends)
-    return terms, np.bincount(term, minlength=len(terms))
-
-
-def _added(counts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    terms, at = np.unique(np.concatenate([t for t, _ in counts]), return_inverse=True)
-    return terms, np.bincount(at, np.concatenate([n for _, n in counts]), len(terms)).astype(np.int64)
+    return rests.select("rest").mapInArrow(freed(run), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
 class Weights:
-    """Inverse document frequencies of the listed words, and of all others."""
-
-    def __init__(self, terms: np.ndarray, counts: np.ndarray, documents: int, least: int, mean_ids: float):
-        order = np.argsort(terms)
-        self.terms, counts = terms[order], counts[order]
-        idf = lambda n: np.log1p((documents - n + 0.5) / (n + 0.5))
-        self.listed = idf(np.minimum(counts, documents)).astype(np.float32)
-        self.other = np.float32(idf(min(least, documents)))
-        self.mean_ids = max(mean_ids, 1.0)
+    """Inverse document frequencies of the vocabulary's tokens; 0 for a token that half of
+    the documents have."""
 
-    def of(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The weights of words, and which of them are listed."""
-        if not len(self.terms):
-            return np.full(len(terms), self.other), np.zeros(len(terms), bool)
-        at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
-        known = self.terms[at] == terms
-        return np.where(known, self.listed[at], self.other), known
-
-
-def corpus_weights(
-    rests: DataFrame, vocabulary: Broadcast, documents: int, ids: float, common: float = COMMON, listed: int = LISTED
-) -> Weights:
-    """Statistics of all rests; at most ``listed`` words come to the driver."""
-    counts = cut_lineage(document_counts(rests, vocabulary))
-    least = max(2, int(documents * common))
-    while counts.filter(F.col("n") >= least).count() > listed:
-        least *= 2
-    top = counts.filter(F.col("n") >= least).toArrow()
-    terms = top.column("term").to_numpy().astype(np.int64).view(np.uint64)
-    return Weights(terms, top.column("n").to_numpy(), documents, least, ids / max(documents, 1))
-
-
-def routes(terms: np.ndarray, document: np.ndarray, term: np.ndarray, documents: int, weights: Weights) -> np.ndarray:
-    """A listed word of each document, drawn alike in all documents and the rarer the
-    likelier, so that documents that share rare words draw the same; 0 without one."""
-    idf, known = weights.of(terms)
-    draw = ((mix(terms) >> np.uint64(11)).astype(np.float64) + 1) / 2.0**53
-    late = -np.log(draw) / np.maximum(idf.astype(np.float64), 1e-3) ** 4
-    own = known[term]
-    document, term = document[own], term[own]
-    order = np.lexsort((late[term], document))
-    document, term = document[order], term[order]
-    first = np.concatenate([[True], document[1:] != document[:-1]]) if len(document) else np.zeros(0, bool)
-    found = np.zeros(documents, np.uint64)
-    found[document[first]] = terms[term[first]]
+    def __init__(self, counts: np.ndarray, documents: int, mean_ids: float):
+        self.idf = np.maximum(0, np.log((documents - counts + 0.5) / (counts + 0.5))).astype(np.float32)
+        self.mean_ids = max(mean_ids, 1.0)
+        # A token's place in the draw of routes: the rarer it is, the likelier it comes first.
+        draw = ((mix(np.arange(len(counts), dtype=np.uint64)) >> np.uint64(11)).astype(np.float64) + 1) / 2.0**53
+        self.late = np.where(self.idf > 0, -np.log(draw) / np.maximum(self.idf, 1e-3) ** 4, np.inf)
+
+
+def corpus_weights(rests: DataFrame, vocabulary: Broadcast, documents: int, ids: float) -> Weights:
+    """Statistics of all rests; a number for each token of the vocabulary comes to the driver."""
+    found = document_counts(rests, vocabulary).toArrow()
+    counts = np.zeros(len(_encoder(vocabulary.value).ends), np.int64)
+    counts[found.column("token").to_numpy()] = found.column("n").to_numpy()
+    return Weights(counts, documents, ids / max(documents, 1))
+
+
+def routes(ids: np.ndarray, lengths: np.ndarray, weights: Weights) -> np.ndarray:
+    """A token of each document, drawn alike in all documents and the rarer the likelier,
+    so that documents that share rare tokens draw the same; -1 without one."""
+    late = weights.late[ids]
+    full = lengths > 0
+    starts = (np.cumsum(lengths) - lengths)[full]
+    found = np.full(len(lengths), -1, np.int64)
+    if len(starts):
+        least = np.minimum.reduceat(late, starts)
+        first = np.flatnonzero(late == np.repeat(least, lengths[full]))
+        owner = np.searchsorted(starts, first, "right") - 1
+        chosen = first[np.concatenate([[True], owner[1:] != owner[:-1]])]
+        found[full] = np.where(np.isfinite(least), ids[chosen].astype(np.int64), -1)
     return found
 
 
@@ -304,37 +252,37 @@ def with_buckets(rests: DataFrame, vocabulary: Broadcast, weights: Broadcast, bu
 
         def place(batch: pa.RecordBatch) -> pa.RecordBatch:
             ids, lengths = _split(batch.column(batch.schema.get_field_index("rest")), encoder.kind)
-            terms, document, term, _ = distinct_words(ids, lengths, encoder.ends)
-            route = routes(terms, document, term, len(lengths), weights.value)
-            row = batch.column(batch.schema.get_field_index("row")).to_numpy().astype(np.uint64)
-            bucket = mix(np.where(route == 0, row, route) + np.uint64(1)) % np.uint64(buckets)
+            route = routes(ids, lengths, weights.value)
+            row = batch.column(batch.schema.get_field_index("row")).to_numpy()
+            bucket = mix(np.where(route < 0, row, -1 - route).view(np.uint64)) % np.uint64(buckets)
             return batch.append_column("bucket", pa.array(bucket.astype(np.int64)))
 
         for batch in batches:
             yield from slices(batch, place)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rests.schema.fields)
-    return rests.mapInArrow(run, f"{fields}, bucket long")
+    return rests.mapInArrow(freed(run), f"{fields}, bucket long")
 
 
 class Index:
     """An inverted index over the rests of a shard, with BM25 weights.
 
-    Words of one document only are left out, since they cannot name a neighbour. The index
-    forgets used documents whenever half of what it holds is used.
+    Tokens of one document only are left out, since they cannot name a neighbour, and so
+    are those without weight. The index forgets used documents whenever half of what it
+    holds is used.
     """
 
-    def __init__(self, ids: np.ndarray, lengths: np.ndarray, ends: np.ndarray, weights: Weights):
-        terms, document, term, count = distinct_words(ids, lengths, ends)
-        idf, _ = weights.of(terms)
-        shared = np.bincount(term, minlength=len(terms))[term] > 1
-        document, term, count = document[shared], term[shared], count[shared]
+    def __init__(self, ids: np.ndarray, lengths: np.ndarray, weights: Weights):
+        document, token, count = distinct_tokens(ids, lengths)
+        shared = (np.bincount(token, minlength=len(weights.idf))[token] > 1) & (weights.idf[token] > 0)
+        document, count = document[shared], count[shared]
+        known, term = np.unique(token[shared], return_inverse=True)
         self.size = len(lengths)
-        self.terms = len(terms)
+        self.terms = len(known)
         self.query_terms = term
         self.query_stops = np.searchsorted(document, np.arange(self.size + 1))
         room = K1 * (1 - B + B * lengths / weights.mean_ids)
-        weight = (idf[term] * count * (K1 + 1) / (count + room[document])).astype(np.float32)
+        weight = (weights.idf[known][term] * count * (K1 + 1) / (count + room[document])).astype(np.float32)
         order = np.argsort(term, kind="stable")
         self.documents, self.weights, self.of = document[order], weight[order], term[order]
         self.unused = np.ones(self.size, bool)
@@ -354,7 +302,7 @@ class Index:
             self._cut()
 
     def neighbours(self, seed: int) -> np.ndarray:
-        """All unused documents that share a word with the seed, the nearest first."""
+        """All unused documents that share a token with the seed, the nearest first."""
         asked = self.query_terms[self.query_stops[seed] : self.query_stops[seed + 1]]
         first, sizes = self.stops[asked], self.stops[asked + 1] - self.stops[asked]
         at = np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
@@ -481,9 +429,11 @@ def pack(
         raise ValueError("more than 2**26 shards: raise shard")
     shared = spark.sparkContext.broadcast(weights)
     placed = with_buckets(rests, words, shared, buckets)
+    path = new_folder(spark)
+    placed.write.option("compression", "zstd").parquet(path)
+    placed = spark.read.schema(placed.schema).parquet(path)
     full = cut_lineage(
-        with_buckets(rests.select("row", "rest"), words, shared, buckets)
-        .groupBy("bucket")
+        placed.groupBy("bucket")
         .agg(F.count(F.lit(1)).alias("rows"))
         .filter(F.col("rows") > most)
         .select("bucket", F.ceil(F.col("rows") / shard).alias("salts"))
@@ -501,7 +451,7 @@ def pack(
         bucket, salt = group.column("bucket")[0].as_py(), group.column("salt")[0].as_py()
         rests = [np.frombuffer(rest, encoder.kind) for rest in group.column("rest").to_pylist()]
         lengths = np.array([len(rest) for rest in rests], np.int64)
-        index = Index(np.concatenate([rest[:-1] for rest in rests]), lengths - 1, encoder.ends, shared.value)
+        index = Index(np.concatenate([rest[:-1] for rest in rests]), lengths - 1, shared.value)
         pieces = list(fill(lengths, index, window))
         sequence, offset, document, start, length = np.array(pieces, np.int64).T
         tokens = group.column("tokens").to_numpy()[document]
