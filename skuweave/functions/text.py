@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F, types as T
@@ -76,10 +77,76 @@ def lcs_length(a: str, b: str) -> int:
     return len(a) - row.bit_count()
 
 
+# Words of 64 bits that the bit vectors of a block of pairs may take together.
+_MASK_WORDS = 4_000_000
+
+
+def common_lengths(a: Sequence[str], b: Sequence[str], i: np.ndarray, j: np.ndarray, block: int = 65_536) -> np.ndarray:
+    """Longest common subsequences of the pairs ``(a[i], b[j])``, a block of pairs at a time.
+
+    As in ``lcs_length`` a cleared bit marks a place where the length grows; here every
+    pair has its row of the table in as many words as its ``a`` needs, and the carry of
+    the sum goes from word to word. All pairs of a block take a step at a time.
+    """
+    common = np.zeros(len(i), np.int64)
+    a_codes, b_codes = ([np.frombuffer(x.encode("utf-32-le", "surrogatepass"), "<u4") for x in side] for side in (a, b))
+    a_len, b_len = (np.array([len(x) for x in side], np.int64) for side in (a_codes, b_codes))
+    words = -(-a_len // 64)
+    # Pairs of like sizes stand together; an empty name has nothing in common.
+    order = np.lexsort((b_len[j], words[i]))
+    order = order[(a_len[i[order]] > 0) & (b_len[j[order]] > 0)]
+    at = 0
+    while at < len(order):
+        wide = int(words[i[order[at]]])
+        last = int(np.searchsorted(words[i[order]], wide, "right"))
+        part = order[at : min(last, at + block)]
+        letters = np.unique(np.concatenate([b_codes[k] for k in np.unique(j[part])]))
+        part = part[: max(1, _MASK_WORDS // (wide * (len(letters) + 1)))]
+        at += len(part)
+        common[part] = _common_in_block(a_codes, b_codes, i[part], j[part], wide, letters)
+    return common
+
+
+def _common_in_block(a_codes, b_codes, i, j, wide: int, letters: np.ndarray) -> np.ndarray:
+    own_a, i = np.unique(i, return_inverse=True)
+    own_b, j = np.unique(j, return_inverse=True)
+    # masks[name, letter, word]: where the name has the letter; one letter more has none.
+    masks = np.zeros((len(own_a), len(letters) + 1, wide), np.uint64)
+    lengths = np.array([len(a_codes[k]) for k in own_a])
+    codes = np.concatenate([a_codes[k] for k in own_a])
+    row = np.repeat(np.arange(len(own_a)), lengths)
+    place = np.arange(len(codes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    number = np.minimum(np.searchsorted(letters, codes), len(letters) - 1)
+    known = letters[number] == codes
+    bits = np.left_shift(np.uint64(1), (place % 64).astype(np.uint64))
+    np.bitwise_or.at(masks, (row[known], number[known], place[known] // 64), bits[known])
+    steps = np.array([len(b_codes[k]) for k in own_b])
+    said = np.full((len(own_b), int(steps.max())), len(letters))
+    for at, k in enumerate(own_b):
+        said[at, : steps[at]] = np.searchsorted(letters, b_codes[k])
+    table = np.full((wide, len(i)), ~np.uint64(0))
+    for step in range(said.shape[1]):
+        here = masks[i, said[j, step]]
+        carry = np.zeros(len(i), np.uint64)
+        for word in range(wide):
+            before = table[word]
+            hits = before & here[:, word]
+            total = before + hits
+            over = total < before
+            total += carry
+            carry = (over | (total < carry)).astype(np.uint64)
+            table[word] = total | (before & ~hits)
+    # Bits beyond the name stay set: its letters are nowhere there, and carries are kept by | .
+    full = np.minimum(np.maximum(lengths[i][None, :] - 64 * np.arange(wide)[:, None], 0), 64)
+    inside = np.where(full == 64, ~np.uint64(0), np.left_shift(np.uint64(1), (full % 64).astype(np.uint64)) - np.uint64(1))
+    return lengths[i] - np.bitwise_count(table & inside).astype(np.int64).sum(0)
+
+
 @F.pandas_udf(T.IntegerType())
 def lcs(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for a, b in batches:
-        yield pd.Series([lcs_length(x, y) for x, y in zip(a, b)], dtype="int32")
+        every = np.arange(len(a))
+        yield pd.Series(common_lengths(a.to_list(), b.to_list(), every, every), dtype="int32")
 
 
 def ratio_of(common: Column, a: Column, b: Column) -> Column:

@@ -1,8 +1,19 @@
 """Catalogue rows and input rows with similar names and agreeing units.
 
 A pair matches when the edit ratio of the names reaches a minimum and, for each of
-the two unit fields, the words of one contain those of the other. Units decide
-which names are compared at all; every pair that can match is compared.
+the two unit fields, the words of one contain those of the other. Every pair that can
+match is compared; what cannot is left out by conditions that cost more and more:
+
+- If the words of one side are within those of the other, so is its rarest word. The
+  contained side is placed under that word of one unit field and the other side under
+  all its words, so a row has a key for each of its words and two more. The field is the
+  one whose words bring fewer pairs together.
+- Lengths must be near enough that the common part can reach the minimum.
+- Words of both unit fields must agree as far as 64-bit signatures tell.
+- Names as sets of characters with their occurrence (the second ``l``): what two names
+  must have in common implies that the first few in a common order, rare ones first,
+  share one.
+- The characters that two names have in common bound their common subsequence.
 """
 
 from __future__ import annotations
@@ -12,20 +23,18 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
+from pyspark import Accumulator, cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
-from skuweave.functions.text import lcs_length, one_contains_other, tokens
+from skuweave.functions.text import common_lengths, one_contains_other, tokens
 from skuweave.operators.cells import CELL_ROWS, PLACE, meet
 from skuweave.operators.dedup import keep_one
-from skuweave.session import cut_lineage, spread, together
+from skuweave.session import cut_lineage, together
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Characters are counted in this many classes for the bound on the ratio.
 CLASSES = 64
-# Names up to this length are compared in one machine word each.
-WORD = 63
 
 MATCH_SCHEMA = "q long, c long, name_similarity int"
 
@@ -63,141 +72,144 @@ def _entries(df: DataFrame, name: str, units: str, content: str) -> DataFrame:
     )
 
 
-def _longest(words: Column) -> Column:
-    """The longest word, the first in order among equals: likely a rare one."""
-    return F.array_max(F.transform(words, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+def _signature(words: Column) -> Column:
+    """A bit for each word. What one set holds of another shows in the bits."""
+    bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(w), F.lit(64)).cast("int"))
+    return F.aggregate(words, F.lit(0).cast("long"), lambda all_, w: all_.bitwiseOR(bit(w)))
 
 
-def _one(side: str, words: Column) -> Column:
-    return F.array(F.struct(F.lit(side).alias("inner"), _longest(words).alias("word")))
+def _words_of(entries: DataFrame, field: str) -> DataFrame:
+    return entries.select("id", F.explode(field).alias("word"))
 
 
-def _all(side: str, words: Column) -> Column:
-    return F.transform(words, lambda w: F.struct(F.lit(side).alias("inner"), w.alias("word")))
+def _met(inputs: DataFrame, catalog: DataFrame, field: str) -> tuple[DataFrame, int]:
+    """How many rows have each word, and how many pairs meet under the words alone."""
+    counted = [_words_of(side, field).groupBy("word").agg(F.count(F.lit(1)).alias(name)) for side, name in ((inputs, "q"), (catalog, "c"))]
+    counts = cut_lineage(counted[0].join(counted[1], "word", "outer").fillna(0, ["q", "c"]))
+    return counts, counts.agg(F.sum(F.col("q").cast("double") * F.col("c"))).first()[0] or 0
 
 
-def _catalog_keys(words: Column) -> Column:
-    none = F.filter(_all("q", words), lambda _: F.lit(False))
-    return F.concat(_one("c", words), F.when(F.size(words) > 1, _all("q", words)).otherwise(none))
+def _keyed(entries: DataFrame, field: str, counts: DataFrame, own: str) -> DataFrame:
+    """``(id, key)``: under all words for where the other side is the contained one, and
+    under the rarest for where this one is; ``own`` tells the sides apart.
 
-
-def _query_keys(words: Column) -> Column:
-    return F.concat(_all("c", words), _one("q", words))
-
-
-def _keyed(entries: DataFrame, keys: Callable[[Column], Column]) -> DataFrame:
-    """``(id, key)``: a key per side that may be the contained one, for both unit fields.
-
-    If the words of ``c`` are within those of ``q``, then so is its longest word. The
-    contained side is placed under that one word and the other under all of its own,
-    so a frequent word is only met by entries that have no longer one. A single word
-    is the containing side only of itself, which the first placing covers.
+    One word contains only itself, and such pairs meet where the catalogue is contained.
     """
-    key = F.transform(
-        keys(F.col("units_words")),
-        lambda u: F.transform(
-            keys(F.col("content_words")),
-            lambda k: F.concat_ws("\u0001", u["inner"], u["word"], k["inner"], k["word"]),
-        ),
-    )
-    return entries.select("id", F.explode(F.array_distinct(F.flatten(key))).alias("key"))
+    words = _words_of(entries, field).join(counts, "word").select("id", "word", (F.col("q") + F.col("c")).alias("n"))
+    other = {"q": "c", "c": "q"}[own]
+    rarest = words.groupBy("id").agg(F.min(F.struct("n", "word")).alias("first")).select("id", F.concat(F.lit(own), "first.word").alias("key"))
+    if own == "c":
+        words = words.join(entries.where(F.size(field) > 1).select("id"), "id", "left_semi")
+    return rarest.unionByName(words.select("id", F.concat(F.lit(other), "word").alias("key")))
 
 
-def similar_in_cell(min_ratio: int, block_pairs: int = 1 << 20) -> Callable:
+def similar_in_cell(min_ratio: int, compared: Accumulator | None = None, block_pairs: int = 1 << 18) -> Callable:
     """The kernel of a cell: pairs of one key whose edit ratio reaches the minimum.
 
-    The common subsequence is no longer than the characters two names have in common,
-    counted in classes. Only pairs whose ratio could still reach the minimum on that
-    count are compared in full. Memory is bounded by ``block_pairs``.
+    Pairs of like keys and possible lengths are enumerated and thinned out
+    ``block_pairs`` at a time. ``compared`` counts those whose characters are counted.
     """
     lowest = (min_ratio - 0.5) / 200.0
 
-    def coded(names: list[str]) -> list[np.ndarray]:
-        return [np.frombuffer(n.encode("utf-32-le"), dtype="<u4") for n in names]
+    def occurrences(codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """For every character of all names: the name, and character and occurrence in one."""
+        lengths = np.array([len(c) for c in codes], np.int64)
+        row, flat = np.repeat(np.arange(len(codes)), lengths), np.concatenate([*codes, np.zeros(0, "<u4")]).astype(np.int64)
+        order = np.lexsort((flat, row))
+        row, flat = row[order], flat[order]
+        new = np.concatenate([[True], (row[1:] != row[:-1]) | (flat[1:] != flat[:-1])]) if len(row) else np.zeros(0, bool)
+        starts = np.flatnonzero(new)
+        place = np.arange(len(row)) - np.repeat(starts, np.diff(starts, append=len(row)))
+        return row, place * 0x110000 + flat
+
+    def prefixes(row: np.ndarray, item: np.ndarray, rank: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """A bit for each item among the first that a match must share one of."""
+        order = np.lexsort((rank[item], row))
+        row, item = row[order], item[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row, "left")
+        shortest = np.ceil(lengths * lowest / (1 - lowest) - 1e-9)
+        needed = np.ceil(lowest * (lengths + shortest) - 1e-9)
+        inside = place <= (lengths - needed)[row]
+        bits = np.zeros(len(lengths), np.uint64)
+        np.bitwise_or.at(bits, row[inside], np.left_shift(np.uint64(1), (rank[item[inside]] % 64).astype(np.uint64)))
+        return bits
 
     def class_counts(codes: list[np.ndarray]) -> np.ndarray:
-        counts = np.zeros((len(codes), CLASSES), dtype=np.int32)
-        for row, code in enumerate(codes):
-            counts[row] = np.bincount(code % CLASSES, minlength=CLASSES)
-        return counts
-
-    def common_lengths(
-        a: list[str], b: list[str], a_codes: list[np.ndarray], b_codes: list[np.ndarray],
-        i: np.ndarray, j: np.ndarray,
-    ) -> np.ndarray:
-        """Common subsequence lengths of the pairs ``(i, j)``, all pairs a step at a time."""
-        common = np.zeros(len(i), dtype=np.int64)
-        a_len = np.array([len(x) for x in a])
-        b_len = np.array([len(x) for x in b])
-        short = (a_len[i] <= WORD) & (b_len[j] <= WORD)
-        for p in np.flatnonzero(~short):
-            common[p] = lcs_length(a[i[p]], b[j[p]])
-        at = np.flatnonzero(short)
-        if not len(at):
-            return common
-        alphabet = np.unique(np.concatenate([*a_codes, *b_codes]))
-        masks = np.zeros((len(a), len(alphabet) + 1), dtype=np.uint64)
-        for row, code in enumerate(a_codes):
-            if len(code) <= WORD:
-                bits = np.left_shift(np.uint64(1), np.arange(len(code), dtype=np.uint64))
-                np.bitwise_or.at(masks[row], np.searchsorted(alphabet, code), bits)
-        letters = np.full((len(b), WORD), len(alphabet))
-        for row, code in enumerate(b_codes):
-            if len(code) <= WORD:
-                letters[row, : len(code)] = np.searchsorted(alphabet, code)
-        for part in np.array_split(at, max(1, len(at) // 65_536)):
-            pi, pj = i[part], j[part]
-            full = np.left_shift(np.uint64(1), a_len[pi].astype(np.uint64)) - np.uint64(1)
-            row = full.copy()
-            for step in range(int(b_len[pj].max(initial=0))):
-                hits = row & masks[pi, letters[pj, step]]
-                row = ((row + hits) | (row - hits)) & full
-            common[part] = a_len[pi] - np.bitwise_count(row)
-        return common
-
-    def compare(left: pd.DataFrame, right: pd.DataFrame) -> list[pd.DataFrame]:
-        a, b = left["name"].to_list(), right["name"].to_list()
-        a_codes, b_codes = coded(a), coded(b)
-        a_len = np.array([len(x) for x in a_codes])
-        b_len = np.array([len(x) for x in b_codes])
-        a_counts, b_counts = class_counts(a_codes), class_counts(b_codes)
-        used = np.flatnonzero(a_counts.any(axis=0) & b_counts.any(axis=0))
-        found = []
-        block = max(1, block_pairs // len(b))
-        for start in range(0, len(a), block):
-            rows = slice(start, start + block)
-            total = a_len[rows, None] + b_len[None, :]
-            bound = np.zeros(total.shape, dtype=np.int32)
-            for k in used:
-                bound += np.minimum(a_counts[rows, k, None], b_counts[None, :, k])
-            i, j = np.nonzero(bound >= lowest * total - 1e-9)
+        lengths = np.array([len(c) for c in codes], np.int64)
+        flat = np.concatenate([*codes, np.zeros(0, "<u4")]).astype(np.int64) % CLASSES
+        return np.bincount(np.repeat(np.arange(len(codes)), lengths) * CLASSES + flat, minlength=len(codes) * CLASSES).reshape(-1, CLASSES).astype(np.int32)
+
+    def agree(left: pd.DataFrame, right: pd.DataFrame, field: str, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        a, b = left[field].to_numpy()[i], right[field].to_numpy()[j]
+        both = a & b
+        return (both == a) | (both == b)
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        found = [pd.DataFrame({"q": np.zeros(0, np.int64), "c": np.zeros(0, np.int64), "name_similarity": np.zeros(0, np.int32)})]
+        if not len(left) or not len(right):
+            return found[0]
+        names = [side["name"].drop_duplicates().reset_index(drop=True) for side in (left, right)]
+        at = [side["name"].map(pd.Series(own.index, own)).to_numpy() for side, own in zip((left, right), names)]
+        codes = [[np.frombuffer(n.encode("utf-32-le", "surrogatepass"), "<u4") for n in own] for own in names]
+        lengths = [np.array([len(c) for c in own], np.int64) for own in codes]
+        counts = [class_counts(own) for own in codes]
+        rows, items = zip(*(occurrences(own) for own in codes))
+        # One order for both sides: the rarest first.
+        _, number, times = np.unique(np.concatenate(items), return_inverse=True, return_counts=True)
+        rank = np.empty(len(times), np.int64)
+        rank[np.argsort(times, kind="stable")] = np.arange(len(times))
+        item = np.split(number, [len(items[0])])
+        bits = [prefixes(rows[k], item[k], rank, lengths[k]) for k in (0, 1)]
+
+        # The catalogue's rows by key, then by length: a query's rows meet one stretch.
+        known, number = np.unique(right["key"].to_numpy(), return_inverse=True)
+        step = int(max(lengths[0].max(), lengths[1].max())) + 2
+        place = number * step + lengths[1][at[1]]
+        order = np.argsort(place, kind="stable")
+        place = place[order]
+        number = pd.Series(np.arange(len(known)), known).reindex(left["key"]).to_numpy()
+        mine = np.flatnonzero(~np.isnan(number))
+        number, own = number[mine].astype(np.int64), lengths[0][at[0][mine]]
+        near = np.ceil(own * lowest / (1 - lowest) - 1e-9) if 0 < lowest < 1 else np.zeros(len(own))
+        far = np.floor(own * (1 - lowest) / lowest + 1e-9) if 0 < lowest < 1 else np.full(len(own), step)
+        first = np.searchsorted(place, number * step + np.minimum(near, step - 1), "left")
+        width = np.maximum(np.searchsorted(place, number * step + np.minimum(far, step - 1), "right") - first, 0)
+        reached = np.cumsum(width)
+        start = 0
+        while start < len(mine):
+            before = reached[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(reached, before + block_pairs, "right")))
+            n = width[start:stop]
+            i = np.repeat(mine[start:stop], n)
+            j = order[np.repeat(first[start:stop] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+            start = stop
+            a, b = at[0][i], at[1][j]
+            total = lengths[0][a] + lengths[1][b]
+            keep = ((bits[0][a] & bits[1][b]) != 0) | (total == 0) | (lowest <= 0)
+            for field in ("units_bits", "content_bits"):
+                keep &= agree(left, right, field, i, j)
+            i, j, a, b, total = (x[keep] for x in (i, j, a, b, total))
             if not len(i):
                 continue
-            total = total[i, j]
-            common = common_lengths(a[rows], b, a_codes[rows], b_codes, i, j)
+            if compared is not None:
+                compared.add(len(i))
+            bound = np.minimum(counts[0][a], counts[1][b]).sum(1)
+            keep = bound >= lowest * total - 1e-9
+            i, j, a, b, total = (x[keep] for x in (i, j, a, b, total))
+            # Names that meet in several rows are compared once.
+            pair, back = np.unique(a * len(names[1]) + b, return_inverse=True)
+            common = common_lengths(names[0], names[1], pair // len(names[1]), pair % len(names[1]))[back]
             ratio = np.where(total > 0, np.rint(200.0 * common / np.maximum(total, 1)), 100)
             keep = ratio >= min_ratio
             found.append(
                 pd.DataFrame(
                     {
-                        "q": left["id"].to_numpy()[rows][i[keep]],
+                        "q": left["id"].to_numpy()[i[keep]],
                         "c": right["id"].to_numpy()[j[keep]],
                         "name_similarity": ratio[keep].astype("int32"),
                     }
                 )
             )
-        return found
-
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(left) and len(right):
-            theirs = right.groupby("key").indices
-            for key, mine in left.groupby("key").indices.items():
-                if key in theirs:
-                    found += compare(left.iloc[mine], right.iloc[theirs[key]])
-        if not found:
-            empty = {"q": "int64", "c": "int64", "name_similarity": "int32"}
-            return pd.DataFrame({c: pd.Series(dtype=t) for c, t in empty.items()})
         return pd.concat(found)
 
     return run
@@ -208,19 +220,29 @@ def matching_entries(
     inputs: DataFrame,
     min_ratio: int = 70,
     cell_rows: int = CELL_ROWS,
+    compared: Accumulator | None = None,
 ) -> DataFrame:
     """``(q, c, name_similarity)`` of the matching entries of both sides."""
-    queries, known = meet(
-        _keyed(spread(inputs, "id"), _query_keys), _keyed(spread(catalog, "id"), _catalog_keys),
-        "key", None, cell_rows,
+    fields = ("units_words", "content_words")
+    # The words of one field decide who meets, those that bring fewer pairs together.
+    (counts, _), field = min(
+        zip(together(*(lambda f=f: _met(inputs, catalog, f) for f in fields)), fields), key=lambda found: found[0][1]
+    )
+    placed = together(
+        lambda: cut_lineage(_keyed(inputs, field, counts, "q")), lambda: cut_lineage(_keyed(catalog, field, counts, "c"))
     )
+    queries, known = meet(*placed, "key", None, cell_rows)
     named = [
-        keys.join(side.select("id", "name"), "id") for keys, side in ((queries, inputs), (known, catalog))
+        keys.join(
+            side.select("id", "name", _signature(F.col("units_words")).alias("units_bits"), _signature(F.col("content_words")).alias("content_bits")),
+            "id",
+        )
+        for keys, side in ((queries, inputs), (known, catalog))
     ]
     similar = (
         named[0].groupBy(*PLACE)
         .cogroup(named[1].groupBy(*PLACE))
-        .applyInPandas(similar_in_cell(min_ratio), MATCH_SCHEMA)
+        .applyInPandas(similar_in_cell(min_ratio, compared), MATCH_SCHEMA)
         .distinct()
     )
 
@@ -246,6 +268,7 @@ def fuzzy_match(
     inputs: DataFrame,
     min_ratio: int = 70,
     cell_rows: int = CELL_ROWS,
+    compared: Accumulator | None = None,
 ) -> DataFrame:
     """Every matching pair of a catalogue row and an input row.
 
@@ -260,7 +283,7 @@ def fuzzy_match(
     # Written before rows are attached: the comparisons are not repeated if executors
     # are lost, and the joins below start from a shuffle, so AQE can split hot entries.
     matches = cut_lineage(
-        matching_entries(entries["c"], entries["q"], min_ratio, cell_rows)
+        matching_entries(entries["c"], entries["q"], min_ratio, cell_rows, compared)
     )
 
     # Copies give the same pairs, so they are dropped before they can multiply.

@@ -2,12 +2,14 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from comparing import records
 from hypothesis import given, strategies as st
 from pyspark.sql import functions as F
 
-from skuweave.functions.text import edit_ratio, lcs_length, one_contains_other, tokens
+from skuweave.functions.text import common_lengths, edit_ratio, lcs_length, one_contains_other, tokens
+from skuweave.operators import fuzzy
 from skuweave.operators.fuzzy import RESULT_COLUMNS, fuzzy_match
 from skuweave.plans.matching import edit_catalog, match_by_edit_ratio
 
@@ -31,6 +33,20 @@ def test_lcs_length(a, b):
     assert lcs_length(a, b) == plain_lcs(a, b)
 
 
+@given(st.lists(st.text("abcü€𝄞 ", max_size=200), min_size=1, max_size=8), st.lists(st.text("abcü€𝄞x", max_size=200), min_size=1, max_size=8))
+def test_common_lengths_of_many_pairs(a, b):
+    i, j = np.indices((len(a), len(b))).reshape(2, -1)
+    found = common_lengths(a, b, i, j, block=5)
+    assert found.tolist() == [plain_lcs(a[k], b[m]) for k, m in zip(i, j)]
+
+
+def test_common_lengths_of_long_names():
+    rng = random.Random(3)
+    names = ["".join(rng.choice("abcdefgh") for _ in range(n)) for n in (1, 63, 64, 65, 127, 128, 129, 200, 1_000)]
+    i, j = np.indices((len(names), len(names))).reshape(2, -1)
+    assert common_lengths(names, names, i, j).tolist() == [lcs_length(names[k], names[m]) for k, m in zip(i, j)]
+
+
 PAIRS = [
     ("kitten", "sitting"), ("same", "same"), ("", ""), ("", "x"), (None, "x"), ("x", None), ("Case", "case"),
     ("abcdef", "fedcba"), ("a" * 139 + "b" * 61, "a" * 139 + "c" * 61), ("𝄞𝄞a", "𝄞b"),
@@ -134,6 +150,43 @@ def test_hot_unit_value(spark):
     assert sorted(tuple(r) for r in found.collect()) == brute_force(catalog, inputs)
 
 
+def test_many_words_in_both_fields(spark):
+    """A row has a key for each of its words and one more, whatever the other field holds."""
+    units = " ".join(f"u{i}" for i in range(1_000))
+    content = " ".join(f"c{i}" for i in range(1_000))
+    catalog = [("i1", "Pils Kiste", content, units), ("i2", "Pils Kiste", "c5", "u7"), ("i3", "Pils Kiste", "c5 d", "u7")]
+    inputs = [(1, "Pils Kisten", "u7", "c5", None), (2, "Pils Kiste", units, content, None), (3, "Pils", "u9 u7", content, None)]
+    c, q = spark.createDataFrame(catalog, CATALOG), spark.createDataFrame(inputs, INPUT)
+    assert sorted(map(str, (tuple(r) for r in fuzzy_match(c, q).collect()))) == sorted(map(str, brute_force(catalog, inputs)))
+    entries = fuzzy._entries(q, "name", "no_of_base_units", "base_unit_content")
+    counts, _ = fuzzy._met(entries, entries, "content_words")
+    keys = fuzzy._keyed(entries, "content_words", counts, "q").groupBy("id").count()
+    assert sorted(r["count"] for r in keys.collect()) == [2, 1_001, 1_001]
+
+
+def test_few_pairs_are_compared(spark):
+    """All rows have one unit; their names share letters, but only copies match."""
+    rng = random.Random(9)
+    names = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(rng.randint(8, 60))) for _ in range(400)]
+    catalog = [(f"i{i}", name, "0,5", "6") for i, name in enumerate(names)]
+    inputs = [(i, name[:4] + "#" + name[5:], "6", "0,5", None) for i, name in enumerate(names)]
+    c, q = spark.createDataFrame(catalog, CATALOG), spark.createDataFrame(inputs, INPUT)
+    for min_ratio, share in ((70, 0.55), (90, 0.2)):
+        compared = spark.sparkContext.accumulator(0)
+        found = fuzzy_match(c, q, min_ratio, compared=compared)
+        same = {(r["Golden_record"], r["gfgh_id"]) for r in found.collect()}
+        assert same <= {(f"i{i}", i) for i in range(400)} and len(same) > 300
+        assert compared.value < share * 400 * 400
+
+
+@pytest.mark.parametrize("min_ratio", [0, 1, 40, 95, 100])
+def test_other_minima(spark, min_ratio):
+    catalog = [(f"i{i}", name, content, units) for i, name, content, units in sample(5, 40)] + [("e", "", "1", "6")]
+    inputs = [(i, name, units, content, None) for i, name, content, units in sample(6, 40)] + [(99, "", "6", "1", None)]
+    found = fuzzy_match(spark.createDataFrame(catalog, CATALOG), spark.createDataFrame(inputs, INPUT), min_ratio)
+    assert sorted(map(str, (tuple(r) for r in found.collect()))) == sorted(map(str, brute_force(catalog, inputs, min_ratio)))
+
+
 def test_more_inputs_than_catalogue_rows(spark):
     catalog = [("i", "Pils Kiste", "0,5", "20")]
     inputs = [(i, "Pils Kiste", "20", "0,5", None) for i in range(130)]
