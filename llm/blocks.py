@@ -20,6 +20,8 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from llm.common import freed
+
 # A block ends with the text that brings it over either bound.
 BLOCK_BYTES = 32_000_000
 BLOCK_WORDS = 400_000
@@ -136,7 +138,7 @@ def answered(
                 if new != word:
                     if holders:
                         amount += settle(word, holders)
-                        if amount > 1_500_000:
+                        if amount > 750_000:
                             yield emit()
                             amount = 0
                     word, holders = new, []
@@ -146,7 +148,7 @@ def answered(
             yield emit()
 
     ordered = entries.repartition("word").sortWithinPartitions("word")
-    return ordered.mapInArrow(run, "block long, codes binary, sizes binary, values binary, sum long")
+    return ordered.mapInArrow(freed(run), "block long, codes binary, sizes binary, values binary, sum long")
 
 
 def join_answers(words: int, check: int, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:

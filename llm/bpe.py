@@ -24,7 +24,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from llm import blocks
-from llm.common import as_bytes, slices, table
+from llm.common import as_bytes, freed, slices, table
 from skuweave.session import cut_lineage
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -225,9 +225,9 @@ def encode(
 
     ids_type = to_arrow_type(kind)
     empty = pa.table({id_col: pa.array([], ids_type), "ids": pa.array([], pa.list_(pa.int32()))})
-    answers = blocks.answered(rows.mapInArrow(entries, "word binary, block long, code int"), solver)
+    answers = blocks.answered(rows.mapInArrow(freed(entries), "word binary, block long, code int"), solver)
     sequence = rows.mapInArrow(
-        sequences,
+        freed(sequences),
         f"block long, id array<{kind.simpleString()}>, lengths binary, codes binary, words long, sum long",
     )
     return (
@@ -265,7 +265,7 @@ def decode(encoded: DataFrame, vocabulary: str = VOCABULARY, ids_col: str = "ids
         for batch in batches:
             yield from slices(batch, join)
 
-    return encoded.mapInArrow(run, schema)
+    return encoded.mapInArrow(freed(run), schema)
 
 
 def digests(encoded: DataFrame) -> DataFrame:

@@ -19,10 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import as_bytes, slices, table
+from llm.common import as_bytes, freed, slices, table
 
 _DROPPED = bytes(c for c in range(128) if not (chr(c).isalnum() or c <= 32))
-SLICE = 4_000_000  # bytes of text that are queries at a time
+SLICE = 1_000_000  # bytes of text that are queries at a time
 _SENTENCE = re.compile(rb"[.!?\n]+\s*")
 
 
@@ -302,7 +302,7 @@ def _search(rows: DataFrame, index, schema: str, id_col: str) -> DataFrame:
         for batch in batches:
             yield from slices(batch, search, SLICE)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(freed(run), schema)
 
 
 def without_leaks(
@@ -333,7 +333,7 @@ def _clean(documents: DataFrame, index, text_col: str) -> DataFrame:
 
             yield from slices(batch, choose, SLICE)
 
-    return documents.mapInArrow(run, documents.schema)
+    return documents.mapInArrow(freed(run), documents.schema)
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
