@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from llm.blocks import packed, unpacked
-from llm.common import as_bytes, mix, table, with_small
+from llm.common import as_bytes, freed, mix, table, with_small
 from skuweave.session import cut_lineage
 
 # Fixed value: what ends a piece of text.
@@ -36,6 +36,8 @@ _TABLE = bytes.maketrans(SEPARATORS, _END * len(SEPARATORS))
 # A block ends with the text that brings it over either bound.
 BLOCK_BYTES = 12_000_000
 BLOCK_WORDS = 200_000
+#: Words of a row of the written blocks.
+ROW_WORDS = 4_000
 #: N-grams that meet in one range of the quotient.
 RANGE = 1_000_000
 #: Bits of the quotient below a range: the runs of one piece of a filter.
@@ -76,20 +78,28 @@ class _Block:
         self.codes.append(np.fromiter(map(numbers.__getitem__, words), np.uint32, len(words)))
         self.size += len(text)
 
-    def record(self) -> pa.RecordBatch:
+    def records(self) -> Iterator[pa.RecordBatch]:
+        """A row with the codes, and rows with so many words each that none is large."""
         codes = np.concatenate(self.codes)
         counts = np.bincount(codes, minlength=len(self.words) + 1)[1:]
-        one = lambda values, kind: pa.ListArray.from_arrays([0, len(values)], pa.array(values, kind))
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([self.number], pa.int64()),
-                pa.array([packed(codes)], pa.binary()),
-                one(self.langs, pa.string()),
-                one(self.words, pa.binary()),
-                one(counts, pa.int64()),
-            ],
-            names=["block", "codes", "langs", "words", "counts"],
-        )
+
+        def row(data: bytes | None, start: int, stop: int) -> pa.RecordBatch:
+            one = lambda values, kind: pa.ListArray.from_arrays([0, stop - start], pa.array(values[start:stop], kind))
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array([self.number], pa.int64()),
+                    pa.array([data], pa.binary()),
+                    pa.array([start + 1], pa.int32()),
+                    one(self.langs, pa.string()),
+                    one(self.words, pa.binary()),
+                    one(counts, pa.int64()),
+                ],
+                names=["block", "codes", "first", "langs", "words", "counts"],
+            )
+
+        yield row(packed(codes), 0, 0)
+        for start in range(0, len(self.words), ROW_WORDS):
+            yield row(None, start, min(start + ROW_WORDS, len(self.words)))
 
 
 def corpus_blocks(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
@@ -102,14 +112,14 @@ def corpus_blocks(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
             for lang, text in zip(batch.column(0).to_pylist(), texts):
                 block.add(text, lang)
                 if block.size >= BLOCK_BYTES or len(block.words) >= BLOCK_WORDS:
-                    yield block.record()
+                    yield from block.records()
                     block = _Block(block.number + 1)
         if block.codes:
-            yield block.record()
+            yield from block.records()
 
     rows = df.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), as_bytes(text_col).alias("text"))
-    schema = "block long, codes binary, langs array<string>, words array<binary>, counts array<long>"
-    return cut_lineage(rows.mapInArrow(run, schema))
+    schema = "block long, codes binary, first int, langs array<string>, words array<binary>, counts array<long>"
+    return cut_lineage(rows.mapInArrow(freed(run), schema))
 
 
 def numbered_words(entries: DataFrame, least: int) -> DataFrame:
@@ -144,7 +154,7 @@ def numbered_blocks(given: DataFrame, entries: DataFrame, words: DataFrame) -> D
             ids.append(packed(of[here]))
         return pa.table({"block": pa.array(blocks, pa.int64()), "ids": pa.array(ids, pa.binary())})
 
-    coded = given.select("block", "codes").groupBy("block").cogroup(answers.groupBy("home"))
+    coded = given.filter("codes is not null").select("block", "codes").groupBy("block").cogroup(answers.groupBy("home"))
     return cut_lineage(coded.applyInArrow(number, "block long, ids binary"))
 
 
@@ -302,7 +312,7 @@ def grams(found: DataFrame, layout: Layout) -> DataFrame:
                 )
 
     kept = found.filter("block is null and n > 0").select("left", "right", "counts")
-    return kept.mapInArrow(run, ", ".join(f"{name} long" for name in [*names, "n"]))
+    return kept.mapInArrow(freed(run), ", ".join(f"{name} long" for name in [*names, "n"]))
 
 
 def frequent_grams(texts: DataFrame, least: int, bits: int, tokens: int, size: int = RANGE) -> tuple[DataFrame, DataFrame]:
@@ -339,7 +349,7 @@ def frequent_grams(texts: DataFrame, least: int, bits: int, tokens: int, size: i
             rows += _filter_rows(block, *three.of([ids[at], ids[at + 1], ids[at + 2]]), three)
         return _table(rows, _PIECE)
 
-    found = cut_lineage(texts.mapInArrow(pairs, _PIECE).groupBy("range").applyInArrow(merged(least, two), _MERGED))
+    found = cut_lineage(texts.mapInArrow(freed(pairs), _PIECE).groupBy("range").applyInArrow(merged(least, two), _MERGED))
     answers = found.filter("block is not null").select("block", "range", "n", "bits")
     sent = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(triples, _PIECE)
     more = sent.groupBy("range").applyInArrow(merged(least, three), _MERGED).filter("block is null")
@@ -368,8 +378,8 @@ def collocations(
     """
     given = corpus_blocks(df, text_col, lang_col)
     entry = F.posexplode(F.arrays_zip("langs", "words", "counts")).alias("at", "entry")
-    entries = given.select("block", entry).select(
-        "block", (F.col("at") + 1).alias("code"), F.col("entry.langs").alias("lang"), F.col("entry.words").alias("word"), F.col("entry.counts").alias("n")
+    entries = given.filter("codes is null").select("block", "first", entry).select(
+        "block", (F.col("first") + F.col("at")).alias("code"), F.col("entry.langs").alias("lang"), F.col("entry.words").alias("word"), F.col("entry.counts").alias("n")
     )
     totals = cut_lineage(entries.groupBy("lang").agg(F.sum("n").alias("total")))
     words = cut_lineage(numbered_words(entries, least))
