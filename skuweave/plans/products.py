@@ -126,6 +126,15 @@ def full_load(sources: ProductSources, **settings) -> DataFrame:
     return product_table(sources, **settings)
 
 
+def delta_rows(sources: ProductSources, as_of: AsOf, days: int = 4, **settings) -> tuple[DataFrame, DataFrame]:
+    """The changed products' keys, and the rows that take the place of theirs."""
+    # Used for the new rows and for removing the old ones; finding it scans all products.
+    changed = cut_lineage(changed_products(sources, as_of, days))
+    settings.setdefault("with_manufacturer_mark", False)
+    rows = product_table(restricted(sources, changed), products=changed, **settings)
+    return changed.select("identifier").distinct(), rows
+
+
 def delta_load(
     target: DataFrame, sources: ProductSources, as_of: AsOf, days: int = 4, **settings
 ) -> DataFrame:
@@ -134,11 +143,8 @@ def delta_load(
     A changed product that lost its category is removed from the table, as its
     old row is deleted and no new one is built.
     """
-    # Used for the new rows and for removing the old ones; finding it scans all products.
-    changed = cut_lineage(changed_products(sources, as_of, days))
-    settings.setdefault("with_manufacturer_mark", False)
-    rows = product_table(restricted(sources, changed), products=changed, **settings)
-    kept = target.join(changed.select("identifier").distinct(), "identifier", "left_anti")
+    changed, rows = delta_rows(sources, as_of, days, **settings)
+    kept = target.join(changed, "identifier", "left_anti")
     return kept.unionByName(rows, allowMissingColumns=True)
 
 

@@ -1,20 +1,29 @@
-"""Writing tables so that readers see the old or the new content, never a part."""
+"""Writing tables so that readers see the old or the new content, never a part.
+
+``replace_table`` repoints a table of the same shape in one statement; where the shape
+changes, it renames two tables, and between these a reader finds none. ``replace_view``
+has no such moment.
+"""
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from skuweave.functions.json_values import quoted
-from skuweave.operators.merge import upsert
+from skuweave.operators.merge import upsert, without_keys_of
 from skuweave.session import cut_lineage
 
 # The columns that keep a JSON type when written.
 JSON_COLUMNS = ("raw_values", "data")
 
 
+#: The partition column of tables that are stored in buckets of a key.
+BUCKET = "_bucket"
+
+
 def with_json_types(df: DataFrame, columns: Sequence[str] = JSON_COLUMNS) -> DataFrame:
     """Parse the JSON text columns that exist into the variant type."""
     present = [c for c in columns if c in df.columns]
@@ -93,10 +102,15 @@ def remove_versions(spark: SparkSession, table: str, root: str, keep: int = 2) -
     system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not system.exists(folder):
         return 0
-    used = table_folder(spark, table).rstrip("/").rsplit("/", 1)[-1] if spark.catalog.tableExists(table) else None
+    used = None
+    if spark.catalog.tableExists(table):
+        # A view's version bears the name of its folder.
+        version = view_properties(spark, table).get(_VERSION)
+        used = version.rsplit("__", 1)[-1] if version else table_folder(spark, table).rstrip("/").rsplit("/", 1)[-1]
     versions = sorted(system.listStatus(folder), key=lambda s: s.getModificationTime(), reverse=True)
     old = [v.getPath() for v in versions[max(keep, 0) :] if v.getPath().getName() != used]
     for path in old:
+        spark.sql(f"DROP TABLE IF EXISTS {table}__{path.getName()}")
         system.delete(path, True)
     return len(old)
 
@@ -171,6 +185,85 @@ def upsert_partitions(
         folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def bucket_of(key: Column, buckets: int) -> Column:
+    """The bucket of a key, the same in every run."""
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def replace_buckets(
+    spark: SparkSession, table: str, gone: DataFrame, batch: DataFrame, key: str, buckets: int, part: str = BUCKET
+) -> list[int]:
+    """Rows of ``batch`` take the place of those whose key is in ``gone``, bucket by bucket.
+
+    ``table`` is partitioned by ``part``, the bucket of ``key``, and ``gone`` holds every key
+    of the batch. Only the buckets of these keys are read and written; all others keep
+    their files. Spark writes the new buckets aside and swaps them in when the job commits.
+    Returns the buckets that were rewritten, of which there are ``buckets`` at most.
+    """
+    folder, schema = table_folder(spark, table), spark.table(table).schema
+    gone = cut_lineage(gone.select(key).distinct())
+    touched = [row[0] for row in gone.select(bucket_of(F.col(quoted(key)), buckets)).distinct().collect()]
+    if not touched:
+        return []
+    # A list of bucket numbers: Spark prunes the folders before it lists their files.
+    kept = without_keys_of(spark.table(table).where(F.col(part).isin(touched)), gone, [key])
+    merged = kept.unionByName(batch.withColumn(part, bucket_of(F.col(quoted(key)), buckets)), allowMissingColumns=True)
+    merged = cut_lineage(merged.select(*schema.names))
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(folder)
+    left = {row[0] for row in merged.select(part).distinct().collect()}
+    for bucket in sorted(set(touched) - left):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({part} = {bucket}) PURGE")
+        _delete(spark, f"{folder}/{part}={bucket}")
+    spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
+    return sorted(touched)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+_VERSION = "skuweave.version"
+
+
+def replace_view(
+    df: DataFrame, view: str, root: str, partition_by: Sequence[str] = (), hidden: Sequence[str] = (), **properties: str
+) -> str:
+    """Write a new version as a table of its own and let ``view`` read it.
+
+    The view is redefined in one statement, whatever the shape of old and new: a reader
+    finds one of both at any moment, and a failure before that leaves the old one. Earlier
+    versions stay in the catalog and on disk, for readers that have resolved them already,
+    until :func:`remove_versions`. ``hidden``
+    columns are stored and not shown, ``properties`` are kept with the view. Returns the
+    table of the version.
+    """
+    spark = df.sparkSession
+    version = f"{view}__{uuid.uuid4().hex}"
+    folder = f"{_versions(view, root)}/{version.rsplit('__', 1)[-1]}"
+    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(folder)
+    spark.catalog.createTable(version, path=folder, source="parquet")
+    if partition_by:
+        spark.catalog.recoverPartitions(version)
+    shown = ", ".join(quoted(name) for name in df.columns if name not in hidden)
+    kept = "".join(f", '{name}' = '{value}'" for name, value in properties.items())
+    spark.sql(f"CREATE OR REPLACE VIEW {view} TBLPROPERTIES ('{_VERSION}' = '{version}'{kept}) AS SELECT {shown} FROM {version}")
+    return version
+
+
+def view_properties(spark: SparkSession, view: str) -> dict[str, str]:
+    """What is kept with a view; nothing where there is none."""
+    if not spark.catalog.tableExists(view):
+        return {}
+    return {row[0]: row[1] for row in spark.sql(f"SHOW TBLPROPERTIES {view}").collect()}
+
+
+def view_version(spark: SparkSession, view: str) -> str:
+    """The table that a view of :func:`replace_view` reads."""
+    return view_properties(spark, view)[_VERSION]
+
+
 def write_database(
     df: DataFrame, url: str, table: str, mode: str, batch_rows: int = 10_000, **options: str
 ) -> None:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 
 import pytest
 from comparing import by_key, records
@@ -18,10 +19,14 @@ from skuweave.plans.table_sync import (
     sync_table,
 )
 from skuweave.sinks.tables import (
+    BUCKET,
     append_table,
+    bucket_of,
     create_table_as,
     remove_versions,
+    replace_buckets,
     replace_table,
+    replace_view,
     upsert_partitions,
     upsert_table,
     with_json_types,
@@ -164,6 +169,63 @@ def test_failing_replacement_keeps_the_table(spark, tmp_path):
     spark.sql("DROP TABLE steady")
 
 
+def test_readers_find_a_table_while_its_shape_changes(spark, tmp_path):
+    """A reader in a loop sees each version whole and never a moment without one."""
+    shapes = [frame(spark, (1, "a")), spark.createDataFrame([(1, 2, 3)], "a int, b int, c int"), spark.createDataFrame([(7,)], "other long")]
+    replace_view(shapes[0], "shown", str(tmp_path))
+    seen, wrong, done = set(), [], threading.Event()
+
+    def read():
+        while not done.is_set():
+            try:
+                rows = spark.table("shown").collect()
+                seen.add(tuple(rows[0].asDict()))
+                if len(rows) != 1:
+                    wrong.append(rows)
+            except Exception as problem:
+                wrong.append(problem)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for turn in range(9):
+        replace_view(shapes[(turn + 1) % 3], "shown", str(tmp_path))
+    done.set()
+    reader.join()
+    assert wrong == [] and seen <= {("id", "v"), ("a", "b", "c"), ("other",)}
+    failing = frame(spark, (2, "b")).select(F.raise_error(F.lit("no")).cast("string").alias("x"))
+    with pytest.raises(Exception):
+        replace_view(failing, "shown", str(tmp_path))
+    assert spark.table("shown").columns == ["id", "v"]
+    assert remove_versions(spark, "shown", str(tmp_path), keep=1) >= 8
+    assert sum(t.name.startswith("shown__") for t in spark.catalog.listTables()) <= 2
+    assert content(spark.table("shown")) == [(1, "a")]
+
+
+def test_only_buckets_of_changed_keys_are_rewritten(spark, tmp_path):
+    rows = spark.range(200).select("id", F.lit("old").alias("v")).withColumn(BUCKET, bucket_of(F.col("id"), 16))
+    version = replace_view(rows.repartition(4, BUCKET), "bucketed", str(tmp_path), [BUCKET], [BUCKET])
+    folder = next((tmp_path / "bucketed").iterdir())
+    files = lambda: {p.name: {f.name for f in p.iterdir()} for p in folder.iterdir() if "=" in p.name}
+    before = files()
+    gone = spark.createDataFrame([(3,), (4,), (500,)], "id long")
+    batch = spark.createDataFrame([(3, "new"), (500, "new")], "id long, v string")
+    touched = replace_buckets(spark, version, gone, batch, "id", 16)
+    assert 1 <= len(touched) <= 3
+    spark.catalog.refreshTable("bucketed")
+    found = {r["id"]: r["v"] for r in records(spark.table("bucketed"))}
+    assert found == {**{i: "old" for i in range(200) if i != 4}, 3: "new", 500: "new"}
+    after = files()
+    assert {name for name in before if before[name] != after[name]} == {f"{BUCKET}={b}" for b in touched}
+    # A bucket that loses all its rows goes; nothing changed means nothing written.
+    own = spark.table(version).where(F.col(BUCKET) == touched[0]).select("id")
+    replace_buckets(spark, version, own, batch.limit(0), "id", 16)
+    assert f"{BUCKET}={touched[0]}" not in files()
+    left = {r["id"] for r in records(spark.table(version))}
+    assert left == {i for i in found if i not in {r["id"] for r in records(rows.unionByName(batch.withColumn(BUCKET, bucket_of(F.col("id"), 16))).where(F.col(BUCKET) == touched[0]))}}
+    still = files()
+    assert replace_buckets(spark, version, gone.limit(0), batch.limit(0), "id", 16) == [] and files() == still
+
+
 def test_old_versions_are_removed_on_request(spark, tmp_path):
     for value in "abcd":
         replace_table(frame(spark, (1, value)), "kept", str(tmp_path))
