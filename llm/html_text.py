@@ -51,14 +51,22 @@ _INLINE = frozenset(
 _LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote figcaption td th caption".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _NAMED = frozenset(("article", "main"))
-_APART = frozenset("head nav footer aside form button fieldset dialog menu".split())
-_APART_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
+_APART = frozenset("head nav footer aside button dialog menu".split())
+_APART_ROLES = frozenset("navigation banner contentinfo complementary search alert dialog menu menubar".split())
+# Set apart as a class or id does it: some pages stand in a form as a whole.
+_FORMS = frozenset("form fieldset".split())
 _APART_WORDS = frozenset(
     "ad ads adv advert advertisement advertising sponsor sponsored promo banner nav navbar navigation menu "
     "breadcrumb breadcrumbs footer header masthead sidebar aside widget comment comments reply replies "
     "respond disqus cookie cookies notice notices consent gdpr alert popup modal overlay newsletter subscribe "
     "signup login share sharing social related recommended pagination pager skip toolbar form".split()
 )
+# What readers wrote; with them may stand how it is shown.
+_COMMENT_WORDS = frozenset("comment comments commentlist reply replies respond disqus".split())
+_COMMENT_PARTS = frozenset(
+    "body content text author meta thread threads user users reader readers visitor visitors date avatar count odd "
+    "even depth byuser parent children holder entry post view wrapper title inner item tree feed fb".split()
+)
 # A class or id of several words tells what an element is if these are all it says besides.
 _PLACES = frozenset(
     "site main top bottom left right global primary secondary area box container wrapper wrap list bar block section "
@@ -105,7 +113,7 @@ class Node:
     element: int
     parts: list[str] = field(default_factory=list)
     linked: int = 0
-    marks: tuple[int, ...] = ()  # the elements around it that a class or id sets apart
+    marks: tuple[int, ...] = ()  # the elements around it that a name sets apart, outer ones first
 
     @property
     def text(self) -> str:
@@ -125,6 +133,7 @@ class Tree:
     path: list[int] = field(default_factory=lambda: [0])
     nodes: list[Node] = field(default_factory=list)
     paths: dict[tuple[int, str, str], int] = field(default_factory=dict)
+    marked: dict[int, str] = field(default_factory=dict)  # what names say of elements: form, comment or apart
 
     def add(self, parent: int, name: str, label: str) -> int:
         self.parent.append(parent)
@@ -144,25 +153,31 @@ class Open:
     marked: bool = False
 
 
-def tells(token: str) -> bool:
-    """Whether a whole class or id names something set apart, such as ``site-footer``."""
+def tells(token: str) -> str:
+    """What a whole class or id names: ``comment``, ``apart`` such as ``site-footer``, or nothing."""
     words = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower())
-    return any(word in _APART_WORDS for word in words) and all(word in _APART_WORDS or word in _PLACES for word in words)
+    telling = _APART_WORDS | _PLACES
+    if any(word in _COMMENT_WORDS for word in words) and all(word in telling or word in _COMMENT_WORDS or word in _COMMENT_PARTS for word in words):
+        return "comment"
+    return "apart" if any(word in _APART_WORDS for word in words) and all(word in telling for word in words) else ""
 
 
-def marks_of(attributes: str) -> tuple[str, bool, bool]:
-    """A label made of the classes; whether hidden or role set an element apart; whether
-    a class or id does."""
-    label, apart, marked = "", False, False
+def marks_of(attributes: str) -> tuple[str, bool, str]:
+    """A label made of the classes; whether hidden or role set an element apart; what a
+    class or id says of it."""
+    label, apart, marked = "", False, ""
     for match in _ATTRIBUTE.finditer(attributes):
         name = (match[1] or "").lower()
         value = html.unescape(match[2] or match[3] or match[4] or "")
         if name == "hidden":
             apart = True
         elif name == "role":
-            apart |= value.strip().lower() in _APART_ROLES
+            role = value.strip().lower()
+            apart |= role in _APART_ROLES
+            marked = marked or "form" * (role == "form")
         elif name in ("class", "id"):
-            marked |= any(tells(token) for token in value.split())
+            told = {tells(token) for token in value.split()}
+            marked = "comment" if "comment" in told else marked or "apart" * ("apart" in told)
             if name == "class":
                 label = ".".join(sorted(value.lower().split()))
     return label, apart, marked
@@ -189,13 +204,17 @@ class Reader:
         block = self.stack[-1].block if self.stack else 0
         if name not in _INLINE and name not in _FOREIGN and not self.foreign:
             block = self.tree.add(block, name, label)
-            marked = marked and name not in _UNMARKED
+            if name in _FORMS:
+                marked = marked or "form"
+            if name in _UNMARKED and not (name == "article" and marked == "comment"):
+                marked = ""
             if marked:
                 self.marks += (block,)
+                self.tree.marked[block] = marked
         else:
-            apart, marked = apart or marked, False
+            apart, marked = apart or bool(marked), ""
         # The page itself cannot be set apart.
-        opened = Open(name, apart and name not in ("html", "body", "article", "main"), block, marked)
+        opened = Open(name, apart and name not in ("html", "body", "article", "main"), block, bool(marked))
         self.stack.append(opened)
         self.held[name] += 1
         self.apart += opened.apart
@@ -283,22 +302,42 @@ def blocks_of(page: str) -> Tree:
     return reader.tree
 
 
-def unmarked(tree: Tree, nodes: list[Node]) -> list[Node]:
-    """The nodes outside marked elements. A mark does not count on an element that holds
-    most of the page's text outside links, unless an article or main stands beside it."""
-    held: dict[int, int] = defaultdict(int)
-    total = 0
+def unmarked(tree: Tree, nodes: list[Node], share: float = 0.1, least: int = 80) -> list[Node]:
+    """The nodes outside marked elements, as far as names leave an article.
+
+    Where hardly any text outside links is left, less than ``share``, the outermost marked
+    element with the most text loses its mark, if it holds ``least`` characters: a form or
+    a wrapper around the whole page. Comments lose theirs only if no sentence is left. All
+    marks hold as soon as something is left in an article or main.
+    """
     named = [False]
     for element in range(1, len(tree.parent)):
-        named.append(named[tree.parent[element]] or tree.kind[element] in ("article", "main"))
-    for node in nodes:
-        size = max(len(node.text) - node.linked, 0)
-        total += size
-        for mark in node.marks:
-            held[mark] += size
-        if named[node.element] and not node.marks:
-            total = float("inf")
-    return [node for node in nodes if all(2 * held[mark] > total for mark in node.marks)]
+        own = tree.kind[element] in _NAMED and element not in tree.marked
+        named.append(named[tree.parent[element]] or own)
+    sizes = [max(len(node.text) - node.linked, 0) for node in nodes]
+    total = sum(sizes)
+    outer = [0] * len(nodes)  # how many of a node's marks are lost
+    lost: set[int] = set()
+    while True:
+        held: dict[int, int] = defaultdict(int)
+        clean = sentences = 0
+        for at, node in enumerate(nodes):
+            while outer[at] < len(node.marks) and node.marks[outer[at]] in lost:
+                outer[at] += 1
+            if outer[at] < len(node.marks):
+                held[node.marks[outer[at]]] += sizes[at]
+                continue
+            if named[node.element] and sizes[at]:
+                clean = total
+            clean += sizes[at]
+            sentences += sizes[at] >= 25 and 2 * node.linked <= len(node.text) and bool(_PUNCTUATION.search(node.text))
+        heaviest = max(held, key=lambda element: (held[element], -element), default=None)
+        if heaviest is None or held[heaviest] < least or clean >= share * total:
+            break
+        if tree.marked[heaviest] == "comment" and sentences:
+            break
+        lost.add(heaviest)
+    return [node for at, node in enumerate(nodes) if outer[at] == len(node.marks)]
 
 
 def path_ratios(tree: Tree, ratios: Ratios) -> dict[int, float]:

@@ -3,9 +3,10 @@ from __future__ import annotations
 import re
 import time
 
+import numpy as np
 import pytest
 
-from llm.html_text import extract, main_text
+from llm.html_text import Ratios, blocks_of, extract, main_text, path_ratios, tells
 from llm.url_filter import BINS, RULES, Boosting, Rule, boost, judge
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{margin:0}</style><script>var t="</p>";</script></head>
@@ -56,6 +57,82 @@ def test_pages_of_every_kind(spark):
     assert extract(pages.limit(0)).count() == 0
 
 
+def paragraphs(name: str, n: int) -> list[str]:
+    return [f"This is {name} number {at}, which says something; it goes on for a while." for at in range(n)]
+
+
+def as_html(texts: list[str], tag: str = "p") -> str:
+    return "".join(f"<{tag}>{text}</{tag}>" for text in texts)
+
+
+ARTICLE, REMARKS = paragraphs("the article", 3), paragraphs("a remark", 12)
+
+
+def test_a_form_around_the_page_is_no_form():
+    menu = "<div class='menu'><a href='/'>Home</a></div><form><p>Your name, please, and your address, too.</p></form>"
+    for form in ("<form id=aspnetForm>{}</form>", "<div role='form'>{}</div>", "<form><fieldset><div>{}</div></fieldset></form>"):
+        page = "<body>" + form.format(f"{menu}<div class=body>{as_html(ARTICLE)}</div>") + "</body>"
+        assert main_text(page).split("\n") == ARTICLE
+        page = "<body>" + form.format(f"<div class=post>{as_html(ARTICLE)}</div><div id=comments>{as_html(REMARKS)}</div>") + "</body>"
+        assert main_text(page).split("\n") == ARTICLE
+    assert main_text("<body><form><p>Your name, please.</p></form></body>") == ""
+
+
+@pytest.mark.parametrize(
+    "comments",
+    [
+        "<div id=comments>{}</div>", "<div class='user-comments'>{}</div>", "<ol class='commentlist'>{}</ol>",
+        "<section class='comment-thread'>{}</section>", "<div class='commentThread'>{}</div>", "<div id='disqus_thread'>{}</div>",
+        "<div class='post-comments widget'>{}</div>", "<article class='comment'>{}</article>", "<div class='comment-body'>{}</div>",
+        "<article class='comment odd depth-1'><div class='comment-content'>{}</div></article>",
+    ],
+)
+def test_comments_go_however_long_they_are(comments):
+    around = comments.format(as_html(REMARKS))
+    one_each = "".join(comments.format(as_html([remark])) for remark in REMARKS)
+    for remarks in (around, one_each):
+        for article in ("<div class='post'>{}</div>", "<article>{}</article>", "<main>{}</main>", "{}"):
+            page = f"<body>{article.format(as_html(ARTICLE))}{remarks}</body>"
+            assert main_text(page).split("\n") == ARTICLE, page[:200]
+
+
+def test_names_that_only_sound_like_it():
+    for name in ("no-comments", "has-sidebar", "with-comments", "comments-closed", "commentary", "form-and-function"):
+        assert tells(name) == ""
+        assert main_text(f"<body><div class='{name}'>{as_html(ARTICLE)}</div></body>").split("\n") == ARTICLE
+    # A wrapper that holds all there is keeps it, whatever its name.
+    for name in ("sidebar", "main-widget", "comments"):
+        assert main_text(f"<body><p>Short.</p><div class='{name}'>{as_html(ARTICLE)}</div></body>").split("\n")[-3:] == ARTICLE
+
+
+def test_path_ratios_as_brute_force():
+    """Length and punctuation averaged over each path's nodes, fused, smoothed over the page."""
+    page = PAGE.replace("article", "section") + as_html(paragraphs("more", 9)) + "<div class=a><p>x<p>y, z!</div><div class=a><p>w, v.</div><table><tr><td>1<td>2, 3</table>"
+    tree = blocks_of(page)
+    groups: dict = {}
+    for at, node in enumerate(tree.nodes):
+        element, tags = node.element, []
+        while element:
+            tags.append((tree.kind[element], tree.path[element]))
+            element = tree.parent[element]
+        groups.setdefault(tuple(tags[::-1]), []).append(at)
+    fused = {}
+    for own in groups.values():
+        texts = [tree.nodes[at] for at in own]
+        length = sum(len(n.text) - n.linked for n in texts) / len(own)
+        marks = sum(sum(c in ".,;:!?…。，、！？；»«" for c in n.text) for n in texts if 2 * n.linked <= len(n.text)) / len(own)
+        fused.update(dict.fromkeys(own, (length * (1 + marks)) ** 0.5))
+    weights = [np.exp(-0.5 * d * d) for d in range(-3, 4)]
+    smooth = []
+    for at in range(len(tree.nodes)):
+        near = [fused[min(max(at + d, 0), len(tree.nodes) - 1)] for d in range(-3, 4)]
+        smooth.append(sum(w * x for w, x in zip(weights, near)) / sum(weights))
+    found = path_ratios(tree, Ratios())
+    assert len(found) == len(groups) > 5
+    for own in groups.values():
+        assert found[tree.path[tree.nodes[own[0]].element]] == pytest.approx(sum(smooth[at] for at in own) / len(own))
+
+
 def expected(url: str | None) -> tuple[str, str, str | None]:
     host = path = ""
     if url and "://" in url:
