@@ -10,9 +10,19 @@ from skuweave.functions.json_values import quoted
 SEPARATOR = "@"
 QUOTE = '"'
 LINE_END = "\r\n"
-CHARSET = "ISO-8859-15"
+# Latin-9 is Latin-1 but for eight places: what Latin-1 has there, and Latin-9 has.
+_ONLY_LATIN_1 = "¤¦¨´¸¼½¾"
+_ONLY_LATIN_9 = "€ŠšŽžŒœŸ"
 
-_LEGACY_CHARSETS = "spark.sql.legacy.javaCharsets"
+
+def latin_9(text: Column) -> Column:
+    """The bytes of a text in ISO-8859-15; what that has not becomes ``?``.
+
+    Spark encodes Latin-1 by itself, so the eight other characters are set to those of the
+    same place first.
+    """
+    same_place = F.translate(text, _ONLY_LATIN_1 + _ONLY_LATIN_9, "?" * len(_ONLY_LATIN_1) + _ONLY_LATIN_1)
+    return F.encode(F.regexp_replace(same_place, r"[^\x{0}-\x{FF}]", "?"), "ISO-8859-1")
 
 
 def fixed_format_line(df: DataFrame) -> Column:
@@ -25,25 +35,10 @@ def fixed_format_line(df: DataFrame) -> Column:
 
 
 def write_fixed_format(df: DataFrame, folder: str) -> None:
-    """Write the format as one file per partition.
+    """Write the format as one file per partition; characters outside the charset become ``?``.
 
-    Characters outside the charset become ``?``. Spark only takes this charset
-    with a legacy setting, which is set for this write and put back after it.
+    Every line is encoded by an expression and written as it is, so no setting of the
+    session plays a part and writers beside each other do not disturb one another.
     """
-    spark = df.sparkSession
-    before = spark.conf.get(_LEGACY_CHARSETS, None)
-    spark.conf.set(_LEGACY_CHARSETS, "true")
-    try:
-        text = df.select(
-            *[F.coalesce(F.col(quoted(c)).cast("string"), F.lit("")).alias(c) for c in df.columns]
-        )
-        text.write.options(
-            sep=SEPARATOR, quoteAll=True, quote=QUOTE, escape=QUOTE, lineSep=LINE_END,
-            encoding=CHARSET, header=False, emptyValue="",
-            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-        ).csv(folder)
-    finally:
-        if before is None:
-            spark.conf.unset(_LEGACY_CHARSETS)
-        else:
-            spark.conf.set(_LEGACY_CHARSETS, before)
+    lines = df.select(latin_9(fixed_format_line(df)).cast("string").alias("line"))
+    lines.write.option("lineSep", LINE_END).text(folder)

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from skuweave.operators.crm import PROPERTIES, TABLE_COLUMNS, crm_table, deliver, payload, recently_updated
 from skuweave.plans.crm import build_table, recent_payloads
-from skuweave.sinks.text import fixed_format_line, write_fixed_format
+from skuweave.session import together
+from skuweave.sinks.text import fixed_format_line, latin_9, write_fixed_format
 
 DAY = dt.date(2024, 5, 15)
 
@@ -103,15 +104,30 @@ def test_fixed_format_bytes(spark, tmp_path):
     df = spark.createDataFrame(
         [("a@b", 'say "x"', "€ ü", 5), (None, "", " 中 ", None)], "a string, b string, c string, n int"
     ).coalesce(1)
-    before = spark.conf.get("spark.sql.legacy.javaCharsets")
     write_fixed_format(df, str(folder))
-    assert spark.conf.get("spark.sql.legacy.javaCharsets") == before
     data = b"".join(p.read_bytes() for p in sorted(folder.glob("part-*")))
     assert data == b'"a@b"@"say ""x"""@"\xa4 \xfc"@"5"\r\n""@""@" ? "@""\r\n'
     lines = [r["line"] for r in df.select(fixed_format_line(df).alias("line")).collect()]
     assert lines == ['"a@b"@"say ""x"""@"€ ü"@"5"', '""@""@" 中 "@""']
 
 
+def test_every_character_of_the_charset(spark):
+    points = [*range(1, 0x300), 0x152, 0x178, 0x20AC, 0x2122, 0xFFFD, 0x1F600, 0x10FFFF]
+    texts = [chr(point) + "x" for point in points if not 0xD800 <= point < 0xE000]
+    df = spark.createDataFrame([(text,) for text in texts], "text string").coalesce(1)
+    found = [bytes(r[0]) for r in df.select(latin_9(F.col("text"))).collect()]
+    assert found == [text.encode("iso8859-15", "replace") for text in texts]
+
+
+def test_writers_side_by_side(spark, tmp_path):
+    """Two writers and a reader in one session do not disturb each other."""
+    frames = [spark.range(50).select(F.lit(f"€{n}").alias("a"), "id").coalesce(1) for n in range(4)]
+    together(*(lambda n=n, df=df: write_fixed_format(df, str(tmp_path / f"out{n}")) for n, df in enumerate(frames)))
+    for n in range(4):
+        data = b"".join(p.read_bytes() for p in sorted((tmp_path / f"out{n}").glob("part-*")))
+        assert data == b"".join(b'"\xa4%d"@"%d"\r\n' % (n, i) for i in range(50))
+
+
 def test_epoch_of_text_dates(spark):
     from skuweave.functions.dates import epoch_millis
 
