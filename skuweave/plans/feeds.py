@@ -10,6 +10,7 @@ from skuweave.operators.cleaning import clean_sheet, drop_header_rows, picture_u
 from skuweave.operators.columns import lower_case_columns
 from skuweave.operators.merge import stamped
 from skuweave.operators.pivot import explode_items, pivot_items, titles_of
+from skuweave.plans.store import store
 from skuweave.sources.files import (
     list_objects,
     read_address_results,
@@ -29,11 +30,21 @@ def board(spark: SparkSession, path: str, titles: Sequence[str] | None = None) -
     return stamped(pivot_items(items, titles))
 
 
-def address_results(spark: SparkSession, folder: str, columns: Sequence[str]) -> DataFrame:
+def address_results(spark: SparkSession, folder: str, columns: Sequence[str], **options: str) -> DataFrame:
     """All result files with lower-case columns and without repeated headers."""
-    named = lower_case_columns(read_address_results(spark, folder, list(columns)))
+    named = lower_case_columns(read_address_results(spark, folder, list(columns), **options))
     return drop_header_rows(named, named.columns[0])
 
 
 def pictures(spark: SparkSession, folder: str) -> DataFrame:
     return picture_uploads(list_objects(spark, folder))
+
+
+def run_addresses(spark: SparkSession, folder: str, columns: Sequence[str], table: str, root: str, **options: str) -> int:
+    """Replace the address table by all result files, with the load time; returns the rows."""
+    return store(stamped(address_results(spark, folder, columns, **options)), table, root)
+
+
+def run_pictures(spark: SparkSession, folder: str, table: str, root: str) -> int:
+    """Replace the picture table by what is listed below ``folder``; returns the rows."""
+    return store(pictures(spark, folder), table, root)

@@ -9,6 +9,7 @@ from skuweave.functions.text import joined_name
 from skuweave.operators.dedup import keep_one
 from skuweave.operators.fuzzy import fuzzy_match
 from skuweave.operators.tfidf import tfidf_match
+from skuweave.plans.store import store
 from skuweave.session import cut_lineage, together
 
 # Fixed value: products of this type are not offered as matches.
@@ -145,3 +146,16 @@ def match_by_tfidf(
 ) -> DataFrame:
     catalog = tfidf_catalog(all_skus)
     return attach_matches(tfidf_match(catalog, inputs, min_score=min_score), catalog, inputs, tolerant)
+
+
+def run_matching(all_skus: DataFrame, inputs: DataFrame, table: str, root: str, by: str = "edit", **options) -> int:
+    """Match all inputs and replace the result table; returns the number of matches.
+
+    ``by`` is ``edit`` for the edit ratio or ``tfidf`` for the cosine of n-grams; options go
+    to that matcher. The table is replaced when all matches are written, so a run that
+    fails leaves the earlier result.
+    """
+    matchers = {"edit": match_by_edit_ratio, "tfidf": match_by_tfidf}
+    if by not in matchers:
+        raise ValueError(f"match by one of {sorted(matchers)}, not {by}")
+    return store(matchers[by](all_skus, inputs, **options), table, root)

@@ -10,7 +10,7 @@ from skuweave.operators.cleaning import clean_sheet, drop_header_rows, picture_u
 from skuweave.operators.columns import columns_first, drop_columns, lower_case_columns, rename, rename_all
 from skuweave.operators.merge import stamped
 from skuweave.operators.pivot import pivot_items, pivot_rows, titles_of
-from skuweave.plans.feeds import board, sheet
+from skuweave.plans.feeds import board, run_addresses, sheet
 from skuweave.plans.store import store
 from skuweave.session import new_folder
 from skuweave.sources.files import (
@@ -121,6 +121,25 @@ def address_result_files(spark: SparkSession, folder: str) -> DataFrame:
     return stamped(drop_header_rows(named, named.columns[0]), F.lit("2024-01-01"))
 
 
+@query(
+    "SELECT "
+    + ", ".join(f"CAST({e} AS VARCHAR) AS {n}" for e, n in zip(_ADDRESS, _ADDRESS_COLUMNS))
+    + " FROM customer JOIN orders ON o_custkey = c_custkey"
+)
+def stored_addresses(spark: SparkSession, folder: str) -> DataFrame:
+    """Result files that all repeat the header, loaded into a stored table twice."""
+    path, name = new_folder(spark), f"addresses_{uuid.uuid4().hex[:12]}"
+    joined = table(spark, folder, "customer").join(
+        table(spark, folder, "orders"), F.col("o_custkey") == F.col("c_custkey")
+    )
+    upper = [c.upper() for c in _ADDRESS_COLUMNS]
+    joined.selectExpr(*_ADDRESS).toDF(*upper).write.csv(path, sep="\t", header=True)
+    root = new_folder(spark)
+    for _ in range(2):
+        run_addresses(spark, path, upper, name, root, pattern="part-*")
+    return read_stored(spark, name).select(*_ADDRESS_COLUMNS)
+
+
 _FEED = {
     "S_NAME": "CASE WHEN s_nationkey = 4 THEN 'S_NAME' WHEN s_nationkey <> 6 THEN s_name END",
     "S_KEY": "s_suppkey",

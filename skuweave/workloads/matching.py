@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skuweave.functions.text import edit_ratio, ngrams, one_contains_other, tokens, without_noise
@@ -11,7 +13,9 @@ from skuweave.operators.tfidf import (
     tfidf_match,
     vector_norms,
 )
-from skuweave.plans.matching import EXCLUDED_TYPE, match_by_edit_ratio, match_by_tfidf, tfidf_catalog
+from skuweave.plans.matching import EXCLUDED_TYPE, match_by_edit_ratio, match_by_tfidf, run_matching, tfidf_catalog
+from skuweave.session import new_folder
+from skuweave.sources.tables import read_stored
 from skuweave.workloads.inputs import derive, derive_sql, table
 
 QUERIES: dict = {}
@@ -227,3 +231,21 @@ def unit_token_sets(spark: SparkSession, folder: str) -> DataFrame:
 )
 def fuzzy_name_match(spark: SparkSession, folder: str) -> DataFrame:
     return match_by_edit_ratio(all_skus(spark, folder), input_names(spark, folder))
+
+
+@query(ORACLES["fuzzy_name_match"])
+def stored_edit_matches(spark: SparkSession, folder: str) -> DataFrame:
+    """The matching job from the product table to the stored result."""
+    name = f"matches_{uuid.uuid4().hex[:12]}"
+    run_matching(all_skus(spark, folder), input_names(spark, folder), name, new_folder(spark))
+    return read_stored(spark, name)
+
+
+@query(ORACLES["tfidf_match_products"])
+def stored_tfidf_matches(spark: SparkSession, folder: str) -> DataFrame:
+    """The same job by cosine, whose result takes the place of an earlier one."""
+    name, root = f"matches_{uuid.uuid4().hex[:12]}", new_folder(spark)
+    skus, inputs = all_skus(spark, folder), input_names(spark, folder)
+    run_matching(skus, inputs, name, root)
+    run_matching(skus, inputs, name, root, "tfidf", tolerant=True)
+    return read_stored(spark, name).withColumn("similarity", F.round("similarity", 6))

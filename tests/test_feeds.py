@@ -43,6 +43,24 @@ def test_address_results(spark, tmp_path):
     assert df.where("owner_id = '0' and expdate = '11'").count() == 3
 
 
+def test_feeds_are_stored(spark, tmp_path):
+    """Result files by the default pattern and listed pictures replace their tables."""
+    columns = address_result_columns("OWNER", "VENDOR")
+    landed, root = tmp_path / "landed", str(tmp_path / "tables")
+    landed.mkdir()
+    line = "\t".join(str(i) for i in range(12))
+    for n in (1, 2):
+        (landed / f"Kunden_result_{n}.txt").write_text(f"{line}\n")
+        assert feeds.run_addresses(spark, str(landed), columns, "addresses_fed", root) == n
+    rows = records(spark.table("addresses_fed"))
+    assert len(rows) == 2 and all(r["owner_id"] == "0" and r["_updated_at"] for r in rows)
+    (landed / "77.png").write_bytes(b"x")
+    assert feeds.run_pictures(spark, str(landed), "pictures_fed", root) == 1
+    assert [r["sku"] for r in records(spark.table("pictures_fed"))] == ["77"]
+    for name in ("addresses_fed", "pictures_fed"):
+        spark.sql(f"DROP TABLE {name}")
+
+
 def page(*items):
     return {
         "data": {"boards": [{"items": [
