@@ -17,7 +17,7 @@ many as the vocabulary has, so their counts are small whatever the corpus.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -60,60 +60,59 @@ class Encoder:
         self.ends[[at for piece, at in pieces.items() if piece.endswith(("</w>", "|>"))]] = True
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        self.marks = {mark.encode(): self.alone(mark) for mark in ".,;:!?"}
 
-    def text(self, text: bytes) -> bytes:
-        words = text.split()
-        try:
-            return b"".join(map(self.young.__getitem__, words))
-        except KeyError:
-            self.learn(words)
-            return b"".join(map(self.young.__getitem__, words))
-
-    def learn(self, words: list[bytes]) -> None:
-        """Bring all of the words into the young generation."""
+    def texts(self, texts: Sequence[bytes]) -> list[bytes]:
+        """Ids of each text; the new words of all are learned together."""
+        split = [text.split() for text in texts]
         if len(self.young) > _CACHED:
             self.old, self.young = self.young, {}
-        young, old = self.young, self.old
-        plain, ask, other = {}, {}, []
-        for word in {word for word in words if word not in young}:
+        self.learn(set().union(*split).difference(self.young))
+        known = self.young.__getitem__
+        return [b"".join(map(known, words)) for words in split]
+
+    def learn(self, words: set[bytes]) -> None:
+        """Bring the words into the young generation."""
+        young, old, marks = self.young, self.old, self.marks
+        ask: dict[bytes, None] = {}
+        marked = []
+        for word in words:
             if word in old:
                 young[word] = old[word]
                 continue
             # Letters are one piece, and one mark behind them is another.
-            stem, mark = (word[:-1], word[-1:]) if word[-1:] in b".,;:!?" else (word, b"")
-            letters = stem.decode("utf-8", "replace")
-            if letters.isalpha():
+            mark = marks.get(word[-1:])
+            stem = word[:-1] if mark else word
+            if stem.isalpha() or not stem.isascii() and stem.decode("utf-8", "replace").isalpha():
                 if mark:
-                    plain[word] = (stem, mark)
+                    marked.append((word, stem, mark))
                 if stem not in young and stem not in old:
-                    ask[stem] = letters
+                    ask[stem] = None
             else:
-                other.append(word)
-        marks = [mark for mark in {mark for _, mark in plain.values()} if mark and mark not in young and mark not in old]
-        for word, ids in zip(ask, self.pieces(list(ask.values()))):
-            young[word] = ids
-        for word in (*marks, *other):
-            young[word] = self.alone(word.decode("utf-8", "replace"))
-        for word, pair in plain.items():
-            young[word] = b"".join(young[part] if part in young else old[part] for part in pair if part)
+                young[word] = self.alone(word.decode("utf-8", "replace"))
+        stems = list(ask)
+        young.update(zip(stems, self.pieces(stems)))
+        for word, stem, mark in marked:
+            young[word] = (young[stem] if stem in young else old[stem]) + mark
 
     def alone(self, word: str) -> bytes:
         return np.array(self.library.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def pieces(self, words: list[str]) -> list[bytes]:
+    def pieces(self, words: list[bytes]) -> list[bytes]:
         """Ids of words of letters, many in one text: each ends where a piece ends a word."""
         found: list[bytes] = []
         for at in range(0, len(words), 1_000):
             some = words[at : at + 1_000]
-            ids = np.array(self.library.encode(" ".join(some), add_special_tokens=False).ids, np.int64)
+            text = b" ".join(some).decode("utf-8", "replace")
+            ids = np.array(self.library.encode(text, add_special_tokens=False).ids, np.int64)
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) != len(some):
                 # Lower case makes marks of a few letters, which are pieces of their own.
-                found += [self.alone(word) for word in some]
+                found += [self.alone(word.decode("utf-8", "replace")) for word in some]
                 continue
             data, size = ids.astype(self.kind).tobytes(), self.kind.itemsize
-            starts = [0, *(stops[:-1] * size).tolist()]
-            found += [data[start:stop] for start, stop in zip(starts, (stops * size).tolist())]
+            cuts = [0, *(stops * size).tolist()]
+            found += [data[start:stop] for start, stop in zip(cuts, cuts[1:])]
         return found
 
 
@@ -143,8 +142,8 @@ def encoded(df: DataFrame, vocabulary: Broadcast, id_col: str, text_col: str, wi
 
         def encode(batch: pa.RecordBatch) -> pa.RecordBatch:
             tokens, firsts, heads, rests = [], [], [], []
-            for text in batch.column(1).to_numpy(zero_copy_only=False):
-                ids = np.frombuffer(encoder.text(text) + last, encoder.kind)
+            for found in encoder.texts(batch.column(1).to_numpy(zero_copy_only=False)):
+                ids = np.frombuffer(found + last, encoder.kind)
                 whole = len(ids) // window
                 tokens.append(len(ids))
                 firsts.append(seen["heads"])
