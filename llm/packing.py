@@ -17,6 +17,7 @@ many as the vocabulary has, so their counts are small whatever the corpus.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
@@ -40,7 +41,7 @@ WINDOW = 4096
 SHARD, MOST = 2_000, 3_000
 #: Constants of BM25: saturation of a token's count, and the weight of a text's length.
 K1, B = 1.2, 0.75
-_CACHED = 400_000
+_CACHED = 600_000
 _LOCAL = 12  # bits of a sequence's number within its shard
 
 
@@ -49,7 +50,8 @@ class Encoder:
 
     The vocabulary's splitter drops white space and never reads over it, so the ids of a
     text are those of the words between white space, one behind another. Two generations
-    of known words bound the memory.
+    of known words bound the memory. Words of the letters a to z go to the vocabulary's
+    merges directly: lower case is all that would happen to them before.
     """
 
     def __init__(self, vocabulary: str):
@@ -90,6 +92,10 @@ class Encoder:
                     ask[stem] = None
             else:
                 young[word] = self.alone(word.decode("utf-8", "replace"))
+        merge, code = self.library.model.tokenize, self.kind.char
+        for stem in [stem for stem in ask if stem.isascii()]:
+            young[stem] = array(code, [piece.id for piece in merge(stem.lower().decode())]).tobytes()
+            del ask[stem]
         stems = list(ask)
         young.update(zip(stems, self.pieces(stems)))
         for word, stem, mark in marked:
