@@ -232,7 +232,9 @@ def redact(versions: DataFrame, ledger: str | None = None, text_col: str = "text
     # Broadcast only if digests and spans together are as small as so many keys.
     sizes = found.agg(F.count(F.lit(1)).alias("blobs"), F.coalesce(F.sum(F.size("spans")), F.lit(0)).alias("spans")).first()
     joined = packed.join(with_small(found, 12 * sizes["blobs"] + 4 * sizes["spans"]), "blob", "left")
-    text = F.when(F.col("spans").isNull(), F.col(f"row.`{text_col}`")).otherwise(cover(F.col(f"row.`{text_col}`"), "spans"))
+    # Python gets the texts that change and no others.
+    found_in = F.when(F.col("spans").isNotNull(), F.col(f"row.`{text_col}`"))
+    text = F.when(F.col("spans").isNull(), F.col(f"row.`{text_col}`")).otherwise(cover(found_in, "spans"))
     joined = joined.select("row", "spans", text.alias("text"))
     columns = []
     for name in versions.columns:
