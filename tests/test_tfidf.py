@@ -86,6 +86,20 @@ def test_few_pairs_are_compared(spark):
     assert compared.value < 0.02 * len(catalog) * len(inputs)
 
 
+@pytest.mark.parametrize("top, least", [(1, 0.3), (3, 0.2), (2, 0.0)])
+def test_names_alike_but_for_what_the_other_side_lacks(spark, top, least):
+    """Codes that only one side has: a product does not see them, so few names are compared."""
+    rng = random.Random(8)
+    stems = ["".join(rng.choice("abcdefghij") for _ in range(8)) for _ in range(15)]
+    catalog = [f"{stem} {rng.choice(['QQ', 'QQQ', 'RSTU'])}{rng.randint(0, 9)}{chr(75 + i % 9)}" for stem in stems for i in range(30)]
+    inputs = [f"{stem} {chr(120 + i % 3)}{i}" for stem in stems for i in range(30)]
+    c, i = frames(spark, catalog, inputs)
+    compared = spark.sparkContext.accumulator(0)
+    assert result(tfidf_match(c, i, top=top, min_score=least, compared=compared)) == brute_force(catalog, inputs, top, least)
+    if top == 1:
+        assert compared.value < 0.02 * len(set(catalog)) * len(set(inputs))
+
+
 def test_one_hot_name_and_hot_ngrams(spark):
     """A third of both sides is one name, and all names share their n-grams."""
     catalog = ["cola light 6x0,5"] * 60 + [f"cola light {i}x0,5" for i in range(60)]
