@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from comparing import records
 from hypothesis import given, strategies as st
@@ -164,6 +165,34 @@ def test_many_words_in_both_fields(spark):
     assert sorted(r["count"] for r in keys.collect()) == [2, 1_001, 1_001]
 
 
+@pytest.mark.parametrize("block_pairs", [1 << 18, 3_000, 50])
+@pytest.mark.parametrize("min_ratio", [70, 90])
+def test_cell_of_many_rows_of_like_length(min_ratio, block_pairs):
+    """Long and short stretches, names with more distinct characters than a signature has bits."""
+    rng = random.Random(10)
+    alphabet = "abcdefghijklmnopqrstuvwxyz0123456789" + "".join(chr(0x400 + i) for i in range(60)) + "𝄞"
+
+    def side(first: int):
+        names = ["".join(rng.choice(alphabet[: rng.choice([12, 97])]) for _ in range(rng.choice([0, 12, 12, 13]))) for _ in range(130)]
+        names += [f"shared {i % 9} {'ab' * (i % 3)}" for i in range(40)]
+        keys = ["one" if i < 120 else f"k{i % 4}" for i in range(len(names))]
+        return pd.DataFrame({"id": range(first, first + len(names)), "key": keys, "name": names, "units_bits": 1, "content_bits": 2})
+
+    class Counter:
+        pairs = 0
+
+        def add(self, n):
+            self.pairs += n
+
+    left, right, compared = side(0), side(1_000), Counter()
+    found = fuzzy.similar_in_cell(min_ratio, compared, block_pairs)(left, right)
+    pairs = [(a, b) for a in left.itertuples() for b in right.itertuples() if a.key == b.key]
+    expected = {(a.id, b.id, plain_ratio(a.name, b.name)) for a, b in pairs}
+    expected = {x for x in expected if x[2] >= min_ratio}
+    assert len(found) == len(expected) and set(found.itertuples(index=False, name=None)) == expected
+    assert compared.pairs < 0.3 * len(pairs)
+
+
 def test_few_pairs_are_compared(spark):
     """All rows have one unit; their names share letters, but only copies match."""
     rng = random.Random(9)
