@@ -42,8 +42,13 @@ SHARD, MOST = 2_000, 3_000
 #: Constants of BM25: saturation of a token's count, and the weight of a text's length.
 K1, B = 1.2, 0.75
 _CACHED = 600_000
+#: Marks without those of contractions and of the vocabulary's special tokens.
+_MARKS = b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
 _LOCAL = 12  # bits of a sequence's number within its shard
 
+#: How merges name the bytes of letters from U+0080 to U+00FF that are no visible characters themselves.
+_NAMES = {byte: 256 + at for at, byte in enumerate([*range(0x21), *range(0x7F, 0xA1), 0xAD])}
+
 
 class Encoder:
     """Ids of texts as the tokenizers library gives them, each distinct word encoded once.
@@ -51,7 +56,8 @@ class Encoder:
     The vocabulary's splitter drops white space and never reads over it, so the ids of a
     text are those of the words between white space, one behind another. Two generations
     of known words bound the memory. Words of the letters a to z go to the vocabulary's
-    merges directly: lower case is all that would happen to them before.
+    merges directly: lower case is all that would happen to them before; so do words of
+    letters up to U+00FF, byte by byte.
     """
 
     def __init__(self, vocabulary: str):
@@ -62,44 +68,56 @@ class Encoder:
         self.ends[[at for piece, at in pieces.items() if piece.endswith(("</w>", "|>"))]] = True
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
-        self.marks = {mark.encode(): self.alone(mark) for mark in ".,;:!?"}
+        self.marks: dict[bytes, bytes] = {}
 
     def texts(self, texts: Sequence[bytes]) -> list[bytes]:
         """Ids of each text; the new words of all are learned together."""
         split = [text.split() for text in texts]
         if len(self.young) > _CACHED:
-            self.old, self.young = self.young, {}
+            self.old, self.young, self.marks = self.young, {}, {}
         self.learn(set().union(*split).difference(self.young))
         known = self.young.__getitem__
         return [b"".join(map(known, words)) for words in split]
 
     def learn(self, words: set[bytes]) -> None:
         """Bring the words into the young generation."""
-        young, old, marks = self.young, self.old, self.marks
-        ask: dict[bytes, None] = {}
+        young, old = self.young, self.old
+        ask: set[bytes] = set()
         marked = []
         for word in words:
             if word in old:
                 young[word] = old[word]
                 continue
-            # Letters are one piece, and one mark behind them is another.
-            mark = marks.get(word[-1:])
-            stem = word[:-1] if mark else word
-            if stem.isalpha() or not stem.isascii() and stem.decode("utf-8", "replace").isalpha():
-                if mark:
-                    marked.append((word, stem, mark))
-                if stem not in young and stem not in old:
-                    ask[stem] = None
-            else:
+            # Letters are one piece, and the marks behind them are another.
+            stem = word if word.isalpha() else word.rstrip(_MARKS)
+            if not (stem.isalpha() or not stem.isascii() and stem.decode("utf-8", "replace").isalpha()):
                 young[word] = self.alone(word.decode("utf-8", "replace"))
-        merge, code = self.library.model.tokenize, self.kind.char
-        for stem in [stem for stem in ask if stem.isascii()]:
-            young[stem] = array(code, [piece.id for piece in merge(stem.lower().decode())]).tobytes()
-            del ask[stem]
-        stems = list(ask)
+            elif len(stem) == len(word):
+                ask.add(word)
+            else:
+                marked.append((word, stem))
+        ask.update([stem for _, stem in marked if stem not in young and stem not in old])
+        merge, code, stems = self.library.model.tokenize, self.kind.char, []
+        for stem in ask:
+            if stem.isascii():
+                young[stem] = array(code, [piece.id for piece in merge(stem.lower().decode())]).tobytes()
+                continue
+            text = stem.decode("utf-8", "replace")
+            if max(text) <= "\xff":
+                # Composed letters, whose lower case is one letter; merges name their bytes by characters.
+                named = text.lower().encode().decode("latin-1").translate(_NAMES)
+                young[stem] = array(code, [piece.id for piece in merge(named)]).tobytes()
+            else:
+                stems.append(stem)
         young.update(zip(stems, self.pieces(stems)))
-        for word, stem, mark in marked:
-            young[word] = (young[stem] if stem in young else old[stem]) + mark
+        for word, stem in marked:
+            young[word] = (young[stem] if stem in young else old[stem]) + self.run(word[len(stem) :])
+
+    def run(self, marks: bytes) -> bytes:
+        """Ids of marks behind letters, each run of marks encoded once."""
+        if marks not in self.marks:
+            self.marks[marks] = self.alone(marks.decode())
+        return self.marks[marks]
 
     def alone(self, word: str) -> bytes:
         return np.array(self.library.encode(word, add_special_tokens=False).ids, self.kind).tobytes()

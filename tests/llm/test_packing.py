@@ -49,6 +49,34 @@ def check_pieces(library, given: list[tuple], rows: list, window: int) -> None:
         assert at <= window and at & (at - 1) == 0
 
 
+def test_letters_up_to_ff_go_to_the_merges(library, monkeypatch):
+    with open(packing.VOCABULARY, encoding="utf-8") as file:
+        encoder = packing.Encoder(file.read())
+    letters = [c for c in map(chr, range(0x80, 0x100)) if c.isalpha()]
+    words = [f"{before}{c}{after}" for c in letters for before in ("", "a", "Zürich") for after in ("", "n", "ÉÀ")]
+    asked = []
+    monkeypatch.setattr(packing.Encoder, "pieces", lambda self, stems: asked.extend(stems) or [])
+    (found,) = encoder.texts([" ".join(words).encode()])
+    assert np.frombuffer(found, encoder.kind).tolist() == library.encode(" ".join(words), add_special_tokens=False).ids
+    assert not asked
+
+
+def test_marks_behind_letters_are_encoded_once_per_run(library, monkeypatch):
+    with open(packing.VOCABULARY, encoding="utf-8") as file:
+        encoder = packing.Encoder(file.read())
+    runs = [".", "!!", "###", ",$$$", "%%%", '."', "(&*)", "\\_^`~[]{}-+=/@"]
+    stems = sorted({*prose(300, 3).replace(".", "").split(), "naïve", "Straße", "ΑΣ", "日本語"})
+    text = " ".join(f"{stem}{run}" for run in runs for stem in stems)
+    calls = []
+    monkeypatch.setattr(packing.Encoder, "alone", lambda self, word, alone=packing.Encoder.alone: calls.append(word) or alone(self, word))
+    (found,) = encoder.texts([text.encode()])
+    assert np.frombuffer(found, encoder.kind).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert len(calls) <= len(runs) + 20 < len(stems) * len(runs)
+    for other in ["it's.", "it's'", "'s..", "x'", "x.'s", "a<|endoftext|>", "a.<|endoftext|>.", "a<|endoftext|", "a|.", "a<.", "...", "é.́", "a.≠"]:
+        (found,) = encoder.texts([other.encode()])
+        assert np.frombuffer(found, encoder.kind).tolist() == library.encode(other, add_special_tokens=False).ids, other
+
+
 def test_encoder_is_the_library(library):
     with open(packing.VOCABULARY, encoding="utf-8") as file:
         encoder = packing.Encoder(file.read())
